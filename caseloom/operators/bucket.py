@@ -48,8 +48,8 @@ def group_buckets(obs: DataFrame, oversized: DataFrame | None = None) -> DataFra
     """Groups rows into buckets.
 
     With ``oversized`` given, the rows of those buckets are spread over parts, each part
-    collected by its own task; part 0 carries the summary of the whole bucket and the
-    other parts a null summary, which sums and means skip.
+    collected by its own task; part 0 always exists and carries the summary of the whole
+    bucket, the other parts a null summary, which sums and means skip.
     """
     rows = _rows(obs)
     if oversized is None:
@@ -59,7 +59,8 @@ def group_buckets(obs: DataFrame, oversized: DataFrame | None = None) -> DataFra
         F.pmod(F.monotonically_increasing_id(), F.col("parts")).cast("int")).otherwise(F.lit(0)))
     arrays = spread.groupBy(*KEYS, "part").agg(_weekly())
     summaries = rows.groupBy(*KEYS).agg(*_summary()).withColumn("part", F.lit(0))
-    return arrays.join(summaries, [*KEYS, "part"], "left")
+    return arrays.join(summaries, [*KEYS, "part"], "full").withColumn(
+        "weekly_observations", F.coalesce("weekly_observations", F.array()))
 
 
 def build_buckets(obs: DataFrame, regions: DataFrame, diseases: DataFrame,

@@ -13,7 +13,11 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Call-site capture on every column expression doubles the time to build a query.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
+# Shuffle data one task should handle.
+PARTITION_BYTES = 64 * 1024 * 1024
 
 
 def build_session(app: str, master: str | None = None, **settings: str) -> SparkSession:
@@ -25,6 +29,16 @@ def build_session(app: str, master: str | None = None, **settings: str) -> Spark
     return builder.getOrCreate()
 
 
+def shuffle_partitions(input_bytes: int, cores: int) -> int:
+    """Initial shuffle partitions: at least one per 64 MB of input, in whole waves of the cores.
+
+    AQE merges small partitions but never splits an initial one that is merely large, so
+    the count follows the data.
+    """
+    wanted = max(1, -(-input_bytes // PARTITION_BYTES))
+    return wanted if wanted < cores else -(-wanted // cores) * cores
+
+
 def scratch_root(spark: SparkSession) -> str:
     """Folder for tables written between steps, shared by driver and executors.
 
