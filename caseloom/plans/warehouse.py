@@ -20,20 +20,20 @@ from caseloom.operators.models import Buckets, Graph, Star
 from caseloom.session import scratch_root
 from caseloom.sources.tables import read_table, table_exists, write_table
 
-# Physical layout: schema, partition columns, clustering columns.
+# Physical layout (schema, partition columns, clustering columns) in the order of dependence.
 LAYOUT = {
+    "regions": (schemas.REGIONS, [], []),
+    "diseases": (schemas.DISEASES, [], []),
+    "populations": (schemas.POPULATIONS, [], []),
     "observations": (schemas.OBSERVATIONS, ["loc_type"], []),
     "dim_time": (schemas.DIM_TIME, [], []),
     "dim_location": (schemas.DIM_LOCATION, ["loc_type"], []),
     "dim_disease": (schemas.DIM_DISEASE, [], []),
-    "fact": (schemas.FACT, ["loc_type", "decade"], ["disease_key", "time_key"]),
-    "buckets": (schemas.BUCKETS, ["decade"], []),
+    "fact": (schemas.FACT, ["loc_type", "decade", "disease_key"], ["time_key"]),
+    "buckets": (schemas.BUCKETS, ["decade"], ["disease.name", "time_bucket.year"]),
     "observation_nodes": (schemas.OBSERVATION_NODES, [], []),
-    "monthly_aggregates": (schemas.MONTHLY_AGGREGATES, ["decade"], ["disease"]),
+    "monthly_aggregates": (schemas.MONTHLY_AGGREGATES, ["decade"], ["disease", "year"]),
     "borders": (schemas.BORDERS, [], []),
-    "regions": (schemas.REGIONS, [], []),
-    "diseases": (schemas.DISEASES, [], []),
-    "populations": (schemas.POPULATIONS, [], []),
 }
 
 
@@ -69,6 +69,27 @@ class Warehouse:
                 self._frames[name] = read_table(self.spark, self.path(name), schema)
             return self._frames[name]
 
+    def load(self, full_refresh: bool = True) -> DataFrame:
+        """Writes every table in dependency order; one status row per table.
+
+        Without ``full_refresh`` a table that already holds rows is left alone.
+        """
+        outcome = []
+        for name, (schema, partitions, clustering) in LAYOUT.items():
+            started = time.monotonic()
+            with self._lock:
+                filled = table_exists(self.spark, self.path(name)) and not read_table(
+                    self.spark, self.path(name), schema).isEmpty()
+                if full_refresh or not filled:
+                    self._frames.pop(name, None)
+                    self._write(name, partitions, clustering)
+                    self.spark.catalog.refreshByPath(self.path(name))
+                status = "loaded" if full_refresh or not filled else "kept"
+            rows = self.table(name).count()
+            outcome.append((name, status, rows, round((time.monotonic() - started) * 1000, 2)))
+        return self.spark.createDataFrame(
+            outcome, "table_name string, status string, row_count long, execution_time_ms double")
+
     def _write(self, name: str, partitions: list[str], clustering: list[str]) -> None:
         df = self._build(name).select(*LAYOUT[name][0].fieldNames())
         write_table(df, self.path(name), partitions, clustering)

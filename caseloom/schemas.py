@@ -48,11 +48,11 @@ DIM_DISEASE = _struct(
     ("disease_key", INT), ("disease_name", STR), ("disease_category", STR),
     ("transmission_type", STR), ("is_vaccine_preventable", BOOL), ("vaccine_intro_year", SHORT),
 )
-# loc_type and decade are partition columns of the stored fact.
+# The last three are partition columns of the stored fact.
 FACT = _struct(
-    ("incidence_key", LONG), ("time_key", INT), ("location_key", INT), ("disease_key", INT),
+    ("incidence_key", LONG), ("time_key", INT), ("location_key", INT),
     ("case_count", INT), ("incidence_rate", RATE), ("population", INT),
-    ("loc_type", STR), ("decade", INT),
+    ("loc_type", STR), ("decade", INT), ("disease_key", INT),
 )
 
 WEEKLY = _struct(("epi_week", INT), ("week", INT), ("cases", INT), ("incidence_rate", DOUBLE))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -12,13 +13,15 @@ def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (),
                 cluster_by: Sequence[str] = ()) -> None:
     """Full refresh of one table.
 
-    With ``cluster_by`` the rows are rebalanced on the partition columns and the first
-    clustering column, so a folder gets few files while AQE still splits a hot key over
-    several tasks; each file is sorted, so row-group statistics prune on those columns.
+    With ``cluster_by`` (columns or paths into structs) the rows are rebalanced on the
+    partition columns and the first clustering column, so a folder gets few files while
+    AQE still splits a hot key over several tasks; each file is sorted, so row-group
+    statistics prune on those columns.
     """
     if cluster_by:
-        df = df.hint("rebalance", *partition_by, cluster_by[0]).sortWithinPartitions(
-            *partition_by, *cluster_by)
+        helpers = {f"_sort_{i}": F.col(c) for i, c in enumerate(cluster_by)}
+        df = (df.withColumns(helpers).hint("rebalance", *partition_by, "_sort_0")
+              .sortWithinPartitions(*partition_by, *helpers).drop(*helpers))
     writer = df.write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
