@@ -59,14 +59,16 @@ def checked_rows(raw: DataFrame, regions: DataFrame, diseases: DataFrame) -> Dat
 def issue_counts(raw: DataFrame, regions: DataFrame, diseases: DataFrame) -> DataFrame:
     """One row: total rows, one counter per issue, what was found, score and verdict.
 
-    A row may count for several issues. No rows at all is a failure with score 0.
+    A row may count for several issues. No rows at all is a failure with score 0. The
+    values found are counted as sets: they are members of a reference table, which bounds
+    the sets, and two distinct counts would triple the rows before the shuffle.
     """
     rows = checked_rows(raw, regions, diseases)
     counted = rows.agg(
         F.count("*").alias("total_rows"),
         *[F.coalesce(F.sum(name), F.lit(0)).cast("long").alias(name) for name in ISSUES],
-        F.count_distinct("found_disease").alias("diseases_found"),
-        F.count_distinct("found_state").alias("states_found"),
+        F.size(F.collect_set("found_disease")).cast("long").alias("diseases_found"),
+        F.size(F.collect_set("found_state")).cast("long").alias("states_found"),
         F.min("found_year").alias("first_year"), F.max("found_year").alias("last_year"))
     issues = F.lit(0).cast("long")
     for name in ISSUES:

@@ -43,15 +43,20 @@ def build_dim_time(obs: DataFrame) -> DataFrame:
 
 
 def build_dim_location(obs: DataFrame, regions: DataFrame) -> DataFrame:
-    """Reported states and reported cities; unknown states keep empty attributes."""
+    """Reported states, then reported cities; unknown states keep empty attributes.
+
+    Cities are numbered per state and hash group, so a state with most of all cities is
+    still numbered by many tasks.
+    """
     states = obs.filter(F.col("loc_type") == "STATE").select(
         F.lit(None).cast("string").alias("city_name"), F.col("state").alias("state_code"),
         F.lit("STATE").alias("loc_type"), F.lit(0).alias("_grain"))
     cities = obs.filter(F.col("loc_type") == "CITY").select(
         F.col("loc").alias("city_name"), F.col("state").alias("state_code"),
         F.lit("CITY").alias("loc_type"), F.lit(1).alias("_grain"))
-    places = states.unionByName(cities).distinct()
-    keyed = dense_keys(places, "location_key", ["_grain", "state_code"], ["city_name"])
+    places = states.unionByName(cities).distinct().withColumn(
+        "_spread", F.substring(F.md5("city_name"), 1, 2))
+    keyed = dense_keys(places, "location_key", ["_grain", "state_code", "_spread"], ["city_name"])
     return conform(keyed.join(regions, "state_code", "left"), schemas.DIM_LOCATION)
 
 

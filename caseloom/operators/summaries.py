@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from caseloom.functions import nested, rounding
+from caseloom.functions import rounding
 from caseloom.operators.bucket import unwound
 from caseloom.operators.models import Buckets, Star
 
@@ -31,26 +31,43 @@ def yearly_disease_region(star: Star) -> DataFrame:
     per_place = (star.rows("disease", "time", "location").groupBy(*keys, "location_key")
                  .agg(F.sum("case_count").alias("cases"), F.sum("incidence_rate").alias("rates"),
                       F.count("incidence_rate").alias("n"), F.max("case_count").alias("peak")))
-    mean = (F.sum("rates").cast("decimal(26,4)") / F.sum("n").cast("decimal(16,0)"))
     return per_place.groupBy(*keys).agg(
-        F.sum("cases").alias("total_cases"), mean.alias("avg_incidence_rate"),
+        F.sum("cases").alias("total_cases"), _merged_rate(),
         F.max("peak").alias("peak_weekly_cases"), F.count("*").alias("reporting_locations"))
 
 
+def _place_totals(star: Star, *keys: str, grain: str | None = None) -> DataFrame:
+    """Fact totals per place and the given keys, so the join with places moves few rows."""
+    rows = star.rows("time", grain=grain) if "year" in keys else star.rows(grain=grain)
+    return rows.groupBy("disease_key", "location_key", "loc_type", *keys).agg(
+        F.sum("case_count").alias("cases"), F.sum("incidence_rate").alias("rates"),
+        F.count("incidence_rate").alias("n"))
+
+
+def _merged_rate():
+    return (F.sum("rates").cast("decimal(26,4)") / F.sum("n").cast("decimal(16,0)")).alias(
+        "avg_incidence_rate")
+
+
 def decade_disease_national(star: Star) -> DataFrame:
     """Decade totals by disease over both grains, with the part reported by cities."""
-    city_cases = F.sum(F.when(F.col("loc_type") == "CITY", F.col("case_count")).otherwise(0))
-    return (star.rows("disease", "location", grain=None).groupBy("disease_name", "decade")
-            .agg(F.sum("case_count").alias("total_cases"), _mean_rate(),
+    city_cases = F.sum(F.when(F.col("loc_type") == "CITY", F.col("cases")).otherwise(0))
+    places = star.dim_location.select("location_key", "state_code")
+    return (_place_totals(star, "decade").join(places, "location_key")
+            .join(star.diseases(), "disease_key").groupBy("disease_name", "decade")
+            .agg(F.sum("cases").alias("total_cases"), _merged_rate(),
                  F.count_distinct("state_code").alias("states_reporting"),
                  city_cases.alias("cases_reported_at_city_grain")))
 
 
 def yearly_disease_city(star: Star) -> DataFrame:
     """Yearly totals by disease and city; empty where nothing reports at city grain."""
-    return (star.rows("disease", "time", "location", grain="CITY")
+    places = star.dim_location.filter(F.col("loc_type") == "CITY").select(
+        "location_key", "city_name", "state_code")
+    return (_place_totals(star, "year", grain="CITY").join(places, "location_key")
+            .join(star.diseases(), "disease_key")
             .groupBy("disease_name", "city_name", "state_code", "year")
-            .agg(F.sum("case_count").alias("total_cases"), _mean_rate()))
+            .agg(F.sum("cases").alias("total_cases"), _merged_rate()))
 
 
 def _bucket_summary(rows: DataFrame, keys: dict) -> DataFrame:
@@ -80,9 +97,7 @@ def decade_national(buckets: Buckets) -> DataFrame:
 
 def first_match(lookup: DataFrame, key: str, *columns: str) -> DataFrame:
     """One row per key: the smallest of its matches."""
-    matched = lookup.groupBy(key).agg(
-        nested.first_of(F.array_sort(F.collect_set(F.struct(*columns)))).alias("match"))
-    return matched.select(key, "match.*")
+    return lookup.groupBy(key).agg(F.min(F.struct(*columns)).alias("match")).select(key, "match.*")
 
 
 def weekly_by_region(buckets: Buckets, regions: DataFrame) -> DataFrame:

@@ -532,7 +532,7 @@ ORACLES["dim_time"] = _sql("t", _TIME.format(
 ORACLES["time_fields"] = _sql("cl", _TIME.format(key="", source="cl"))
 ORACLES["dim_location"] = _sql("t rg", """
 WITH p AS (SELECT DISTINCT city AS city_name, state AS state_code, loc_type FROM t)
-SELECT CAST(row_number() OVER (ORDER BY loc_type DESC, state_code, city_name) AS INT) AS location_key,
+SELECT CAST(row_number() OVER (ORDER BY loc_type DESC, state_code, substr(md5(city_name), 1, 2), city_name) AS INT) AS location_key,
        city_name, state_code, rg.state AS state_name, region AS census_region,
        division AS census_division, lat AS latitude, lng AS longitude, loc_type
 FROM p LEFT JOIN rg ON rg.state = p.state_code""")

@@ -626,7 +626,7 @@ def _topic(wh: Warehouse, sf_dir: str) -> str:
     path = wh.path("topic")
     if not tables.table_exists(wh.spark, path):
         messages = events.as_messages(binding.event_rows(wh.spark, sf_dir))
-        events.publish_files(messages.repartition(8, "event_id"), path)
+        events.publish_files(messages, path)
     return path
 
 
@@ -634,8 +634,8 @@ def _run_folder(wh: Warehouse) -> str:
     return wh.path(f"stream-{uuid.uuid4().hex}")
 
 
-def _event_stream(wh: Warehouse, sf_dir: str, max_files: int | None = 3) -> DataFrame:
-    return events.parsed_events(events.file_topic(wh.spark, _topic(wh, sf_dir), max_files))
+def _event_stream(wh: Warehouse, sf_dir: str) -> DataFrame:
+    return events.parsed_events(events.file_topic(wh.spark, _topic(wh, sf_dir)))
 
 
 def _appended(wh: Warehouse, stream: DataFrame) -> DataFrame:
@@ -698,7 +698,7 @@ def _national_bounded(wh, sf_dir):
 
 @register("stream_event_rate")
 def _rate(wh, sf_dir):
-    rates = stream_queries.event_rates(_event_stream(wh, sf_dir, max_files=None))
+    rates = stream_queries.event_rates(_event_stream(wh, sf_dir))
     return _state_of(wh, rates, ["window_start"]).withColumns({
         c: F.date_format(c, "yyyy-MM-dd HH:mm:ss") for c in ("window_start", "window_end")})
 

@@ -54,6 +54,7 @@ class Warehouse:
     root: str
     sources: Callable[[], Sources]
     _frames: dict[str, DataFrame] = field(default_factory=dict)
+    _opened: Sources | None = None
     _lock: threading.RLock = field(default_factory=threading.RLock)
 
     def path(self, name: str) -> str:
@@ -75,6 +76,7 @@ class Warehouse:
         Without ``full_refresh`` a table that already holds rows is left alone.
         """
         outcome = []
+        self._opened = None
         for name, (schema, partitions, clustering) in LAYOUT.items():
             started = time.monotonic()
             with self._lock:
@@ -94,14 +96,20 @@ class Warehouse:
         df = self._build(name).select(*LAYOUT[name][0].fieldNames())
         write_table(df, self.path(name), partitions, clustering)
 
+    def _inputs(self) -> Sources:
+        """The inputs, listed and opened once per load."""
+        if self._opened is None:
+            self._opened = self.sources()
+        return self._opened
+
     def _build(self, name: str) -> DataFrame:
         t = self.table
         builders: Mapping[str, Callable[[], DataFrame]] = {
-            "observations": lambda: self.sources().observations,
-            "regions": lambda: self.sources().regions,
-            "diseases": lambda: self.sources().diseases,
-            "populations": lambda: self.sources().populations,
-            "borders": lambda: graph.border_edges(self.sources().border_lists, t("regions")),
+            "observations": lambda: self._inputs().observations,
+            "regions": lambda: self._inputs().regions,
+            "diseases": lambda: self._inputs().diseases,
+            "populations": lambda: self._inputs().populations,
+            "borders": lambda: graph.border_edges(self._inputs().border_lists, t("regions")),
             "dim_time": lambda: star.build_dim_time(t("observations")),
             "dim_location": lambda: star.build_dim_location(t("observations"), t("regions")),
             "dim_disease": lambda: star.build_dim_disease(t("diseases")),
