@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,12 +18,14 @@ class Star:
     dim_location: DataFrame
     dim_disease: DataFrame
 
+    @cached_property
     def times(self) -> DataFrame:
         shorts = ["week_number", "month", "quarter", "year", "decade", "century"]
         wide = self.dim_time.withColumns({c: F.col(c).cast("int") for c in shorts})
         # The fact carries the decade as its partition column.
         return wide.withColumnRenamed("decade", "time_decade")
 
+    @cached_property
     def diseases(self) -> DataFrame:
         return self.dim_disease.withColumn(
             "vaccine_intro_year", F.col("vaccine_intro_year").cast("int"))
@@ -42,9 +45,9 @@ class Star:
             fact = fact.filter(F.col("decade").between(first - first % 10, last - last % 10))
         rows = fact
         if "disease" in dims:
-            rows = rows.join(self.diseases(), "disease_key")
+            rows = rows.join(self.diseases, "disease_key")
         if "time" in dims:
-            rows = rows.join(self.times(), "time_key")
+            rows = rows.join(self.times, "time_key")
         if "location" in dims:
             places = self.dim_location
             if grain:

@@ -43,10 +43,15 @@ def profile(tables: Mapping[str, Mapping[str, DataFrame]]) -> DataFrame:
     return reduce(DataFrame.unionByName, counts)
 
 
+def totals_by(answers: DataFrame, by: str, value: str = "total_cases") -> DataFrame:
+    """Totals of ``value`` by one key, in key order."""
+    return answers.groupBy(by).agg(F.sum(value).alias("total_cases")).orderBy(by)
+
+
 def totals_with_share(answers: DataFrame, by: str, value: str = "total_cases") -> DataFrame:
-    """Totals of ``value`` by one key and their whole-number share of the grand total.
+    """Totals by one key, largest first, with their whole-number share of the grand total.
 
-    The grand total is a one-row aggregate of the per-key totals.
+    The grand total is a window over the per-key totals, not over the rows.
     """
     totals = answers.groupBy(by).agg(F.sum(value).alias("total_cases"))
     everything = Window.partitionBy()

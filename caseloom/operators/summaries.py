@@ -54,7 +54,7 @@ def decade_disease_national(star: Star) -> DataFrame:
     city_cases = F.sum(F.when(F.col("loc_type") == "CITY", F.col("cases")).otherwise(0))
     places = star.dim_location.select("location_key", "state_code")
     return (_place_totals(star, "decade").join(places, "location_key")
-            .join(star.diseases(), "disease_key").groupBy("disease_name", "decade")
+            .join(star.diseases, "disease_key").groupBy("disease_name", "decade")
             .agg(F.sum("cases").alias("total_cases"), _merged_rate(),
                  F.count_distinct("state_code").alias("states_reporting"),
                  city_cases.alias("cases_reported_at_city_grain")))
@@ -65,7 +65,7 @@ def yearly_disease_city(star: Star) -> DataFrame:
     places = star.dim_location.filter(F.col("loc_type") == "CITY").select(
         "location_key", "city_name", "state_code")
     return (_place_totals(star, "year", grain="CITY").join(places, "location_key")
-            .join(star.diseases(), "disease_key")
+            .join(star.diseases, "disease_key")
             .groupBy("disease_name", "city_name", "state_code", "year")
             .agg(F.sum("cases").alias("total_cases"), _merged_rate()))
 

@@ -437,6 +437,11 @@ ORACLES["refresh_summaries"] = _sql("st", " UNION ALL ".join(
 
 ORACLES["scan_raw_csv"] = _sql("feed", "SELECT * EXCLUDE (event_id) FROM feed")
 ORACLES["clean_observations"] = _sql("cl", "SELECT * FROM cl")
+ORACLES["scan_reference_csv"] = _sql("rg pop bd", """
+SELECT rg.state AS state_code, region AS census_region, lat AS latitude, population,
+       'NATION_' || ((nk + 1) % 25) || ' NATION_' || ((nk + 24) % 25) || ' NATION_' || ((nk + 5) % 25)
+         || ' NATION_' || ((nk + 20) % 25) AS borders
+FROM rg LEFT JOIN pop ON pop.state = rg.state AND decade = 1990""")
 ORACLES["rows_by_grain"] = _sql("cl", "SELECT loc_type, count(*) AS row_count FROM cl GROUP BY 1")
 ORACLES["source_labels"] = "SELECT 'real' AS source_label, count(*) AS row_count FROM events"
 _CHECKED = f"""
@@ -718,6 +723,10 @@ SELECT DISTINCT cases, disease AS raw_disease, loc_type, TRY_CAST(cases AS DOUBL
 ORACLES["publish_messages"] = _sql("ev", """
 SELECT epi_week, state, state AS loc, 'STATE' AS loc_type, disease, cases, incidence_rate, event_id,
        state || '_' || epi_week AS message_key FROM ev""")
+ORACLES["publish_observations"] = _sql("t", f"""
+SELECT disease, epi_week, count(*) AS events, {_total()} AS cases,
+       min(rate) AS lowest_rate, max(rate) AS highest_rate
+FROM t GROUP BY 1, 2""")
 ORACLES["publish_head"] = "SELECT least(500, count(*)) AS messages FROM events"
 ORACLES["stream_validated"] = _sql("ev", """
 SELECT epi_week, state, state AS loc, 'STATE' AS loc_type, disease, cases, incidence_rate, event_id

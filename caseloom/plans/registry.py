@@ -219,6 +219,25 @@ def _scan_csv(wh, sf_dir):
     return _feed(wh, sf_dir)
 
 
+@register("scan_reference_csv")
+def _scan_reference(wh, sf_dir):
+    """The four reference tables as CSV files, scanned back with their fixed schemas."""
+    scans = {"regions": observations.scan_regions, "diseases": observations.scan_diseases,
+             "populations": observations.scan_populations, "borders": observations.scan_borders}
+    frames = {**{n: wh.table(n) for n in ("regions", "diseases", "populations")},
+              "borders": binding.border_lists(wh.spark, sf_dir)}
+    back = {}
+    for name, scan in scans.items():
+        path = wh.path(f"reference/{name}.csv")
+        if not tables.table_exists(wh.spark, path):
+            frames[name].write.mode("overwrite").option("header", True).csv(path)
+        back[name] = scan(wh.spark, path)
+    regions, people = back["regions"], back["populations"].filter(F.col("decade") == 1990)
+    return (regions.join(people.select("state_code", "population"), "state_code", "left")
+            .join(back["borders"], "state_code", "left")
+            .select("state_code", "census_region", "latitude", "population", "borders"))
+
+
 @register("clean_observations")
 def _clean(wh, sf_dir):
     return clean.clean_observations(_feed(wh, sf_dir))
@@ -342,7 +361,7 @@ def _dim_location(wh, sf_dir):
 
 @register("dim_disease")
 def _dim_disease(wh, sf_dir):
-    return wh.star().diseases()
+    return wh.star().diseases
 
 
 @register("fact")
@@ -572,7 +591,7 @@ def _by_disease(wh, sf_dir):
 
 @register("overview_by_decade")
 def _by_decade(wh, sf_dir):
-    return reconcile.totals_with_share(catalog.run(wh, "Q1", "bucket"), "decade").drop("share_pct")
+    return reconcile.totals_by(catalog.run(wh, "Q1", "bucket"), "decade")
 
 
 # --- expression-level rows --------------------------------------------------------------
@@ -657,6 +676,16 @@ def _messages(wh, sf_dir):
     return events.parsed_events(messages.withColumn("message_key", F.col("key")))
 
 
+@register("publish_observations")
+def _published_observations(wh, sf_dir):
+    """Stored observations published as events, decoded again and totalled."""
+    messages = events.as_messages(events.from_observations(wh.table("observations")))
+    decoded = events.parsed_events(messages)
+    return decoded.groupBy("disease", "epi_week").agg(
+        F.count("*").alias("events"), F.sum("cases").alias("cases"),
+        F.min("incidence_rate").alias("lowest_rate"), F.max("incidence_rate").alias("highest_rate"))
+
+
 @register("publish_head")
 def _head(wh, sf_dir):
     """How many messages a limited publish emits."""

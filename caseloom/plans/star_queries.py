@@ -134,7 +134,7 @@ def q08_star(star: Star, span: int = 10) -> DataFrame:
     """
     yearly = (star.rows("time").groupBy("disease_key", "year")
               .agg(F.sum("case_count").alias("yearly_total")))
-    known = star.diseases().filter(F.col("vaccine_intro_year").isNotNull())
+    known = star.diseases.filter(F.col("vaccine_intro_year").isNotNull())
     pre, n_pre = window_total("before", "yearly_total", span)
     post, n_post = window_total("after", "yearly_total", span)
     windows = (known.join(yearly, "disease_key", "left")

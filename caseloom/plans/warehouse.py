@@ -55,6 +55,7 @@ class Warehouse:
     sources: Callable[[], Sources]
     _frames: dict[str, DataFrame] = field(default_factory=dict)
     _opened: Sources | None = None
+    _star: Star | None = None
     _lock: threading.RLock = field(default_factory=threading.RLock)
 
     def path(self, name: str) -> str:
@@ -76,7 +77,7 @@ class Warehouse:
         Without ``full_refresh`` a table that already holds rows is left alone.
         """
         outcome = []
-        self._opened = None
+        self._opened = self._star = None
         for name, (schema, partitions, clustering) in LAYOUT.items():
             started = time.monotonic()
             with self._lock:
@@ -132,7 +133,10 @@ class Warehouse:
             obs, self.table("regions"), self.table("diseases"), None if none else oversized)
 
     def star(self) -> Star:
-        return Star(*[self.table(n) for n in ("fact", "dim_time", "dim_location", "dim_disease")])
+        if self._star is None:
+            self._star = Star(
+                *[self.table(n) for n in ("fact", "dim_time", "dim_location", "dim_disease")])
+        return self._star
 
     def buckets(self) -> Buckets:
         return Buckets(self.table("buckets"))

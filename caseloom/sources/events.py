@@ -6,6 +6,8 @@ timestamp columns; everything downstream is the same for both.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,11 +20,22 @@ PARSED = schemas.T.StructType([*schemas.EVENT.fields,
                                schemas.T.StructField(CORRUPT, schemas.STR, True)])
 
 
-def as_messages(rows: DataFrame, limit: int = 0) -> DataFrame:
-    """Rows as (key, value) messages plus any other columns; ``limit`` > 0 takes a head only."""
+def from_observations(rows: DataFrame) -> DataFrame:
+    """Observations as events: the same fields, the rate under its event name."""
+    return rows.select(
+        F.col("epi_week").cast("int").alias("epi_week"), "state", "loc", "loc_type", "disease",
+        F.col("cases").cast("int").alias("cases"),
+        F.col("incidence_per_100000").cast("double").alias("incidence_rate"))
+
+
+def as_messages(rows: DataFrame, limit: int = 0,
+                fields: Sequence[str] = tuple(schemas.EVENT.fieldNames())) -> DataFrame:
+    """Rows as (key, value) messages, ``fields`` in the value and other columns beside it.
+
+    ``limit`` > 0 takes a head only.
+    """
     if limit > 0:
         rows = rows.limit(limit)
-    fields = schemas.EVENT.fieldNames()
     return rows.select(
         F.concat_ws("_", F.col("state"), F.col("epi_week").cast("string")).alias("key"),
         F.to_json(F.struct(*fields)).alias("value"),
