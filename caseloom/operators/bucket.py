@@ -54,9 +54,10 @@ def group_buckets(obs: DataFrame, oversized: DataFrame | None = None) -> DataFra
     rows = _rows(obs)
     if oversized is None:
         return rows.groupBy(*KEYS).agg(_weekly(), *_summary()).withColumn("part", F.lit(0))
-    spread = rows.join(oversized, KEYS, "left").withColumn("part", F.when(
-        F.col("parts").isNotNull(),
-        F.pmod(F.monotonically_increasing_id(), F.col("parts")).cast("int")).otherwise(F.lit(0)))
+    # Numbered at the scan, so a repeated task gives its rows the same parts again.
+    numbered = rows.withColumn("row_id", F.monotonically_increasing_id())
+    spread = numbered.join(oversized, KEYS, "left").withColumn("part", F.coalesce(
+        F.pmod(F.col("row_id"), F.col("parts")).cast("int"), F.lit(0)))
     arrays = spread.groupBy(*KEYS, "part").agg(_weekly())
     summaries = rows.groupBy(*KEYS).agg(*_summary()).withColumn("part", F.lit(0))
     return arrays.join(summaries, [*KEYS, "part"], "full").withColumn(

@@ -734,10 +734,9 @@ def _rate(wh, sf_dir):
 
 def _latest(wh: Warehouse, stream: DataFrame, n: int) -> DataFrame:
     folder = _run_folder(wh)
-    query = sinks.finish(sinks.keep_latest(
+    sinks.finish(sinks.keep_latest(
         stream, ["timestamp", "event_id"], n, f"{folder}/versions", f"{folder}/checkpoint"))
-    last = sinks.latest_version(wh.spark, f"{folder}/versions", query.lastProgress["batchId"])
-    return wh.spark.read.schema(stream.schema).parquet(last)
+    return sinks.latest_rows(wh.spark, f"{folder}/versions", stream.schema)
 
 
 @register("stream_latest_events")

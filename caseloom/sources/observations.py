@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from caseloom import schemas
 from caseloom.functions.text import missing_to_null
+from caseloom.sources.tables import path_exists
 
 # File looked for first, then the ones that stand in for it, in order.
 ACTIVE_FILE = "observations.csv"
@@ -43,11 +44,10 @@ def with_source_label(spark: SparkSession, path: str | list[str]) -> DataFrame:
 def resolve_active(spark: SparkSession, folder: str, active: str = ACTIVE_FILE,
                    fallbacks: Sequence[str] = FALLBACK_FILES) -> str:
     """Path of the data set to load: the active name, else the first fallback present."""
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     for name in dict.fromkeys([active, *fallbacks]):
-        path = jvm.org.apache.hadoop.fs.Path(f"{folder.rstrip('/')}/{name}")
-        if path.getFileSystem(conf).exists(path):
-            return f"{folder.rstrip('/')}/{name}"
+        path = f"{folder.rstrip('/')}/{name}"
+        if path_exists(spark, path):
+            return path
     raise FileNotFoundError(f"no observation file in {folder}")
 
 

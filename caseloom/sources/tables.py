@@ -32,11 +32,32 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
     return spark.read.schema(schema).parquet(path)
 
 
+def _file_system(spark: SparkSession, path: str):
+    """Hadoop file system and path object, so any storage Spark can reach works."""
+    location = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return location.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), location
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    system, location = _file_system(spark, path)
+    return system.exists(location)
+
+
 def table_exists(spark: SparkSession, path: str) -> bool:
     """True when a committed table is at ``path`` (its success marker is present)."""
-    jvm = spark.sparkContext._jvm
-    marker = jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
-    return marker.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(marker)
+    return path_exists(spark, f"{path}/_SUCCESS")
+
+
+def child_names(spark: SparkSession, path: str) -> list[str]:
+    system, location = _file_system(spark, path)
+    if not system.exists(location):
+        return []
+    return [status.getPath().getName() for status in system.listStatus(location)]
+
+
+def remove_table(spark: SparkSession, path: str) -> None:
+    system, location = _file_system(spark, path)
+    system.delete(location, True)
 
 
 def load_if_empty(df: DataFrame, path: str, schema: T.StructType, **layout: Sequence[str]) -> bool:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from caseloom.sources.tables import table_exists
+from caseloom.sources.tables import child_names, remove_table, table_exists
 
 
 def append_rows(stream: DataFrame, path: str, checkpoint: str, **trigger) -> StreamingQuery:
@@ -53,29 +53,42 @@ def current_state(spark: SparkSession, path: str, schema: T.StructType,
 
 def keep_latest(stream: DataFrame, order: Sequence[str], n: int, path: str, checkpoint: str,
                 **trigger) -> StreamingQuery:
-    """Keeps the newest ``n`` rows. Each batch writes a new version next to the last one."""
+    """Keeps the newest ``n`` rows.
+
+    Each batch writes a version made from the one before it and removes older ones, so a
+    repeated batch starts from the same rows and writes the same version again.
+    """
     newest = [F.desc(c) for c in order]
     schema = stream.schema
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         top = batch.orderBy(*newest).limit(n)
-        previous = latest_version(spark, path, batch_id - 1)
-        if previous is not None:
-            top = spark.read.schema(schema).parquet(previous).unionByName(top)
-        top.orderBy(*newest).limit(n).write.mode("overwrite").parquet(f"{path}/{batch_id}")
+        earlier = [v for v in versions(spark, path) if v < batch_id]
+        if earlier:
+            previous = spark.read.schema(schema).parquet(f"{path}/{earlier[-1]}")
+            top = previous.unionByName(top).orderBy(*newest).limit(n)
+        top.write.mode("overwrite").parquet(f"{path}/{batch_id}")
+        for version in earlier[:-1]:
+            remove_table(spark, f"{path}/{version}")
 
     return (stream.writeStream.outputMode("append").foreachBatch(write)
             .option("checkpointLocation", checkpoint)
             .trigger(**(trigger or {"availableNow": True})).start())
 
 
-def latest_version(spark: SparkSession, path: str, upto: int) -> str | None:
-    """Folder of the newest committed version not after ``upto``."""
-    for version in range(upto, -1, -1):
-        if table_exists(spark, f"{path}/{version}"):
-            return f"{path}/{version}"
-    return None
+def versions(spark: SparkSession, path: str) -> list[int]:
+    """Committed versions below ``path``, oldest first."""
+    return sorted(int(name) for name in child_names(spark, path)
+                  if name.isdigit() and table_exists(spark, f"{path}/{name}"))
+
+
+def latest_rows(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """Rows of the newest version; no rows before the first one."""
+    done = versions(spark, path)
+    if not done:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(f"{path}/{done[-1]}")
 
 
 def finish(query: StreamingQuery, timeout: int = 3600) -> StreamingQuery:

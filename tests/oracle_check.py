@@ -41,7 +41,10 @@ def _plain(value):
 
 
 def compare(spark, sf_dir: str, name: str, query, sql: str) -> list[str]:
-    """Problems found; empty when names, types, row count and all values agree exactly."""
+    """Problems found; empty when names, types, row count and all values agree exactly.
+
+    An answer without rows proves nothing and counts as a problem.
+    """
     df = query(spark, sf_dir)
     con = duck(sf_dir)
     answer = con.execute(sql)
@@ -61,6 +64,8 @@ def compare(spark, sf_dir: str, name: str, query, sql: str) -> list[str]:
     wanted = sorted((tuple(_plain(r[i]) for i in place) for r in expected), key=_sort_key)
     if len(actual) != len(wanted):
         problems.append(f"rows {len(actual)} != {len(wanted)}")
+    elif not actual:
+        problems.append("no rows")
     elif actual != wanted:
         bad = [(a, w) for a, w in zip(actual, wanted) if a != w]
         problems.append(f"{len(bad)} of {len(actual)} rows differ; {order}: {bad[:2]}")

@@ -20,9 +20,11 @@ SECOND = [event(5, "FLU", 202401, 7, 20.0, 4), event(6, "POX", 202403, None, 70.
           event(7, "POX", 202403, 2, 50.0, 12.5), event(8, "POX", 202403, 2, 50.1, 30)]
 
 
+EVENT_ROWS = schemas.T.StructType([*schemas.EVENT.fields, *schemas.TOPIC.fields[2:]])
+
+
 def rows(spark, data):
-    schema = schemas.T.StructType([*schemas.EVENT.fields, *schemas.TOPIC.fields[2:]])
-    return spark.createDataFrame(data, schema)
+    return spark.createDataFrame(data, EVENT_ROWS)
 
 
 class Topic:
@@ -128,13 +130,23 @@ def test_event_rate_equals_brute_force(topic, spark, tmp_path):
 
 def test_latest_rows(topic, spark, tmp_path):
     out = str(tmp_path / "out")
+    assert sinks.latest_rows(spark, out, EVENT_ROWS).isEmpty()
     for data in (SECOND, FIRST, [event(9, "FLU", 202402, 1, 1.0, 20)]):
         topic.publish(data)
-        stream = topic.stream()
-        query = sinks.finish(sinks.keep_latest(stream, ["timestamp", "event_id"], 3, out, out + "-cp"))
-    last = sinks.latest_version(spark, out, query.lastProgress["batchId"])
-    assert sorted(r.event_id for r in spark.read.parquet(last).collect()) == [7, 8, 9]
-    assert sinks.latest_version(spark, str(tmp_path / "none"), 3) is None
+        sinks.finish(sinks.keep_latest(topic.stream(), ["timestamp", "event_id"], 3, out, out + "-cp"))
+    assert sorted(r.event_id for r in sinks.latest_rows(spark, out, EVENT_ROWS).collect()) == [7, 8, 9]
+    assert sinks.versions(spark, out) == [1, 2]
+
+
+def test_repeated_batch_keeps_the_same_latest_rows(topic, spark, tmp_path):
+    out = str(tmp_path / "out")
+    for data in (FIRST, SECOND):
+        topic.publish(data)
+    for checkpoint in ("a", "b"):
+        # The second run replays batches 0 and 1 over the versions of the first.
+        sinks.finish(sinks.keep_latest(topic.stream(), ["timestamp", "event_id"], 2, out, f"{out}-{checkpoint}"))
+    latest = sinks.latest_rows(spark, out, EVENT_ROWS)
+    assert sorted(r.event_id for r in latest.collect()) == [7, 8]
 
 
 def test_queries_also_run_on_batches(spark):
