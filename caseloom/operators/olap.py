@@ -35,7 +35,8 @@ def _choice(name: str, options: Mapping[str, Any]):
 
 def _slice_rows(star: Star, dimension: str, value: Any, *extra: str) -> tuple[DataFrame, str]:
     table, column = _choice(dimension, DIMENSIONS)
-    rows = star.rows(*{table, *extra}, grain=None, where=F.col(column) == value)
+    rows = star.rows(*{table, *extra}, grain=None, where=F.col(column) == value,
+                     years=(int(value), int(value)) if dimension == "year" else None)
     return rows.withColumn("slice_key", F.col(column)), column
 
 
@@ -58,7 +59,8 @@ def dice(star: Star, values: Mapping[str, Any]) -> DataFrame:
     known = {name: value for name, value in values.items() if name in DIMENSIONS}
     if not known:
         raise ValueError(f"give a value for at least one of {list(DIMENSIONS)}")
-    rows = star.rows("disease", "time", "location")
+    years = (int(known["year"]),) * 2 if "year" in known else None
+    rows = star.rows("disease", "time", "location", years=years)
     for name, value in known.items():
         rows = rows.filter(F.col(DIMENSIONS[name][1]) == value)
     return (rows.groupBy("disease_name", "state_name", "year")
@@ -73,7 +75,8 @@ def drill_down(star: Star, granularity: str, value: int | None = None) -> DataFr
     """
     fine = _choice(granularity, FINER)
     coarse_column = LEVEL_COLUMNS.get(granularity, granularity)
-    rows = star.rows("disease", "time")
+    one_year = granularity == "year" and value is not None
+    rows = star.rows("disease", "time", years=(value, value) if one_year else None)
     if value is not None:
         rows = rows.filter(F.col(coarse_column) == value)
     return (rows.groupBy("disease_name", F.col(coarse_column).alias(granularity),
