@@ -22,6 +22,16 @@ def missing_columns(columns: Sequence[str], required: Sequence[str] = schemas.RA
     return sorted(set(required) - set(columns))
 
 
+def column_report(df: DataFrame, required: Sequence[str] = schemas.RAW_COLUMNS) -> DataFrame:
+    """One row per required column: is it there, and in how many rows is it filled."""
+    missing = missing_columns(df.columns, required)
+    filled = [F.lit(0).cast("long") if c in missing else F.count(F.col(c)) for c in required]
+    counted = df.agg(F.count("*").alias("total_rows"),
+                     *[n.alias(c) for n, c in zip(filled, required)])
+    rows = counted.unpivot(["total_rows"], list(required), "column_name", "filled_rows")
+    return rows.withColumn("present", ~F.col("column_name").isin(missing))
+
+
 def _members(reference: DataFrame, column: str, name: str) -> DataFrame:
     return reference.select(F.col(column).alias(name)).distinct().withColumn(f"known_{name}", F.lit(True))
 

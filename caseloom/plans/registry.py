@@ -258,6 +258,13 @@ def _labels(wh, sf_dir):
     return rows.groupBy("source_label").agg(F.count("*").alias("row_count"))
 
 
+@register("quality_column_report")
+def _columns(wh, sf_dir):
+    """Required columns of the raw event table under their surveillance names; two are missing."""
+    rows = raw_feed(wh.spark, sf_dir).drop("loc_type", "incidence_per_100000")
+    return quality.column_report(rows)
+
+
 @register("quality_issue_counts")
 def _issues(wh, sf_dir):
     return quality.issue_counts(_feed(wh, sf_dir), wh.table("regions"), wh.table("diseases"))

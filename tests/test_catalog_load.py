@@ -104,6 +104,26 @@ def test_scratch_follows_the_session(spark):
         assert root.startswith(shared.rstrip("/"))
 
 
+class _Session:
+    """Just enough of a session to ask for its scratch folder."""
+
+    def __init__(self, master, shared=None):
+        self.sparkContext = type("Context", (), {"master": master, "applicationId": f"app-{master}"})()
+        self.conf = type("Conf", (), {"get": staticmethod(lambda key, default=None: shared)})()
+
+
+def test_scratch_without_a_shared_folder():
+    assert scratch_root(_Session("yarn", "hdfs://x/cp/")) == "hdfs://x/cp/caseloom-app-yarn"
+    with pytest.raises(RuntimeError):
+        scratch_root(_Session("yarn"))
+    local = scratch_root(_Session("local[2]"))
+    assert local == scratch_root(_Session("local[2]")) and "caseloom-" in local
+
+
+def test_unset_settings_read_as_none(spark):
+    assert spark.conf.get("spark.caseloom.unset", None) is None
+
+
 def test_shuffle_partitions_follow_the_data():
     mb = 1024 * 1024
     assert shuffle_partitions(37 * mb, 8) == 1
