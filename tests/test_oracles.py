@@ -17,4 +17,5 @@ def test_entry(spark):
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, sf_dir, name):
-    assert compare(spark, sf_dir, name, QUERIES[name], ORACLES[name]) == []
+    # The smallest scale has no rows for some parameters; larger scales are run by the script.
+    assert compare(spark, sf_dir, name, QUERIES[name], ORACLES[name], allow_empty=True) == []
