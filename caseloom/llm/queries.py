@@ -7,13 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caseloom.llm import decontaminate, fingerprint, mixing, secrets, shards
+from caseloom.llm import decontaminate, fingerprint, jaccard, mixing, secrets, shards, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Probabilities of the categories and the decision for every document."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = toxicity.chain_for(docs, _table(spark, sf_dir, "labels")).scored(docs)
+    return scored.select("doc_id", "p_low_quality", "p_toxic", toxicity.is_toxic(F.col("text")).alias("toxic"))
+
+
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in every document, scanned once per distinct text with an empty ledger."""
     versions = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -59,6 +66,12 @@ def op6_byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of documents that link at 85 percent of their four-word shingles."""
+    groups = jaccard.similar_groups(_table(spark, sf_dir, "documents"), jaccard.Threshold(85, 100), n=4)
+    return groups.select("doc_id", "n_shingles", "component_id")
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words the mix takes from every document."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "source")
@@ -68,10 +81,12 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_toxicity": op2_toxicity,
     "op3_secret_scan": op3_secret_scan,
     "op4_decontamination": op4_decontamination,
     "op5_fingerprint": op5_fingerprint,
     "op6_byte_shards": op6_byte_shards,
+    "op7_jaccard_join": op7_jaccard_join,
     "op10_mixing": op10_mixing,
 }
 
