@@ -4,16 +4,30 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caseloom.llm import decontaminate, fingerprint, jaccard, mixing, secrets, shards, toxicity
+from caseloom.llm import (
+    chat, decontaminate, fingerprint, jaccard, licences, mixing, repeats, secrets, shards, toxicity)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_preference_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prompt and masked completions of every conversation against its sibling's last reply."""
+    pairs = chat.sibling_pairs(_table(spark, sf_dir, "conversations"))
+    return chat.preference_records(pairs).select(
+        "pair_id", "prompt_turns", "prompt", "chosen", _spans("chosen_mask"),
+        "rejected", _spans("rejected_mask"))
+
+
+def _spans(column: str) -> Column:
+    """Spans as text, start:end, joined by commas."""
+    return F.array_join(F.transform(column, lambda s: F.concat_ws(":", s["start"], s["end"])), ",").alias(column)
+
+
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Probabilities of the categories and the decision for every document."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -72,6 +86,20 @@ def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", "n_shingles", "component_id")
 
 
+def op8_repeated_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without later occurrences of lines, and where they were."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = repeats.deduplicated(docs)
+    return found.select("doc_id", F.size("spans").cast("long").alias("n_removed"),
+                        _spans("spans").alias("spans"), "text")
+
+
+def op9_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licences of every document by its known sentences."""
+    found = licences.licences(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_sentences", "sequence", F.array_join("licences", ",").alias("licences"))
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words the mix takes from every document."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "source")
@@ -81,12 +109,15 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_preference_format": op1_preference_format,
     "op2_toxicity": op2_toxicity,
     "op3_secret_scan": op3_secret_scan,
     "op4_decontamination": op4_decontamination,
     "op5_fingerprint": op5_fingerprint,
     "op6_byte_shards": op6_byte_shards,
     "op7_jaccard_join": op7_jaccard_join,
+    "op8_repeated_lines": op8_repeated_lines,
+    "op9_licence_scan": op9_licence_scan,
     "op10_mixing": op10_mixing,
 }
 
