@@ -7,12 +7,24 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from caseloom.llm import decontaminate, mixing, shards
+from caseloom.llm import decontaminate, jaccard, mixing, shards, toxicity
 from caseloom.llm.common import shared_root
 
 N_SHARDS = 16
 
 
+def _decent(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier chain, fitted on their labelled rows, does not reject."""
+    chain = toxicity.chain_for(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    scored = chain.scored(docs)
+    return scored.where(~toxicity.is_toxic(scored["text"])).select(*docs.columns)
+
+
+def _distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group that links at 80 percent of five-word shingles."""
+    return jaccard.one_per_group(docs, jaccard.Threshold(80, 100), n=5)
+
+
 def _benchmark_free(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without any window of a benchmark item."""
     return decontaminate.decontaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
@@ -29,6 +41,8 @@ def _sharded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("toxicity", _decent),
+    ("n-gram Jaccard join", _distinct),
     ("benchmark decontamination", _benchmark_free),
     ("mixing sources", _mixed),
     ("sharding", _sharded),
