@@ -18,6 +18,8 @@ BEGINNING = 4
 #: Documents that must hold a word before a model looks at it.
 LEAST_DOCS = 3
 STEPS = 40
+#: Log odds of a category that no training row has.
+NEVER = -12.0
 
 
 def _letters_only(data: np.ndarray) -> np.ndarray:
@@ -63,12 +65,12 @@ def fit(features: np.ndarray, lengths: np.ndarray, extra: np.ndarray, labels: np
 
     Words are scaled by the smoothed log ratio of their frequencies in the two classes, so a
     few gradient steps find the words that matter. Without both classes the weights are 0 and
-    the bias gives the only class (0 without rows).
+    the bias gives the only class (the negative one without rows).
     """
     weights, more = np.zeros(HASHED_WORDS), np.zeros(extra.shape[1])
     n, positive = len(labels), float(labels.sum())
     if not 0 < positive < n:
-        return weights, more, 12.0 if positive else -12.0
+        return weights, more, -NEVER if positive else NEVER
     doc = np.repeat(np.arange(n), lengths)
     held = np.bincount(features, minlength=HASHED_WORDS)
     held_positive = np.bincount(features, weights=labels[doc], minlength=HASHED_WORDS)

@@ -128,6 +128,8 @@ def fit_chain(training: DataFrame, categories: Sequence[str]) -> Chain:
     rows = ordered.mapInArrow(_fitted(len(categories)), MODEL).collect()
     models = [(np.array(r["feature"], np.int64), np.array(r["weight"]), list(r["more"]), r["bias"])
               for r in sorted(rows, key=lambda r: r["category"])]
+    if not models:  # an empty sample has no task to fit it
+        models = [([], [], [0.0] * k, linear.NEVER) for k in range(len(categories))]
     return Chain(tuple(categories), tuple(models))
 
 
