@@ -11,10 +11,12 @@ SF_DIR = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = build_session("caseloom-tests", "local[8]", **{
         "spark.sql.shuffle.partitions": "4", "spark.ui.enabled": "false",
-        "spark.driver.memory": "8g"})
+        "spark.driver.memory": "8g",
+        "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
+        "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse"))})
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
