@@ -11,6 +11,7 @@ from caseloom import schemas
 from caseloom.functions.rounding import half_even
 from caseloom.functions.text import trimmed
 
+# Texts that count as whole and as negative numbers, issues and pass mark.
 INT_PATTERN = r"^[+-]?\d+(_\d+)*$"
 NEGATIVE_PATTERN = r"^-[0_]*[1-9]"
 ISSUES = ["null_cases", "negative_cases", "invalid_state", "invalid_disease",
@@ -22,10 +23,14 @@ def missing_columns(columns: Sequence[str], required: Sequence[str] = schemas.RA
     return sorted(set(required) - set(columns))
 
 
-def column_report(df: DataFrame, required: Sequence[str] = schemas.RAW_COLUMNS) -> DataFrame:
-    """One row per required column: is it there, and in how many rows is it filled."""
-    missing = missing_columns(df.columns, required)
-    filled = [F.lit(0).cast("long") if c in missing else F.count(F.col(c)) for c in required]
+def column_report(df: DataFrame, required: Sequence[str] = schemas.RAW_COLUMNS,
+                  absent: Sequence[str] = ()) -> DataFrame:
+    """One row per required column: is it there, and in how many rows is it filled.
+
+    ``absent`` names columns that some file of the data set lacks; they are not present.
+    """
+    missing = sorted({*missing_columns(df.columns, required), *absent})
+    filled = [F.count(F.col(c)) if c in df.columns else F.lit(0).cast("long") for c in required]
     counted = df.agg(F.count("*").alias("total_rows"),
                      *[n.alias(c) for n, c in zip(filled, required)])
     rows = counted.unpivot(["total_rows"], list(required), "column_name", "filled_rows")

@@ -36,8 +36,8 @@ def read_sources(spark: SparkSession, path: str, reference: ReferencePaths) -> S
 
 
 def check_raw(spark: SparkSession, path: str, reference: ReferencePaths) -> DataFrame:
-    """The one-row quality report; raises when columns are missing or the score is too low."""
-    missing = quality.missing_columns(files.scan_header(spark, path))
+    """The one-row quality report; raises when a file lacks columns or the score is too low."""
+    missing = files.missing_by_file(spark, path)
     if missing:
         raise QualityError(f"missing columns: {missing}")
     report = quality.issue_counts(

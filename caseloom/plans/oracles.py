@@ -104,13 +104,14 @@ FROM t GROUP BY ALL""",
 SELECT event_id, CASE event_id % 11 WHEN 0 THEN year(ts) || '00' WHEN 1 THEN 'bad' WHEN 2 THEN year(ts) || '54'
             ELSE CAST({_week('ts')} AS VARCHAR) END AS epi_week,
        CASE WHEN user_id % 29 = 0 THEN 'XX' ELSE 'NATION_' || (user_id % 25) END AS state,
-       CASE WHEN user_id % 7 <> 0 THEN ' City ' || (user_id % 5) || ' ' END AS loc,
+       CASE user_id % 7 WHEN 0 THEN NULL WHEN 1 THEN 'A "B", C' WHEN 2 THEN 'Two' || chr(10) || 'lines'
+            ELSE ' City ' || (user_id % 5) || ' ' END AS loc,
        CASE WHEN event_type = 'purchase' THEN ' city' ELSE 'State' END AS loc_type,
-       CASE event_type WHEN 'click' THEN ' standard ' WHEN 'view' THEN 'SMALL'
-            WHEN 'purchase' THEN 'PROMO' WHEN 'error' THEN 'UNKNOWN' END AS disease,
+       CASE WHEN event_id % 97 = 0 THEN 'NA' WHEN event_type = 'click' THEN ' standard ' WHEN event_type = 'view' THEN 'SMALL'
+            WHEN event_type = 'purchase' THEN 'PROMO' WHEN event_type = 'error' THEN 'UNKNOWN' END AS disease,
        CASE event_id % 8 WHEN 0 THEN NULL WHEN 1 THEN 'abc' WHEN 2 THEN '-3' WHEN 3 THEN '0'
             WHEN 4 THEN '0.5' ELSE json_extract_string(props, '$.k') END AS cases,
-       CASE WHEN event_id % 5 <> 0 THEN CAST(value AS VARCHAR) END AS incidence_per_100000
+       CASE WHEN event_id % 5 <> 0 THEN CAST(value AS VARCHAR) ELSE 'n/a' END AS incidence_per_100000
 FROM events""",
     "cl": """
 SELECT CAST(TRY_CAST(epi_week AS DOUBLE) AS INT) AS epi_week, state,
@@ -119,7 +120,7 @@ SELECT CAST(TRY_CAST(epi_week AS DOUBLE) AS INT) AS epi_week, state,
        coalesce(TRY_CAST(incidence_per_100000 AS DOUBLE), 0e0) AS incidence_per_100000,
        upper(trim(loc_type)) AS loc_type
 FROM feed
-WHERE TRY_CAST(cases AS DOUBLE) > 0 AND disease IS NOT NULL AND TRY_CAST(epi_week AS DOUBLE) IS NOT NULL""",
+WHERE TRY_CAST(cases AS DOUBLE) > 0 AND disease <> 'NA' AND TRY_CAST(epi_week AS DOUBLE) IS NOT NULL""",
     "ev": f"""
 SELECT event_id, ts, {_week('ts')} AS epi_week, 'NATION_' || (user_id % 25) AS state,
        event_type AS disease, CAST(json_extract_string(props, '$.k') AS INT) AS cases,
@@ -437,11 +438,13 @@ ORACLES["refresh_summaries"] = _sql("st", " UNION ALL ".join(
 
 ORACLES["scan_raw_csv"] = _sql("feed", "SELECT * EXCLUDE (event_id) FROM feed")
 ORACLES["clean_observations"] = _sql("cl", "SELECT * FROM cl")
-ORACLES["scan_reference_csv"] = _sql("rg pop bd", """
-SELECT rg.state AS state_code, region AS census_region, lat AS latitude, population,
-       'NATION_' || ((nk + 1) % 25) || ' NATION_' || ((nk + 24) % 25) || ' NATION_' || ((nk + 5) % 25)
-         || ' NATION_' || ((nk + 20) % 25) AS borders
-FROM rg LEFT JOIN pop ON pop.state = rg.state AND decade = 1990""")
+ORACLES["scan_reference_csv"] = _sql("rg pop dz", """
+SELECT 'regions' AS file, state AS key, region AS name, division AS detail, lat AS x, lng AS y FROM rg
+UNION ALL SELECT 'diseases', disease, category, transmission || ' ' || CASE WHEN preventable THEN 'TRUE' ELSE 'False' END,
+       CAST(vy AS DOUBLE), NULL FROM dz
+UNION ALL SELECT 'populations', state, 'customers', NULL, CAST(decade AS DOUBLE), CAST(population AS DOUBLE) FROM pop
+UNION ALL SELECT 'borders', state, 'NATION_' || ((nk + 1) % 25) || ' NATION_' || ((nk + 24) % 25) || ' NATION_'
+       || ((nk + 5) % 25) || ' NATION_' || ((nk + 20) % 25), NULL, NULL, NULL FROM rg""")
 ORACLES["rows_by_grain"] = _sql("cl", "SELECT loc_type, count(*) AS row_count FROM cl GROUP BY 1")
 ORACLES["source_labels"] = "SELECT 'real' AS source_label, count(*) AS row_count FROM events"
 _CHECKED = f"""
@@ -469,12 +472,10 @@ ORACLES["quality_issue_counts"] = _sql("feed rg dz", _CHECKED + f"""
                CAST({' + '.join(f'sum({i})' for i in _ISSUES)} AS BIGINT) AS total_issues FROM c),
   p AS (SELECT *, (1 - CAST(total_issues AS DOUBLE) / total_rows) * 100 AS q FROM s)
 SELECT * EXCLUDE (q), {half_even('q', 2)} AS quality_score, {half_even('q', 2)} >= 95 AS passed FROM p""")
-ORACLES["quality_column_report"] = _sql("feed", " UNION ALL ".join(
-    f"SELECT count(*) AS total_rows, '{c}' AS column_name, "
-    + ("CAST(0 AS BIGINT) AS filled_rows, false AS present FROM feed"
-       if c in ("loc_type", "incidence_per_100000")
-       else f"count({c}) AS filled_rows, true AS present FROM feed")
-    for c in ("epi_week", "state", "loc", "loc_type", "disease", "cases", "incidence_per_100000")))
+ORACLES["quality_column_report"] = """
+SELECT column_name, column_name NOT IN ('loc_type', 'incidence_per_100000') AND count(*) > 0 AS present
+FROM events, (VALUES ('epi_week'), ('state'), ('loc'), ('loc_type'), ('disease'), ('cases'),
+                     ('incidence_per_100000')) c(column_name) GROUP BY 1"""
 ORACLES["quality_found_values"] = _sql("feed rg dz", _CHECKED + f"""
 SELECT (SELECT string_agg(disease, ',' ORDER BY disease) FROM
           (SELECT DISTINCT disease FROM c WHERE {_FOUND['disease']}) d) AS diseases,
@@ -657,12 +658,12 @@ WHERE a.decade = 1990""")
 ORACLES["population_left_lookup"] = _sql("cl pop", """
 SELECT c.state, c.decade, population
 FROM (SELECT DISTINCT state, epi_week // 100 - (epi_week // 100) % 10 AS decade FROM cl) c
-LEFT JOIN pop ON pop.state = c.state AND pop.decade = 2000""")
+LEFT JOIN pop ON pop.state = c.state AND pop.decade = c.decade""")
 _SCORED = f"""
 WITH {_PEOPLE},
  pr(disease, base, amp, peak, decay) AS (VALUES
-   ('STANDARD', 4e0, 6e-1, 12, 15e-2), ('SMALL', 15e-1, 3e-1, 28, 10e-2), ('MEDIUM', 8e-1, 7e-1, 32, 25e-2),
-   ('LARGE', 12e-1, 4e-1, 8, 8e-2), ('ECONOMY', 5e-1, 3e-1, 10, 5e-2), ('PROMO', 6e-1, 2e-1, 42, 12e-2)),
+   ('ECONOMY', 25e-1, 25e-2, 6, 2e-2), ('LARGE', 325e-2, 5e-1, 17, 35e-2), ('MEDIUM', 6e0, 1e-1, 22, 7e-2),
+   ('PROMO', 3e-1, 55e-2, 49, 4e-1), ('SMALL', 95e-1, 45e-2, 36, 18e-2), ('STANDARD', 7e0, 15e-2, 3, 22e-2)),
  x AS (SELECT st.disease, st.state, st.epi_week, st.year, st.cases,
          greatest(0e0, base * (population / 1e5) * (1 + amp * cos(2 * pi() * (week - peak) / 52e0))
            * CASE WHEN st.disease = 'ECONOMY' THEN

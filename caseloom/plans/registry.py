@@ -185,7 +185,7 @@ def raw_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     week = binding.epi_week(F.col("ts"))
     state = F.concat(F.lit("NATION_"), (user % 25).cast("string"))
-    disease = (F.when(F.col("event_type") == "click", " standard ")
+    disease = (F.when(n % 97 == 0, "NA").when(F.col("event_type") == "click", " standard ")
                .when(F.col("event_type") == "view", "SMALL")
                .when(F.col("event_type") == "purchase", "PROMO")
                .when(F.col("event_type") == "error", "UNKNOWN"))
@@ -194,8 +194,8 @@ def raw_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
         pick(n, 11, {0: F.concat(year_text, F.lit("00")), 1: "bad", 2: F.concat(year_text, F.lit("54"))},
              week.cast("string")).alias("epi_week"),
         F.when(user % 29 == 0, "XX").otherwise(state).alias("state"),
-        F.when(user % 7 != 0, F.concat(F.lit(" City "), (user % 5).cast("string"), F.lit(" ")))
-        .alias("loc"),
+        pick(user, 7, {0: None, 1: 'A "B", C', 2: "Two\nlines"},
+             F.concat(F.lit(" City "), (user % 5).cast("string"), F.lit(" "))).alias("loc"),
         F.when(F.col("event_type") == "purchase", " city").otherwise("State").alias("loc_type"),
         disease.alias("disease"),
         pick(n, 8, {0: None, 1: "abc", 2: "-3", 3: "0", 4: "0.5"},
@@ -204,14 +204,28 @@ def raw_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
         .alias("incidence_per_100000"))
 
 
+def _write_csv(df: DataFrame, path: str) -> None:
+    (df.write.mode("overwrite").option("header", True).option("escape", '"')
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
+
+
+def _feed_files(wh: Warehouse, sf_dir: str) -> list[str]:
+    """The dirty feed as CSV: half of it in another column order, with one more column."""
+    folder = wh.path("feed_real.csv")
+    plain, shuffled = f"{folder}/plain_real", f"{folder}/shuffled_real"
+    if not tables.table_exists(wh.spark, shuffled):
+        rows = raw_feed(wh.spark, sf_dir)
+        first = F.pmod(F.xxhash64(*rows.columns), F.lit(2)) == 0
+        _write_csv(rows.where(first), plain)
+        _write_csv(rows.where(~first).select(
+            "disease", "loc", F.lit("x, \"y\"").alias("note"), "cases", "epi_week", "state",
+            "incidence_per_100000", "loc_type"), shuffled)
+    return [plain, shuffled]
+
+
 def _feed(wh: Warehouse, sf_dir: str) -> DataFrame:
-    """The dirty feed as a CSV file set, scanned back as raw observations."""
-    path = wh.path("feed_real.csv")
-    if not tables.table_exists(wh.spark, path):
-        (raw_feed(wh.spark, sf_dir).write.mode("overwrite").option("header", True)
-         .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
-         .csv(path))
-    return observations.scan_observations(wh.spark, path)
+    """The dirty feed's file set, scanned back as raw observations."""
+    return observations.scan_observations(wh.spark, _feed_files(wh, sf_dir))
 
 
 @register("scan_raw_csv")
@@ -221,21 +235,31 @@ def _scan_csv(wh, sf_dir):
 
 @register("scan_reference_csv")
 def _scan_reference(wh, sf_dir):
-    """The four reference tables as CSV files, scanned back with their fixed schemas."""
+    """Every row of the four reference tables, written as CSV files and scanned back."""
     scans = {"regions": observations.scan_regions, "diseases": observations.scan_diseases,
              "populations": observations.scan_populations, "borders": observations.scan_borders}
     frames = {**{n: wh.table(n) for n in ("regions", "diseases", "populations")},
               "borders": binding.border_lists(wh.spark, sf_dir)}
-    back = {}
+    none, number = F.lit(None).cast("string"), F.lit(None).cast("double")
+    facts = {"regions": ("state_code", F.col("census_region"), F.col("census_division"),
+                         F.col("latitude"), F.col("longitude")),
+             "diseases": ("disease_name", F.col("disease_category"),
+                          F.concat_ws(" ", "transmission_type", "is_vaccine_preventable"),
+                          F.col("vaccine_intro_year"), number),
+             "populations": ("state_code", F.col("source"), none, F.col("decade"), F.col("population")),
+             "borders": ("state_code", F.col("borders"), none, number, number)}
+    rows = None
     for name, scan in scans.items():
         path = wh.path(f"reference/{name}.csv")
         if not tables.table_exists(wh.spark, path):
-            frames[name].write.mode("overwrite").option("header", True).csv(path)
-        back[name] = scan(wh.spark, path)
-    regions, people = back["regions"], back["populations"].filter(F.col("decade") == 1990)
-    return (regions.join(people.select("state_code", "population"), "state_code", "left")
-            .join(back["borders"], "state_code", "left")
-            .select("state_code", "census_region", "latitude", "population", "borders"))
+            backwards = frames[name].columns[::-1]
+            _write_csv(frames[name].select(*backwards), path)
+        key, label, detail, x, y = facts[name]
+        part = scan(wh.spark, path).select(
+            F.lit(name).alias("file"), F.col(key).alias("key"), label.alias("name"),
+            detail.alias("detail"), x.cast("double").alias("x"), y.cast("double").alias("y"))
+        rows = part if rows is None else rows.unionByName(part)
+    return rows
 
 
 @register("clean_observations")
@@ -250,19 +274,22 @@ def _grain(wh, sf_dir):
 
 @register("source_labels")
 def _labels(wh, sf_dir):
-    """Row counts per source label; the label is read off the data set's name."""
-    _feed(wh, sf_dir)
-    folder = observations.resolve_active(wh.spark, wh.root, "feed.csv", ["feed_real.csv"])
-    rows = observations.scan_observations(wh.spark, folder).withColumn(
-        "source_label", observations.source_label(F.lit(folder)))
+    """Row counts per source label; the label is read off the names of the files."""
+    rows = observations.with_source_label(wh.spark, _feed_files(wh, sf_dir))
     return rows.groupBy("source_label").agg(F.count("*").alias("row_count"))
 
 
 @register("quality_column_report")
 def _columns(wh, sf_dir):
-    """Required columns of the raw event table under their surveillance names; two are missing."""
-    rows = raw_feed(wh.spark, sf_dir).drop("loc_type", "incidence_per_100000")
-    return quality.column_report(rows)
+    """Required columns over a file set of which one part lacks two of them."""
+    plain, _ = _feed_files(wh, sf_dir)
+    short = wh.path("short_feed")
+    if not tables.table_exists(wh.spark, short):
+        _write_csv(raw_feed(wh.spark, sf_dir).drop("loc_type", "incidence_per_100000"), short)
+    files = [plain, short]
+    absent = {c for columns in observations.missing_by_file(wh.spark, files).values() for c in columns}
+    return quality.column_report(observations.scan_observations(wh.spark, files), absent=sorted(absent)
+                                 ).select("column_name", "present")
 
 
 @register("quality_issue_counts")
@@ -537,9 +564,9 @@ def _left_lookup(wh, sf_dir):
     """Observed state-decades with their population; states without one stay, with null."""
     rows = clean.clean_observations(_feed(wh, sf_dir)).select(
         "state", epiweek.decade_of(epiweek.year_of(F.col("epi_week"))).alias("decade")).distinct()
-    people = wh.table("populations").filter(F.col("decade") == 2000).select(
-        F.col("state_code").alias("state"), "population")
-    return rows.join(people, "state", "left")
+    people = wh.table("populations").select(
+        F.col("state_code").alias("state"), "decade", "population")
+    return rows.join(people, ["state", "decade"], "left")
 
 
 def _scored(wh: Warehouse, sf_dir: str) -> DataFrame:

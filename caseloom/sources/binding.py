@@ -19,10 +19,10 @@ CITY_DISEASE = "PROMO"
 # Neighbours of state i are i + offset, modulo the number of states.
 BORDER_OFFSETS = [1, 24, 5, 20]
 STATE_COUNT = 25
-# Scorer parameters per disease (base rate, amplitude, peak week, decay).
+# Scorer parameters per disease of the binding: base rate, amplitude, peak week, decay.
 EXPECTATION = {
-    "STANDARD": (4.0, 0.6, 12, 0.15), "SMALL": (1.5, 0.3, 28, 0.10), "MEDIUM": (0.8, 0.7, 32, 0.25),
-    "LARGE": (1.2, 0.4, 8, 0.08), "ECONOMY": (0.5, 0.3, 10, 0.05), "PROMO": (0.6, 0.2, 42, 0.12),
+    "ECONOMY": (2.5, 0.25, 6, 0.02), "LARGE": (3.25, 0.5, 17, 0.35), "MEDIUM": (6.0, 0.1, 22, 0.07),
+    "PROMO": (0.3, 0.55, 49, 0.4), "SMALL": (9.5, 0.45, 36, 0.18), "STANDARD": (7.0, 0.15, 3, 0.22),
 }
 
 

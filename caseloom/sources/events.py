@@ -32,18 +32,21 @@ def as_messages(rows: DataFrame, limit: int = 0,
                 fields: Sequence[str] = tuple(schemas.EVENT.fieldNames())) -> DataFrame:
     """Rows as (key, value) messages, ``fields`` in the value and other columns beside it.
 
-    ``limit`` > 0 takes a head only.
+    The key is state and week with an underscore between, an empty text for a missing one;
+    the value holds every field, null ones too. ``limit`` > 0 takes a head only.
     """
     if limit > 0:
         rows = rows.limit(limit)
     return rows.select(
-        F.concat_ws("_", F.col("state"), F.col("epi_week").cast("string")).alias("key"),
-        F.to_json(F.struct(*fields)).alias("value"),
+        F.concat(F.coalesce("state", F.lit("")), F.lit("_"),
+                 F.coalesce(F.col("epi_week").cast("string"), F.lit(""))).alias("key"),
+        F.to_json(F.struct(*fields), {"ignoreNullFields": "false"}).alias("value"),
         *[c for c in rows.columns if c not in fields])
 
 
-def publish_files(messages: DataFrame, path: str) -> None:
-    messages.write.mode("append").option("timestampFormat", TIME_FORMAT).json(path)
+def publish_files(messages: DataFrame, path: str, mode: str = "append") -> None:
+    """Adds messages to a folder topic; ``mode="overwrite"`` makes a repeated publish safe."""
+    messages.write.mode(mode).option("timestampFormat", TIME_FORMAT).json(path)
 
 
 def publish_kafka(messages: DataFrame, servers: str, topic: str) -> None:

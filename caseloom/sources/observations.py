@@ -2,43 +2,99 @@
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from caseloom import schemas
-from caseloom.functions.text import missing_to_null
 from caseloom.sources.tables import path_exists
 
+# Column that tells the file of a row.
+FILE = "_file"
 # File looked for first, then the ones that stand in for it, in order.
 ACTIVE_FILE = "observations.csv"
 FALLBACK_FILES = ("observations_real.csv", "observations_synthetic.csv")
 
 
-def scan_observations(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Raw observations as text columns; cells holding a missing-value token become null."""
-    raw = spark.read.schema(schemas.RAW).option("header", True).csv(path)
-    return raw.select(*[missing_to_null(F.col(c)).alias(c) for c in schemas.RAW_COLUMNS])
+def csv_files(spark: SparkSession, path: str | list[str]) -> list[str]:
+    """Data files of a path, a folder or a list of either."""
+    return sorted(spark.read.text(path).inputFiles())
+
+
+def scan_headers(spark: SparkSession, path: str | list[str]) -> dict[str, list[str]]:
+    """Column names in the first line of every file; an empty file has none."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    headers = {}
+    for name in csv_files(spark, path):
+        location = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(name))
+        stream = location.getFileSystem(conf).open(location)
+        try:
+            reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
+            first = reader.readLine()
+        finally:
+            stream.close()
+        cells = next(csv.reader([first or ""]), [])
+        headers[name] = [cell.strip().removeprefix("\ufeff") for cell in cells]
+    return headers
+
+
+def scan_csv(spark: SparkSession, path: str | list[str], schema: T.StructType) -> DataFrame:
+    """Columns of a schema by their names, whatever the order in each file.
+
+    Files may hold further columns, quotes are doubled inside quoted cells, and quoted cells
+    may hold line breaks, so each file is one task. A file without one of the columns gives
+    nulls there; ``missing_by_file`` tells which. Files with equal headers are read together.
+    """
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for name, header in scan_headers(spark, path).items():
+        if header:
+            groups.setdefault(tuple(header), []).append(name)
+    parts = None
+    for header, names in groups.items():
+        # Columns that are not asked for keep a place and nothing else.
+        fields = [schema[c] if c in schema.fieldNames() and header.index(c) == place
+                  else T.StructField(f"_unused_{place}", T.StringType())
+                  for place, c in enumerate(header)]
+        read = (spark.read.schema(T.StructType(fields)).option("header", True)
+                .option("escape", '"').option("multiLine", True).csv(names))
+        part = read.select(*[F.col(f.name) if f.name in read.columns
+                             else F.lit(None).cast(f.dataType).alias(f.name) for f in schema],
+                           F.col("_metadata.file_path").alias(FILE))
+        parts = part if parts is None else parts.unionByName(part)
+    if parts is None:
+        return spark.createDataFrame([], T.StructType([*schema.fields, T.StructField(FILE, T.StringType())]))
+    return parts
+
+
+def missing_by_file(spark: SparkSession, path: str | list[str],
+                    required: Sequence[str] = schemas.RAW_COLUMNS) -> dict[str, list[str]]:
+    """Required columns that a file lacks, for the files that lack any."""
+    lacking = {name: sorted(set(required) - set(header))
+               for name, header in scan_headers(spark, path).items()}
+    return {name: columns for name, columns in lacking.items() if columns}
 
 
-def scan_header(spark: SparkSession, path: str) -> list[str]:
-    """Column names in the file itself, for the required-column check."""
-    first = spark.read.text(path).limit(1).collect()
-    return [name.strip().strip('"') for name in first[0][0].split(",")] if first else []
+def scan_observations(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """Raw observations as the texts in the cells; only empty cells are null."""
+    return scan_csv(spark, path, schemas.RAW).drop(FILE)
 
 
 def source_label(file_name: Column) -> Column:
-    """Which kind of data set a file holds, read off its name."""
-    name = F.lower(F.element_at(F.split(file_name, "/"), -1))
-    return (F.when(name.contains("real"), "real")
-            .when(name.contains("synth"), "synthetic")
-            .otherwise("unspecified"))
+    """Which kind of data set a file belongs to, read off its name or its folder's."""
+    own = F.lower(F.element_at(F.split(file_name, "/"), -1))
+    folder = F.lower(F.get(F.split(file_name, "/"), F.size(F.split(file_name, "/")) - 2))
+
+    def kind(name: Column) -> Column:
+        return F.when(name.contains("real"), "real").when(name.contains("synth"), "synthetic")
+    return F.coalesce(kind(own), kind(folder), F.lit("unspecified"))
 
 
 def with_source_label(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    raw = spark.read.schema(schemas.RAW).option("header", True).csv(path)
-    return raw.withColumn("source_label", source_label(F.col("_metadata.file_name")))
+    return scan_csv(spark, path, schemas.RAW).withColumn(
+        "source_label", source_label(F.col(FILE))).drop(FILE)
 
 
 def resolve_active(spark: SparkSession, folder: str, active: str = ACTIVE_FILE,
@@ -52,7 +108,7 @@ def resolve_active(spark: SparkSession, folder: str, active: str = ACTIVE_FILE,
 
 
 def _reference(spark: SparkSession, path: str, schema) -> DataFrame:
-    return spark.read.schema(schema).option("header", True).csv(path)
+    return scan_csv(spark, path, schema).drop(FILE)
 
 
 def scan_regions(spark: SparkSession, path: str) -> DataFrame:

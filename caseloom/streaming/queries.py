@@ -37,10 +37,16 @@ def alerts(events: DataFrame, threshold: float = ALERT_THRESHOLD) -> DataFrame:
 
 
 def event_rates(events: DataFrame, time: str = "timestamp", length: int = 10, step: int = 1,
-                lateness: str = "10 seconds") -> DataFrame:
-    """Events per second over a sliding window, one decimal."""
+                lateness: str | None = None) -> DataFrame:
+    """Events per second over a sliding window, one decimal.
+
+    Every event counts unless ``lateness`` bounds the state: then windows that ended longer
+    ago than that, seen from the newest event, are closed and their late events dropped.
+    """
     window = F.window(time, f"{length} seconds", f"{step} seconds")
-    return (events.withWatermark(time, lateness).groupBy(window)
+    if lateness is not None:
+        events = events.withWatermark(time, lateness)
+    return (events.groupBy(window)
             .agg(F.count("*").alias("events"))
             .select(F.col("window.start").alias("window_start"),
                     F.col("window.end").alias("window_end"), "events",

@@ -41,53 +41,28 @@ def record_changes(stream: DataFrame, path: str, checkpoint: str, **trigger) ->
             .trigger(**(trigger or {"availableNow": True})).start())
 
 
-def _committed_changes(spark: SparkSession, path: str, after: int) -> list[int]:
+def _committed_changes(spark: SparkSession, path: str) -> list[int]:
     ids = (int(name.removeprefix("batch_id=")) for name in child_names(spark, f"{path}/changes")
            if name.startswith("batch_id="))
-    return sorted(i for i in ids
-                  if i > after and table_exists(spark, f"{path}/changes/batch_id={i}"))
+    return sorted(i for i in ids if table_exists(spark, f"{path}/changes/batch_id={i}"))
 
 
 def current_state(spark: SparkSession, path: str, schema: T.StructType,
                   keys: Sequence[str]) -> DataFrame:
     """The table a change record stands for: the newest change per key.
 
-    Reads the newest snapshot and the committed batches after it, so a batch that is being
-    written is not seen.
+    Reads the committed batches, so a batch that is being written is not seen.
     """
-    snapshots = versions(spark, f"{path}/snapshots")
-    base = snapshots[-1] if snapshots else -1
-    rows = spark.createDataFrame([], schema).withColumn("batch_id", F.lit(base).cast("long"))
-    if snapshots:
-        rows = (spark.read.schema(schema).parquet(f"{path}/snapshots/{base}")
-                .withColumn("batch_id", F.lit(base).cast("long")))
-    batches = _committed_changes(spark, path, base)
-    if batches:
-        recorded = T.StructType([*schema.fields, T.StructField("batch_id", T.LongType())])
-        folders = [f"{path}/changes/batch_id={i}" for i in batches]
-        changes = spark.read.schema(recorded).option("basePath", f"{path}/changes").parquet(*folders)
-        rows = rows.unionByName(changes) if snapshots else changes
+    batches = _committed_changes(spark, path)
+    if not batches:
+        return spark.createDataFrame([], schema).select(
+            *keys, *[f.name for f in schema if f.name not in keys])
+    recorded = T.StructType([*schema.fields, T.StructField("batch_id", T.LongType())])
+    folders = [f"{path}/changes/batch_id={i}" for i in batches]
+    changes = spark.read.schema(recorded).option("basePath", f"{path}/changes").parquet(*folders)
     values = [f.name for f in schema if f.name not in keys]
     newest = F.max_by(F.struct(*values), "batch_id").alias("newest")
-    return rows.groupBy(*keys).agg(newest).select(*keys, "newest.*")
-
-
-def compact(spark: SparkSession, path: str, schema: T.StructType, keys: Sequence[str]) -> None:
-    """Folds all committed changes into one snapshot and removes what it replaces.
-
-    Run between micro-batches. The snapshot is complete before anything is removed; what a
-    failed run leaves behind is covered by the snapshot and ignored.
-    """
-    snapshots = versions(spark, f"{path}/snapshots")
-    batches = _committed_changes(spark, path, snapshots[-1] if snapshots else -1)
-    if not batches:
-        return
-    current_state(spark, path, schema, keys).select(*schema.fieldNames()).write.mode(
-        "overwrite").parquet(f"{path}/snapshots/{batches[-1]}")
-    for batch in batches:
-        remove_table(spark, f"{path}/changes/batch_id={batch}")
-    for snapshot in snapshots:
-        remove_table(spark, f"{path}/snapshots/{snapshot}")
+    return changes.groupBy(*keys).agg(newest).select(*keys, "newest.*")
 
 
 def keep_latest(stream: DataFrame, order: Sequence[str], n: int, path: str, checkpoint: str,
@@ -130,9 +105,11 @@ def latest_rows(spark: SparkSession, path: str, schema: T.StructType) -> DataFra
     return spark.read.schema(schema).parquet(f"{path}/{done[-1]}")
 
 
-def finish(query: StreamingQuery, timeout: int = 3600) -> StreamingQuery:
-    """Waits for a bounded run to end and raises if it did not."""
-    if not query.awaitTermination(timeout):
+def finish(query: StreamingQuery, timeout: int | None = None) -> StreamingQuery:
+    """Waits for a bounded run to end; with ``timeout`` seconds, stops it then and raises."""
+    if timeout is None:
+        query.awaitTermination()
+    elif not query.awaitTermination(timeout):
         query.stop()
         raise TimeoutError(f"stream did not finish within {timeout} s")
     return query
