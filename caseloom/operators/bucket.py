@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from caseloom.functions import rounding
@@ -12,62 +12,36 @@ from caseloom.operators.star import conform
 from caseloom import schemas
 
 KEYS = ["disease", "state", "loc", "loc_type", "year", "month"]
-# Largest weekly array of one stored document; a longer bucket is split into parts.
-MAX_OBSERVATIONS = 10_000
 
 
 def _rows(obs: DataFrame) -> DataFrame:
     rate = rounding.scaled_even(F.col("incidence_per_100000"), 4)
-    return with_year_month(obs).withColumn("rate", rate)
+    key = F.concat_ws("\u0001", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in KEYS])
+    return with_year_month(obs).withColumn("rate", rate).withColumn("bucket_key", key)
 
 
-def oversized_buckets(obs: DataFrame, max_observations: int = MAX_OBSERVATIONS) -> DataFrame:
-    """Keys of buckets with more rows than one document may hold, with their part count.
+def bucket_rows(obs: DataFrame) -> DataFrame:
+    """The weekly observations, each with the key of its bucket. No bucket is ever gathered."""
+    return conform(_rows(obs).select(
+        "bucket_key", "disease", F.col("state").alias("state_code"), "year", "month",
+        "epi_week", F.col("week_number").alias("week"), "cases",
+        F.col("rate").alias("incidence_rate"), decade_of(F.col("year")).alias("decade")),
+        schemas.BUCKET_ROWS)
 
-    Weekly data has at most a handful of rows per bucket, so this is normally empty. The
-    count is combined map-side, and the result has at most rows / max_observations rows.
-    """
-    parts = F.ceil(F.col("n") / max_observations).cast("int")
-    return (with_year_month(obs).groupBy(*KEYS).agg(F.count("*").alias("n"))
-            .filter(F.col("n") > max_observations).select(*KEYS, parts.alias("parts")))
 
+def documents(buckets: DataFrame, rows: DataFrame) -> DataFrame:
+    """The nested documents: every bucket with its weekly observations as an array."""
+    weekly = rows.groupBy("bucket_key").agg(F.array_sort(F.collect_list(F.struct(
+        "epi_week", "week", "cases", "incidence_rate"))).alias("weekly_observations"))
+    return conform(buckets.join(weekly, "bucket_key"), schemas.DOCUMENTS)
 
-def _weekly() -> Column:
-    return F.array_sort(F.collect_list(F.struct(
-        F.col("epi_week"), F.col("week_number").alias("week"), F.col("cases"),
-        F.col("rate").alias("incidence_rate")))).alias("weekly_observations")
 
-
-def _summary() -> list[Column]:
-    return [F.sum("cases").alias("total_cases"),
-            F.sum(rounding.rate_units(F.col("rate"))).alias("units"),
-            F.max("cases").alias("peak_weekly_cases"), F.count("*").alias("observation_count")]
-
-
-def group_buckets(obs: DataFrame, oversized: DataFrame | None = None) -> DataFrame:
-    """Groups rows into buckets.
-
-    With ``oversized`` given, the rows of those buckets are spread over parts, each part
-    collected by its own task; part 0 always exists and carries the summary of the whole
-    bucket, the other parts a null summary, which sums and means skip.
-    """
-    rows = _rows(obs)
-    if oversized is None:
-        return rows.groupBy(*KEYS).agg(_weekly(), *_summary()).withColumn("part", F.lit(0))
-    # Numbered at the scan, so a repeated task gives its rows the same parts again.
-    numbered = rows.withColumn("row_id", F.monotonically_increasing_id())
-    spread = numbered.join(oversized, KEYS, "left").withColumn("part", F.coalesce(
-        F.pmod(F.col("row_id"), F.col("parts")).cast("int"), F.lit(0)))
-    arrays = spread.groupBy(*KEYS, "part").agg(_weekly())
-    summaries = rows.groupBy(*KEYS).agg(*_summary()).withColumn("part", F.lit(0))
-    return arrays.join(summaries, [*KEYS, "part"], "full").withColumn(
-        "weekly_observations", F.coalesce("weekly_observations", F.array()))
-
-
-def build_buckets(obs: DataFrame, regions: DataFrame, diseases: DataFrame,
-                  oversized: DataFrame | None = None) -> DataFrame:
-    """Bucket documents. Unknown diseases and states are kept, with default attributes."""
-    grouped = group_buckets(obs, oversized)
+def build_buckets(obs: DataFrame, regions: DataFrame, diseases: DataFrame) -> DataFrame:
+    """One row per bucket, summarised. Unknown diseases and states stay, with default attributes."""
+    grouped = _rows(obs).groupBy(*KEYS, "bucket_key").agg(
+        F.sum("cases").alias("total_cases"),
+        F.sum(rounding.rate_units(F.col("rate"))).alias("units"),
+        F.max("cases").alias("peak_weekly_cases"), F.count("*").alias("observation_count"))
     kinds = diseases.select(
         F.col("disease_name").alias("disease"), "disease_category", "transmission_type",
         true_text(F.col("is_vaccine_preventable")).alias("preventable"), "vaccine_intro_year")
@@ -99,12 +73,4 @@ def build_buckets(obs: DataFrame, regions: DataFrame, diseases: DataFrame,
             F.col("year"), F.col("month"), month_name_of(F.col("month")).alias("month_name"),
             quarter_of(F.col("month")).alias("quarter"), decade.alias("decade"))
         .alias("time_bucket"),
-        "weekly_observations",
-        F.when(F.col("observation_count").isNotNull(), summary).alias("monthly_summary"),
-        "part", decade.alias("decade")), schemas.BUCKETS)
-
-
-def unwound(buckets: DataFrame) -> DataFrame:
-    """One row per weekly observation, next to its bucket's attributes."""
-    return buckets.select(
-        "disease", "location", "time_bucket", F.inline("weekly_observations"))
+        summary.alias("monthly_summary"), "bucket_key", decade.alias("decade")), schemas.BUCKETS)

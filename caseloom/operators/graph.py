@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from caseloom import schemas
 from caseloom.functions import rounding
 from caseloom.functions.epiweek import (
-    decade_of, month_name_of, quarter_of, with_time_fields, with_year_month)
+    decade_of, month_name_of, quarter_of, with_year_month)
 from caseloom.functions.text import neighbour_list, true_text
 from caseloom.operators.star import conform
 
@@ -47,9 +47,12 @@ def _city_id(state: Column, city: Column) -> Column:
     return F.concat_ws("|", state, city)
 
 
-def calendar_nodes(obs: DataFrame) -> dict[str, DataFrame]:
-    """Decade, year, quarter, month and week nodes; every year has all four quarters."""
-    weeks = with_time_fields(obs.select("epi_week").distinct())
+def calendar_nodes(dim_time: DataFrame) -> dict[str, DataFrame]:
+    """Decade, year, quarter, month and week nodes of the reported weeks.
+
+    They are read off the time dimension; every year has all four quarters.
+    """
+    weeks = dim_time.withColumns({c: F.col(c).cast("int") for c in ("year", "month", "week_number")})
     years = weeks.select("year").distinct()
     quarters = F.explode(F.array(*[F.lit(q) for q in range(1, 5)])).alias("quarter")
     return {
@@ -61,7 +64,8 @@ def calendar_nodes(obs: DataFrame) -> dict[str, DataFrame]:
     }
 
 
-def place_nodes(obs: DataFrame, regions: DataFrame) -> dict[str, DataFrame]:
+def place_nodes(dim_location: DataFrame, regions: DataFrame) -> dict[str, DataFrame]:
+    """Region, country, state and city nodes; cities are those of the location dimension."""
     region = regions.select(F.col("census_region").alias("name")).distinct()
     return {
         "Region": region,
@@ -69,8 +73,8 @@ def place_nodes(obs: DataFrame, regions: DataFrame) -> dict[str, DataFrame]:
         "State": regions.select(
             F.col("state_code").alias("code"), F.col("state_name").alias("name"),
             F.col("census_division").alias("division"), "latitude", "longitude"),
-        "City": obs.filter(F.col("loc_type") == "CITY").select(
-            F.col("state").alias("state_code"), F.col("loc").alias("name")).distinct(),
+        "City": dim_location.filter(F.col("loc_type") == "CITY").select(
+            "state_code", F.col("city_name").alias("name")),
     }
 
 

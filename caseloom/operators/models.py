@@ -8,6 +8,8 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from caseloom.operators.bucket import documents
+
 
 @dataclass(frozen=True)
 class Star:
@@ -60,11 +62,21 @@ class Star:
 
 @dataclass(frozen=True)
 class Buckets:
-    documents: DataFrame
+    buckets: DataFrame
+    rows: DataFrame
 
     def summaries(self) -> DataFrame:
-        """Documents that carry a summary: one per logical bucket."""
-        return self.documents.filter(F.col("monthly_summary").isNotNull())
+        """One row per bucket, with its summary."""
+        return self.buckets
+
+    def weeks(self) -> DataFrame:
+        """One row per weekly observation."""
+        return self.rows
+
+    @property
+    def documents(self) -> DataFrame:
+        """The nested documents; their arrays are made on demand."""
+        return documents(self.buckets, self.rows)
 
 
 @dataclass(frozen=True)

@@ -90,7 +90,8 @@ def build_fact(obs: DataFrame, dim_time: DataFrame, dim_location: DataFrame,
     """One row per observation whose week, place and disease are all known.
 
     Population is looked up by (state, decade) and stays null on city rows. ``loc_type``
-    and ``decade`` are the partition columns of the stored table.
+    and ``decade`` are the partition columns of the stored table. The key is a hash of the
+    row, so a repeated task gives its rows the same keys again.
     """
     weeks = dim_time.select("epi_week", "time_key")
     kinds = dim_disease.select(F.col("disease_name").alias("disease"), "disease_key")
@@ -99,7 +100,8 @@ def build_fact(obs: DataFrame, dim_time: DataFrame, dim_location: DataFrame,
             .withColumn("decade", decade_of(year_of(F.col("epi_week"))))
             .join(people, ["state", "decade"], "left"))
     return conform(rows.select(
-        F.monotonically_increasing_id().alias("incidence_key"), "time_key", "location_key",
+        F.xxhash64("time_key", "location_key", "disease_key", "cases", "incidence_per_100000")
+        .alias("incidence_key"), "time_key", "location_key",
         "disease_key", F.col("cases").alias("case_count"),
         F.col("incidence_per_100000").cast(schemas.RATE).alias("incidence_rate"),
         F.when(F.col("loc_type") == "STATE", F.col("population")).alias("population"),

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from caseloom.functions import rounding
-from caseloom.operators.bucket import unwound
 from caseloom.operators.models import Buckets, Star
 
 
@@ -101,16 +100,12 @@ def first_match(lookup: DataFrame, key: str, *columns: str) -> DataFrame:
 
 
 def weekly_by_region(buckets: Buckets, regions: DataFrame) -> DataFrame:
-    """Week-grain regional summary: unwound weeks, region looked up from the reference.
+    """Week-grain regional summary: weekly rows, region looked up from the reference.
 
     Weeks are summed per state before the lookup, so only the small state totals meet it.
     """
     keys = ["disease", "state_code", "year", "month"]
-    per_state = (unwound(buckets.documents)
-                 .groupBy(F.col("disease.name").alias("disease"),
-                          F.col("location.state_code").alias("state_code"),
-                          F.col("time_bucket.year").alias("year"),
-                          F.col("time_bucket.month").alias("month"))
+    per_state = (buckets.weeks().groupBy(*keys)
                  .agg(F.sum("cases").alias("cases"),
                       F.sum(rounding.rate_units(F.col("incidence_rate"))).alias("units"),
                       F.count("*").alias("weeks")).select(*keys, "cases", "units", "weeks"))

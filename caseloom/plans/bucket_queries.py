@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from caseloom.functions import guards, rounding
-from caseloom.operators.bucket import unwound
+from caseloom.functions.epiweek import month_name_of
 from caseloom.operators.models import Buckets
 from caseloom.plans.star_queries import first_years_ranked, window_total
 
@@ -54,11 +54,10 @@ def q03_bucket(buckets: Buckets, disease: str = "MEASLES", start_year: int = 195
 
 
 def q04_bucket(buckets: Buckets, disease: str = "MEASLES") -> DataFrame:
-    """Mean weekly cases per calendar month, over the unwound weekly arrays."""
-    weeks = unwound(buckets.documents.filter(F.col(NAME) == disease))
-    return (weeks.groupBy(F.col("time_bucket.month").alias("month"),
-                          F.col("time_bucket.month_name").alias("month_name"))
-            .agg(rounding.half_even(F.avg("cases"), 2).alias("avg_weekly_cases"))
+    """Mean weekly cases per calendar month, over the weekly observations."""
+    weeks = buckets.weeks().filter(F.col("disease") == disease)
+    return (weeks.groupBy("month").agg(rounding.half_even(F.avg("cases"), 2).alias("avg_weekly_cases"))
+            .select("month", month_name_of(F.col("month")).alias("month_name"), "avg_weekly_cases")
             .orderBy("month"))
 
 

@@ -572,7 +572,7 @@ ORACLES["bucket_array_totals"] = _sql("t", f"""
 SELECT disease AS name, state AS state_code, city, year, month, {_total()} AS array_total,
        min(epi_week) AS first_week, count(*) >= 2 AS several_weeks
 FROM t GROUP BY disease, state, loc, loc_type, city, year, month""")
-ORACLES["bucket_split_documents"] = _sql("bk", f"""
+ORACLES["bucket_rows"] = _sql("bk", f"""
 SELECT disease AS name, year, {_total('total_cases')} AS total_cases, count(*) AS buckets,
        {_total('total_cases')} AS week_cases FROM bk GROUP BY 1, 2""")
 ORACLES["monthly_aggregates"] = _sql("gr", """
@@ -637,8 +637,7 @@ UNION ALL SELECT 'table', 'dim_location', {_distinct_rows('t', 'city, state, loc
 UNION ALL SELECT 'table', 'dim_disease', (SELECT count(*) FROM dz)
 UNION ALL SELECT 'table', 'fact', (SELECT count(*) FROM t)
 UNION ALL SELECT 'document', 'buckets', {_distinct_rows('t', 'disease, state, loc, loc_type, year, month')}
-UNION ALL SELECT 'summary', 'mv_decade_disease_national', {_distinct_rows('t', 'disease, decade')}
-UNION ALL SELECT 'summary', 'summary_decade_national', {_distinct_rows('t', 'disease, decade')}""")
+{" ".join(f"UNION ALL SELECT 'summary', '{name}', {size}" for name, size in _SUMMARY_SIZES.items())}""")
 
 # --- population and expectation ----------------------------------------------------------
 
@@ -734,7 +733,8 @@ ORACLES["publish_observations"] = _sql("t", f"""
 SELECT disease, epi_week, count(*) AS events, {_total()} AS cases,
        min(rate) AS lowest_rate, max(rate) AS highest_rate
 FROM t GROUP BY 1, 2""")
-ORACLES["publish_head"] = "SELECT least(500, count(*)) AS messages FROM events"
+ORACLES["publish_head"] = _sql("ev", """
+SELECT event_id, disease, state, epi_week, cases, incidence_rate FROM ev ORDER BY ts DESC, event_id DESC LIMIT 500""")
 ORACLES["stream_validated"] = _sql("ev", """
 SELECT epi_week, state, state AS loc, 'STATE' AS loc_type, disease, cases, incidence_rate, event_id
 FROM ev WHERE cases >= 0 AND disease IS NOT NULL""")

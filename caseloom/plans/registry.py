@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,7 +10,7 @@ from pyspark.sql import functions as F
 from caseloom import schemas
 from caseloom.functions import epiweek, guards, nested, rounding, text
 from caseloom.operators import (
-    bucket, clean, graph, olap, population, quality, reconcile, summaries)
+    clean, graph, olap, population, quality, reconcile, summaries)
 from caseloom.plans import catalog, graph_queries
 from caseloom.plans.warehouse import Sources, Warehouse, open_warehouse
 from caseloom.sources import binding, events, observations, tables
@@ -75,12 +74,14 @@ for _query_id, _entry in catalog.CATALOG.items():
 
 @register("q01_graph_paths")
 def _q01_paths(wh, sf_dir):
-    """Query 1 along explicit edges: aggregate, month, quarter, year, decade."""
+    """Query 1 along explicit edges: month, quarter, year, decade.
+
+    The disease and the month of an aggregate are its own columns, so those hops need no join.
+    """
     def hop(kind, src, dst):
         return wh.edges(kind).select(F.col("src").alias(src), F.col("dst").alias(dst))
-    rows = (wh.graph().aggregates.withColumn("a", graph.aggregate_id())
-            .join(hop("SUMMARIZES_DISEASE", "a", "disease_name"), "a")
-            .join(hop("SUMMARIZES_MONTH", "a", "m"), "a")
+    month = (F.col("year") * 100 + F.col("month")).cast("string")
+    rows = (wh.graph().aggregates.withColumn("m", month).withColumnRenamed("disease", "disease_name")
             .join(hop("IN_QUARTER", "m", "q"), "m").join(hop("IN_YEAR", "q", "y"), "q")
             .join(hop("IN_DECADE", "y", "d"), "y"))
     return rows.groupBy("disease_name", F.col("d").cast("int").alias("decade")).agg(
@@ -366,8 +367,9 @@ def _required(wh, sf_dir):
 @register("load_if_empty")
 def _guarded(wh, sf_dir):
     """A guarded load: the second attempt leaves the table alone, so rows are not doubled."""
-    path, schema = wh.path(f"guarded-{uuid.uuid4().hex}"), schemas.OBSERVATIONS
+    path, schema = wh.path("guarded"), schemas.OBSERVATIONS
     rows = wh.table("observations")
+    tables.remove_table(wh.spark, path)
     tables.load_if_empty(rows, path, schema)
     tables.load_if_empty(rows.filter(F.col("loc_type") == "CITY"), path, schema)
     return tables.read_table(wh.spark, path, schema).groupBy("disease").agg(
@@ -443,17 +445,15 @@ def _array_totals(wh, sf_dir):
         nested.has_at_least(weeks, 2).alias("several_weeks"))
 
 
-@register("bucket_split_documents")
-def _split(wh, sf_dir):
-    """Buckets stored in parts of at most three weeks: same summaries, same unwound rows."""
-    obs = wh.table("observations")
-    parts = bucket.build_buckets(obs, wh.table("regions"), wh.table("diseases"),
-                                 bucket.oversized_buckets(obs, 3))
-    return parts.groupBy(F.col("disease.name").alias("name"),
-                         F.col("time_bucket.year").alias("year")).agg(
-        F.sum("monthly_summary.total_cases").alias("total_cases"),
-        F.count("monthly_summary").alias("buckets"),
-        F.sum(nested.total_of(F.col("weekly_observations"), "cases")).alias("week_cases"))
+@register("bucket_rows")
+def _bucket_rows(wh, sf_dir):
+    """Stored weekly rows against the summaries of their buckets: every total must agree."""
+    weeks = wh.buckets().weeks().groupBy("bucket_key").agg(
+        F.sum("cases").alias("week_cases"), F.count("*").alias("weeks"))
+    return wh.buckets().summaries().join(weeks, "bucket_key").groupBy(
+        F.col("disease.name").alias("name"), F.col("time_bucket.year").alias("year")).agg(
+        F.sum("monthly_summary.total_cases").alias("total_cases"), F.count("*").alias("buckets"),
+        F.sum("week_cases").alias("week_cases"))
 
 
 @register("monthly_aggregates")
@@ -495,7 +495,7 @@ def _profile(wh, sf_dir):
 @register("graph_write_profile")
 def _written_profile(wh, sf_dir):
     """The same counts after writing one table per label and edge type."""
-    folder = wh.path(f"graph-{uuid.uuid4().hex}")
+    folder = wh.path("graph")
     wh.write_graph(folder)
     full = wh.full_graph()
     edge_schema = "src string, dst string"
@@ -522,13 +522,12 @@ def _calendar_edges(wh, sf_dir):
 
 @register("model_profile")
 def _models(wh, sf_dir):
-    """Rows per star table, bucket documents and summaries."""
+    """Rows per star table, bucket table and summary."""
     star_tables = {n: wh.table(n) for n in ("dim_time", "dim_location", "dim_disease", "fact")}
     builders = wh.summary_builders()
     return reconcile.profile({
         "table": star_tables, "document": {"buckets": wh.buckets().summaries()},
-        "summary": {n: builders[n]() for n in ("mv_decade_disease_national",
-                                               "summary_decade_national")}})
+        "summary": {name: build() for name, build in builders.items()}})
 
 
 @register("merge_replace")
@@ -538,7 +537,7 @@ def _merge(wh, sf_dir):
         F.col("year") <= YEAR)
     updates = summaries.monthly_by_region(wh.buckets(), state_only=False).filter(
         F.col("year") >= YEAR)
-    keys, base = ["disease", "region", "year", "month"], wh.path(f"merge-{uuid.uuid4().hex}")
+    keys, base = ["disease", "region", "year", "month"], wh.path("merge")
     tables.merge_replace(current, keys, f"{base}/none", f"{base}/v1", current.schema)
     tables.merge_replace(updates, keys, f"{base}/v1", f"{base}/v2", current.schema)
     return tables.read_table(wh.spark, f"{base}/v2", current.schema)
@@ -678,27 +677,30 @@ def _text(wh, sf_dir):
 def _topic(wh: Warehouse, sf_dir: str) -> str:
     path = wh.path("topic")
     if not tables.table_exists(wh.spark, path):
-        messages = events.as_messages(binding.event_rows(wh.spark, sf_dir))
-        events.publish_files(messages, path)
+        messages = events.as_messages(binding.event_rows(wh.spark, sf_dir)).repartition(4)
+        events.publish_files(messages, path, "overwrite")
     return path
 
 
-def _run_folder(wh: Warehouse) -> str:
-    return wh.path(f"stream-{uuid.uuid4().hex}")
+def _run_folder(wh: Warehouse, name: str) -> str:
+    """The one folder of a query's stream, emptied for a run from the start."""
+    folder = wh.path(f"stream/{name}")
+    tables.remove_table(wh.spark, folder)
+    return folder
 
 
-def _event_stream(wh: Warehouse, sf_dir: str) -> DataFrame:
-    return events.parsed_events(events.file_topic(wh.spark, _topic(wh, sf_dir)))
+def _event_stream(wh: Warehouse, sf_dir: str, max_files: int | None = None) -> DataFrame:
+    return events.parsed_events(events.file_topic(wh.spark, _topic(wh, sf_dir), max_files))
 
 
-def _appended(wh: Warehouse, stream: DataFrame) -> DataFrame:
-    folder = _run_folder(wh)
+def _appended(wh: Warehouse, stream: DataFrame, name: str) -> DataFrame:
+    folder = _run_folder(wh, name)
     sinks.finish(sinks.append_rows(stream, f"{folder}/rows", f"{folder}/checkpoint"))
     return wh.spark.read.schema(stream.schema).parquet(f"{folder}/rows")
 
 
-def _state_of(wh: Warehouse, stream: DataFrame, keys: list[str]) -> DataFrame:
-    folder = _run_folder(wh)
+def _state_of(wh: Warehouse, stream: DataFrame, keys: list[str], name: str) -> DataFrame:
+    folder = _run_folder(wh, name)
     sinks.finish(sinks.record_changes(stream, f"{folder}/changes", f"{folder}/checkpoint"))
     return sinks.current_state(wh.spark, f"{folder}/changes", stream.schema, keys)
 
@@ -722,14 +724,15 @@ def _published_observations(wh, sf_dir):
 
 @register("publish_head")
 def _head(wh, sf_dir):
-    """How many messages a limited publish emits."""
-    rows = binding.event_rows(wh.spark, sf_dir)
-    return events.as_messages(rows, limit=500).agg(F.count("*").alias("messages"))
+    """The head that a limited publish of the newest events emits, decoded again."""
+    rows = binding.event_rows(wh.spark, sf_dir).orderBy(F.desc("timestamp"), F.desc("event_id"))
+    return events.parsed_events(events.as_messages(rows, limit=500)).select(
+        "event_id", "disease", "state", "epi_week", "cases", "incidence_rate")
 
 
 @register("stream_validated")
 def _validated(wh, sf_dir):
-    return _appended(wh, stream_queries.validated(_event_stream(wh, sf_dir))).drop("timestamp")
+    return _appended(wh, stream_queries.validated(_event_stream(wh, sf_dir)), "validated").drop("timestamp")
 
 
 def _alert_rows(wh: Warehouse, sf_dir: str) -> DataFrame:
@@ -739,14 +742,14 @@ def _alert_rows(wh: Warehouse, sf_dir: str) -> DataFrame:
 @register("stream_alerts")
 def _alerts(wh, sf_dir):
     return _appended(wh, _alert_rows(wh, sf_dir).select(
-        "disease", "state", "epi_week", "cases", "incidence_rate", "alert_type"))
+        "disease", "state", "epi_week", "cases", "incidence_rate", "alert_type"), "alerts")
 
 
 @register("stream_national_totals")
 def _national(wh, sf_dir):
     totals = stream_queries.national_totals(
-        stream_queries.validated(_event_stream(wh, sf_dir)))
-    return _state_of(wh, totals, ["disease", "epi_week"]).withColumn(
+        stream_queries.validated(_event_stream(wh, sf_dir, max_files=1)))
+    return _state_of(wh, totals, ["disease", "epi_week"], "national").withColumn(
         "avg_national_incidence", F.round("avg_national_incidence", 6))
 
 
@@ -755,19 +758,19 @@ def _national_bounded(wh, sf_dir):
     """The same table with weeks closed ten weeks after the newest one."""
     totals = stream_queries.national_totals(
         stream_queries.validated(_event_stream(wh, sf_dir)), late_weeks=10)
-    return _state_of(wh, totals, ["disease", "epi_week"]).drop("week_start").withColumn(
+    return _state_of(wh, totals, ["disease", "epi_week"], "national_bounded").drop("week_start").withColumn(
         "avg_national_incidence", F.round("avg_national_incidence", 6))
 
 
 @register("stream_event_rate")
 def _rate(wh, sf_dir):
-    rates = stream_queries.event_rates(_event_stream(wh, sf_dir))
-    return _state_of(wh, rates, ["window_start"]).withColumns({
+    rates = stream_queries.event_rates(_event_stream(wh, sf_dir, max_files=1))
+    return _state_of(wh, rates, ["window_start"], "rate").withColumns({
         c: F.date_format(c, "yyyy-MM-dd HH:mm:ss") for c in ("window_start", "window_end")})
 
 
-def _latest(wh: Warehouse, stream: DataFrame, n: int) -> DataFrame:
-    folder = _run_folder(wh)
+def _latest(wh: Warehouse, stream: DataFrame, n: int, name: str) -> DataFrame:
+    folder = _run_folder(wh, name)
     sinks.finish(sinks.keep_latest(
         stream, ["timestamp", "event_id"], n, f"{folder}/versions", f"{folder}/checkpoint"))
     return sinks.latest_rows(wh.spark, f"{folder}/versions", stream.schema)
@@ -775,18 +778,18 @@ def _latest(wh: Warehouse, stream: DataFrame, n: int) -> DataFrame:
 
 @register("stream_latest_events")
 def _latest_events(wh, sf_dir):
-    return _latest(wh, _event_stream(wh, sf_dir), 50).select(
+    return _latest(wh, _event_stream(wh, sf_dir), 50, "latest_events").select(
         "event_id", "disease", "state", "epi_week", "cases", "incidence_rate")
 
 
 @register("stream_latest_alerts")
 def _latest_alerts(wh, sf_dir):
-    return _latest(wh, _alert_rows(wh, sf_dir), 20).select(
+    return _latest(wh, _alert_rows(wh, sf_dir), 20, "latest_alerts").select(
         "event_id", "disease", "state", "epi_week", "cases", "incidence_rate", "alert_type")
 
 
 @register("stream_running_count")
 def _count(wh, sf_dir):
-    totals = (_event_stream(wh, sf_dir).groupBy(F.lit("all").alias("topic"))
+    totals = (_event_stream(wh, sf_dir, max_files=1).groupBy(F.lit("all").alias("topic"))
               .agg(F.count("*").alias("event_count")))
-    return _state_of(wh, totals, ["topic"])
+    return _state_of(wh, totals, ["topic"], "count")

@@ -31,6 +31,7 @@ LAYOUT = {
     "dim_disease": (schemas.DIM_DISEASE, [], []),
     "fact": (schemas.FACT, ["loc_type", "decade", "disease_key"], ["time_key"]),
     "buckets": (schemas.BUCKETS, ["decade"], ["disease.name", "time_bucket.year"]),
+    "bucket_rows": (schemas.BUCKET_ROWS, ["decade"], ["disease", "year"]),
     "observation_nodes": (schemas.OBSERVATION_NODES, [], []),
     "monthly_aggregates": (schemas.MONTHLY_AGGREGATES, ["decade"], ["disease", "year"]),
     "borders": (schemas.BORDERS, [], []),
@@ -117,7 +118,9 @@ class Warehouse:
             "fact": lambda: star.build_fact(
                 t("observations"), t("dim_time"), t("dim_location"), t("dim_disease"),
                 t("populations")),
-            "buckets": self._buckets,
+            "buckets": lambda: bucket.build_buckets(
+                t("observations"), t("regions"), t("diseases")),
+            "bucket_rows": lambda: bucket.bucket_rows(t("observations")),
             "observation_nodes": lambda: graph.observation_nodes(
                 t("observations"), t("regions"), t("diseases")),
             "monthly_aggregates": lambda: graph.monthly_aggregates(
@@ -125,13 +128,6 @@ class Warehouse:
         }
         return builders[name]()
 
-    def _buckets(self) -> DataFrame:
-        obs = self.table("observations")
-        oversized = bucket.oversized_buckets(obs)
-        none = oversized.isEmpty()
-        return bucket.build_buckets(
-            obs, self.table("regions"), self.table("diseases"), None if none else oversized)
-
     def star(self) -> Star:
         if self._star is None:
             self._star = Star(
@@ -139,7 +135,7 @@ class Warehouse:
         return self._star
 
     def buckets(self) -> Buckets:
-        return Buckets(self.table("buckets"))
+        return Buckets(self.table("buckets"), self.table("bucket_rows"))
 
     def graph(self) -> Graph:
         """Aggregates, disease nodes and borders: what the queries read."""
@@ -149,9 +145,10 @@ class Warehouse:
 
     def full_graph(self) -> Graph:
         """All twelve node sets."""
-        obs, regions = self.table("observations"), self.table("regions")
+        regions = self.table("regions")
         nodes = {"Disease": graph.disease_nodes(self.table("diseases")),
-                 **graph.place_nodes(obs, regions), **graph.calendar_nodes(obs),
+                 **graph.place_nodes(self.table("dim_location"), regions),
+                 **graph.calendar_nodes(self.table("dim_time")),
                  "Observation": self.table("observation_nodes"),
                  "MonthlyAggregate": self.table("monthly_aggregates")}
         return Graph(nodes, self.table("borders"), regions)

@@ -56,7 +56,7 @@ FACT = _struct(
 )
 
 WEEKLY = _struct(("epi_week", INT), ("week", INT), ("cases", INT), ("incidence_rate", DOUBLE))
-BUCKETS = _struct(
+_BUCKET_FIELDS = [
     ("disease", _struct(
         ("name", STR), ("category", STR), ("transmission", STR),
         ("vaccine_preventable", BOOL), ("vaccine_year", INT))),
@@ -66,13 +66,17 @@ BUCKETS = _struct(
         ("coordinates", _struct(("lat", DOUBLE), ("lng", DOUBLE))))),
     ("time_bucket", _struct(
         ("year", INT), ("month", INT), ("month_name", STR), ("quarter", INT), ("decade", INT))),
-    ("weekly_observations", T.ArrayType(WEEKLY, True)),
     ("monthly_summary", _struct(
         ("total_cases", LONG), ("avg_incidence_rate", DOUBLE),
         ("peak_weekly_cases", INT), ("observation_count", LONG))),
-    ("part", INT),
-    ("decade", INT),
-)
+]
+BUCKETS = _struct(*_BUCKET_FIELDS, ("bucket_key", STR), ("decade", INT))
+BUCKET_ROWS = _struct(
+    ("bucket_key", STR), ("disease", STR), ("state_code", STR), ("year", INT), ("month", INT),
+    ("epi_week", INT), ("week", INT), ("cases", INT), ("incidence_rate", DOUBLE), ("decade", INT))
+# The nested view over both.
+DOCUMENTS = _struct(
+    *_BUCKET_FIELDS[:3], ("weekly_observations", T.ArrayType(WEEKLY, True)), _BUCKET_FIELDS[3])
 
 OBSERVATION_NODES = _struct(
     ("observation_id", LONG), ("case_count", INT), ("incidence_rate", DOUBLE), ("grain", STR),

@@ -2,12 +2,8 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import SparkSession
 
-_local_scratch: dict[str, str] = {}
-
 # Settings every deployment wants; sizes stay at Spark's defaults unless the caller sets them.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -42,16 +38,8 @@ def shuffle_partitions(input_bytes: int, cores: int) -> int:
 def scratch_root(spark: SparkSession) -> str:
     """Folder for tables written between steps, shared by driver and executors.
 
-    Taken from ``spark.checkpoint.dir``. Where that is unset, a local master gets a
-    temporary folder and any other master is an error: executors on other machines
-    could not read a folder of the driver's machine.
+    It lies below ``spark.checkpoint.dir``, or, where that is unset, below the session's
+    warehouse folder (``spark.sql.warehouse.dir``), which all executors share too.
     """
-    app = spark.sparkContext.applicationId
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        return f"{shared.rstrip('/')}/caseloom-{app}"
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    if app not in _local_scratch:
-        _local_scratch[app] = tempfile.mkdtemp(prefix="caseloom-")
-    return _local_scratch[app]
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{shared.rstrip('/')}/caseloom-{spark.sparkContext.applicationId}"
