@@ -24,19 +24,40 @@ class Star:
     def times(self) -> DataFrame:
         shorts = ["week_number", "month", "quarter", "year", "decade", "century"]
         wide = self.dim_time.withColumns({c: F.col(c).cast("int") for c in shorts})
-        # The fact carries the decade as its partition column.
-        return wide.withColumnRenamed("decade", "time_decade")
+        # The fact carries year and decade itself.
+        return wide.withColumnRenamed("decade", "time_decade").drop("year")
 
     @cached_property
     def diseases(self) -> DataFrame:
         return self.dim_disease.withColumn(
             "vaccine_intro_year", F.col("vaccine_intro_year").cast("int"))
 
+    def place_totals(self, *keys: str, grain: str | None = "STATE", disease: str | None = None,
+                     years: tuple[int, int] | None = None, where: Column | None = None) -> DataFrame:
+        """Fact totals per place and the given fact columns: cases, rates, their number, first year.
+
+        Names are joined to these few rows, not to the fact; only a chosen disease is joined
+        before, to prune partitions.
+        """
+        rows = self.rows(grain=grain, years=years, where=where)
+        if disease is not None:
+            rows = rows.join(self.diseases.filter(F.col("disease_name") == disease)
+                             .select("disease_key"), "disease_key")
+        return rows.groupBy("location_key", *keys).agg(
+            F.sum("case_count").alias("cases"), F.sum("incidence_rate").alias("rates"),
+            F.count("incidence_rate").alias("n"), F.min("year").alias("first_year"))
+
+    def named_states(self, totals: DataFrame) -> DataFrame:
+        """Place totals with the state's name (null for states without reference)."""
+        names = self.dim_location.filter(F.col("loc_type") == "STATE").select("location_key", "state_name")
+        return totals.join(names, "location_key")
+
     def rows(self, *dims: str, grain: str | None = "STATE", where: Column | None = None,
              years: tuple[int, int] | None = None) -> DataFrame:
         """The fact joined with the named dimensions (``time``, ``disease``, ``location``).
 
-        ``grain`` and ``years`` prune fact partitions at planning time. Foreign keys are
+        ``grain`` and ``years`` prune fact partitions at planning time, and the year row
+        groups as well. Foreign keys are
         checked at load, so a dimension that is not used need not be joined.
         """
         fact = self.fact
@@ -44,7 +65,8 @@ class Star:
             fact = fact.filter(F.col("loc_type") == grain)
         if years:
             first, last = years
-            fact = fact.filter(F.col("decade").between(first - first % 10, last - last % 10))
+            fact = fact.filter(F.col("decade").between(first - first % 10, last - last % 10)
+                               & F.col("year").between(first, last))
         rows = fact
         if "disease" in dims:
             rows = rows.join(self.diseases, "disease_key")
@@ -55,8 +77,6 @@ class Star:
             if grain:
                 places = places.filter(F.col("loc_type") == grain)
             rows = rows.join(places.drop("loc_type"), "location_key")
-        if years:
-            rows = rows.filter(F.col("year").between(*years))
         return rows.filter(where) if where is not None else rows
 
 

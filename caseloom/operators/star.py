@@ -105,4 +105,4 @@ def build_fact(obs: DataFrame, dim_time: DataFrame, dim_location: DataFrame,
         "disease_key", F.col("cases").alias("case_count"),
         F.col("incidence_per_100000").cast(schemas.RATE).alias("incidence_rate"),
         F.when(F.col("loc_type") == "STATE", F.col("population")).alias("population"),
-        "loc_type", "decade"), schemas.FACT)
+        year_of(F.col("epi_week")).alias("year"), "loc_type", "decade"), schemas.FACT)

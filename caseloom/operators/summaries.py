@@ -9,16 +9,16 @@ from caseloom.functions import rounding
 from caseloom.operators.models import Buckets, Star
 
 
-def _mean_rate():
-    return rounding.exact_mean(F.col("incidence_rate")).alias("avg_incidence_rate")
-
-
 def monthly_disease_state(star: Star) -> DataFrame:
     """Monthly totals by disease and state, state grain."""
-    return (star.rows("disease", "time", "location")
+    months = star.rows("time").groupBy("disease_key", "location_key", "year", "month", "month_name").agg(
+        F.sum("case_count").alias("cases"), F.sum("incidence_rate").alias("rates"),
+        F.count("incidence_rate").alias("n"), F.count("*").alias("records"))
+    return (months.join(star.diseases, "disease_key")
+            .join(star.dim_location.select("location_key", "state_name", "census_region"), "location_key")
             .groupBy("disease_name", "state_name", "census_region", "year", "month", "month_name")
-            .agg(F.sum("case_count").alias("total_cases"), _mean_rate(),
-                 F.count("*").alias("record_count")))
+            .agg(F.sum("cases").alias("total_cases"), _merged_rate(),
+                 F.sum("records").alias("record_count")))
 
 
 def yearly_disease_region(star: Star) -> DataFrame:
@@ -27,9 +27,11 @@ def yearly_disease_region(star: Star) -> DataFrame:
     Grouped per location first, so the distinct count is a plain count of those rows.
     """
     keys = ["disease_name", "disease_category", "census_region", "year", "decade"]
-    per_place = (star.rows("disease", "time", "location").groupBy(*keys, "location_key")
-                 .agg(F.sum("case_count").alias("cases"), F.sum("incidence_rate").alias("rates"),
-                      F.count("incidence_rate").alias("n"), F.max("case_count").alias("peak")))
+    per_place = star.rows().groupBy("disease_key", "location_key", "year", "decade").agg(
+        F.sum("case_count").alias("cases"), F.sum("incidence_rate").alias("rates"),
+        F.count("incidence_rate").alias("n"), F.max("case_count").alias("peak"))
+    per_place = per_place.join(star.diseases, "disease_key").join(
+        star.dim_location.select("location_key", "census_region"), "location_key")
     return per_place.groupBy(*keys).agg(
         F.sum("cases").alias("total_cases"), _merged_rate(),
         F.max("peak").alias("peak_weekly_cases"), F.count("*").alias("reporting_locations"))
@@ -37,8 +39,7 @@ def yearly_disease_region(star: Star) -> DataFrame:
 
 def _place_totals(star: Star, *keys: str, grain: str | None = None) -> DataFrame:
     """Fact totals per place and the given keys, so the join with places moves few rows."""
-    rows = star.rows("time", grain=grain) if "year" in keys else star.rows(grain=grain)
-    return rows.groupBy("disease_key", "location_key", "loc_type", *keys).agg(
+    return star.rows(grain=grain).groupBy("disease_key", "location_key", "loc_type", *keys).agg(
         F.sum("case_count").alias("cases"), F.sum("incidence_rate").alias("rates"),
         F.count("incidence_rate").alias("n"))
 

@@ -9,49 +9,54 @@ from caseloom.functions import guards, rounding
 from caseloom.operators.models import Star
 
 
-def _is(disease: str):
-    return F.col("disease_name") == disease
+def _mean_rate():
+    """Mean of the rates behind place totals, two decimals."""
+    mean = F.sum("rates").cast("decimal(26,4)") / F.sum("n").cast("decimal(16,0)")
+    return rounding.half_up(mean, 2).alias("avg_incidence")
+
+
+def _cases():
+    return F.sum("cases").alias("total_cases")
 
 
 def q01_star(star: Star) -> DataFrame:
     """Cases and mean weekly rate by disease and decade."""
-    return (star.rows("disease").groupBy("disease_name", "decade")
-            .agg(F.sum("case_count").alias("total_cases"),
-                 rounding.half_up(rounding.exact_mean(F.col("incidence_rate")), 2)
-                 .alias("avg_incidence"))
-            .orderBy("disease_name", "decade"))
+    totals = star.rows().groupBy("disease_key", "decade").agg(
+        F.sum("case_count").alias("cases"), F.sum("incidence_rate").alias("rates"),
+        F.count("incidence_rate").alias("n"))
+    return (totals.join(star.diseases, "disease_key").groupBy("disease_name", "decade")
+            .agg(_cases(), _mean_rate()).orderBy("disease_name", "decade"))
 
 
 def q02_star(star: Star, year: int = 1960, disease: str = "MEASLES") -> DataFrame:
     """Cases and mean weekly rate by state in one year."""
-    return (star.rows("disease", "time", "location", years=(year, year), where=_is(disease))
-            .groupBy("state_name")
-            .agg(F.sum("case_count").alias("total_cases"),
-                 rounding.half_up(rounding.exact_mean(F.col("incidence_rate")), 2)
-                 .alias("avg_incidence"))
+    return (star.named_states(star.place_totals(disease=disease, years=(year, year)))
+            .groupBy("state_name").agg(_cases(), _mean_rate())
             .orderBy(F.desc("total_cases"), "state_name"))
 
 
 def q03_star(star: Star, disease: str = "MEASLES", start_year: int = 1950,
              end_year: int = 1970, k: int = 10) -> DataFrame:
     """The k states with most cases in a range of years."""
-    return (star.rows("disease", "time", "location", years=(start_year, end_year), where=_is(disease))
-            .groupBy("state_name").agg(F.sum("case_count").alias("total_cases"))
+    return (star.named_states(star.place_totals(disease=disease, years=(start_year, end_year)))
+            .groupBy("state_name").agg(_cases())
             .orderBy(F.desc("total_cases"), "state_name").limit(k))
 
 
 def q04_star(star: Star, disease: str = "MEASLES") -> DataFrame:
     """Mean weekly cases per calendar month."""
-    mean = rounding.exact_ratio(F.sum("case_count"), F.count("case_count"))
-    return (star.rows("disease", "time", where=_is(disease))
-            .groupBy("month", "month_name")
+    wanted = star.diseases.filter(F.col("disease_name") == disease).select("disease_key")
+    weeks = star.rows().join(wanted, "disease_key").groupBy("time_key").agg(
+        F.sum("case_count").alias("cases"), F.count("case_count").alias("n"))
+    mean = rounding.exact_ratio(F.sum("cases"), F.sum("n"))
+    return (weeks.join(star.times, "time_key").groupBy("month", "month_name")
             .agg(rounding.half_up(mean, 2).alias("avg_weekly_cases")).orderBy("month"))
 
 
 def q05_star(star: Star, disease: str = "MEASLES") -> DataFrame:
     """Change against the previous reported year, per state; the first year has nulls."""
-    yearly = (star.rows("disease", "time", "location", where=_is(disease))
-              .groupBy("state_name", "year").agg(F.sum("case_count").alias("total_cases")))
+    yearly = (star.named_states(star.place_totals("year", disease=disease))
+              .groupBy("state_name", "year").agg(_cases()))
     previous = F.lag("total_cases").over(Window.partitionBy("state_name").orderBy("year"))
     change = rounding.exact_ratio(
         (F.col("total_cases") - F.col("prev_year_cases")) * 100,
@@ -62,9 +67,9 @@ def q05_star(star: Star, disease: str = "MEASLES") -> DataFrame:
 
 
 def _state_years(star: Star) -> DataFrame:
-    return (star.rows("disease", "time", "location")
-            .groupBy("state_name", "year", "disease_name")
-            .agg(F.sum("case_count").alias("total_cases")))
+    return (star.named_states(star.place_totals("disease_key", "year"))
+            .join(star.diseases.select("disease_key", "disease_name"), "disease_key")
+            .groupBy("state_name", "year", "disease_name").agg(_cases()))
 
 
 def correlation(x: str, y: str):
@@ -95,26 +100,17 @@ def q06_star(star: Star, floor: int = 100, min_pairs: int = 10) -> DataFrame:
 def first_years_ranked(first_years: DataFrame, ordinal: bool = False) -> DataFrame:
     """Adds ``spread_rank``: RANK by first year, or ordinal numbers with the state as tiebreak.
 
-    Ranks are built from the number of states per year, so no window runs over all states.
+    The window holds one row per state, which the reference table bounds.
     """
-    counts = first_years.groupBy("first_reported_year").agg(F.count("*").alias("n"))
-    before = Window.orderBy("first_reported_year").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(
-        "first_reported_year", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("earlier"))
-    ranked = first_years.join(offsets, "first_reported_year")
-    place = F.lit(1)
-    if ordinal:
-        place = F.row_number().over(
-            Window.partitionBy("first_reported_year").orderBy("state_name"))
-    return ranked.select("state_name", "first_reported_year",
-                         (F.col("earlier") + place).cast("int").alias("spread_rank"))
+    place = (F.row_number().over(Window.orderBy("first_reported_year", "state_name")) if ordinal
+             else F.rank().over(Window.orderBy("first_reported_year")))
+    return first_years.select("state_name", "first_reported_year", place.cast("int").alias("spread_rank"))
 
 
 def q07_star(star: Star, disease: str = "MEASLES") -> DataFrame:
     """States ranked by the first year with cases; ties share a rank."""
-    first = (star.rows("disease", "time", "location",
-                       where=_is(disease) & (F.col("case_count") > 0))
-             .groupBy("state_name").agg(F.min("year").alias("first_reported_year")))
+    first = (star.named_states(star.place_totals(disease=disease, where=F.col("case_count") > 0))
+             .groupBy("state_name").agg(F.min("first_year").alias("first_reported_year")))
     return first_years_ranked(first).orderBy("first_reported_year", "state_name")
 
 
@@ -132,7 +128,7 @@ def q08_star(star: Star, span: int = 10) -> DataFrame:
     One pass: both windows are conditional aggregates over the yearly totals. Diseases
     without data in a window stay, with nulls.
     """
-    yearly = (star.rows("time").groupBy("disease_key", "year")
+    yearly = (star.rows().groupBy("disease_key", "year")
               .agg(F.sum("case_count").alias("yearly_total")))
     known = star.diseases.filter(F.col("vaccine_intro_year").isNotNull())
     pre, n_pre = window_total("before", "yearly_total", span)
@@ -168,8 +164,9 @@ def q09_star(star: Star, threshold: float = 2.0, k: int = 50) -> DataFrame:
 
 def q10_star(star: Star) -> DataFrame:
     """Yearly cases as a percentage of the disease's highest year."""
-    yearly = (star.rows("disease", "time").groupBy("disease_name", "year")
-              .agg(F.sum("case_count").alias("total_cases")))
+    totals = star.rows().groupBy("disease_key", "year").agg(F.sum("case_count").alias("cases"))
+    yearly = (totals.join(star.diseases.select("disease_key", "disease_name"), "disease_key")
+              .groupBy("disease_name", "year").agg(_cases()))
     peak = F.max("total_cases").over(Window.partitionBy("disease_name"))
     index = rounding.exact_ratio(F.col("total_cases") * 100, guards.null_if_zero(F.col("peak")))
     return (yearly.withColumn("peak", peak)

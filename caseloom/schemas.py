@@ -51,7 +51,7 @@ DIM_DISEASE = _struct(
 # The last three are partition columns of the stored fact.
 FACT = _struct(
     ("incidence_key", LONG), ("time_key", INT), ("location_key", INT),
-    ("case_count", INT), ("incidence_rate", RATE), ("population", INT),
+    ("case_count", INT), ("incidence_rate", RATE), ("population", INT), ("year", INT),
     ("loc_type", STR), ("decade", INT), ("disease_key", INT),
 )
 
