@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -122,7 +122,36 @@ def null_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return counted.unpivot([], list(columns), "column_name", "null_count")
 
 
-# Integrity rules of the star tables.
+class IntegrityError(ValueError):
+    """A loaded or reference table breaks a key rule."""
+
+
+def broken_keys(frames: Mapping[str, DataFrame], rules: Mapping[str, Sequence[str]],
+                shown: int = 5) -> list[str]:
+    """A line per table whose key is not unique, with some of the repeated keys."""
+    found = []
+    for name, keys in rules.items():
+        repeated = [tuple(r)[:-1] for r in duplicate_keys(frames[name], keys).limit(shown).collect()]
+        if repeated:
+            found.append(f"{name}: {', '.join(keys)} not unique: {sorted(map(str, repeated))}")
+    return found
+
+
+def lost_keys(child: DataFrame, parents: Mapping[str, DataFrame], shown: int = 5) -> list[str]:
+    """A line per foreign key with values that its table lacks."""
+    found = []
+    for key, parent in parents.items():
+        lost = [r[0] for r in orphans(child, parent, key).select(key).distinct().limit(shown).collect()]
+        if lost:
+            found.append(f"{key} without its row: {sorted(lost)}")
+    return found
+
+
+# Keys of the reference tables and of the graph's nodes, integrity rules of the star.
+REFERENCE_KEYS = {
+    "regions": ["state_code"], "diseases": ["disease_name"], "populations": ["state_code", "decade"],
+}
+NODE_KEYS = {"Disease": ["name"], "State": ["code"], "Region": ["name"], "City": ["state_code", "name"]}
 UNIQUE_KEYS = {
     "dim_time": ["epi_week"],
     "dim_location": ["city_name", "state_code", "loc_type"],

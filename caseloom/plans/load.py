@@ -56,11 +56,17 @@ def load_files(spark: SparkSession, folder: str, reference: ReferencePaths, root
                check: bool = True, full_refresh: bool = True) -> tuple[Warehouse, DataFrame]:
     """Loads the active data set of a folder into a warehouse at ``root``.
 
-    Returns the warehouse and one status row per table, labelled with the kind of data set.
+    Returns the warehouse and one status row per table, labelled with the kind of data set,
+    and one per reason for which cleaning drops rows (status ``dropped``).
     """
     path = files.resolve_active(spark, folder, active, fallbacks)
     if check:
         check_raw(spark, path, reference)
     warehouse = Warehouse(spark, root, lambda: read_sources(spark, path, reference))
     label = files.source_label(F.lit(path))
-    return warehouse, warehouse.load(full_refresh).withColumn("source_label", label)
+    status = warehouse.load(full_refresh)
+    dropped = clean.dropped_rows(files.scan_observations(spark, path)).drop("rows_read")
+    reasons = dropped.unpivot([], dropped.columns, "table_name", "row_count").select(
+        "table_name", F.lit("dropped").alias("status"), "row_count",
+        F.lit(0.0).alias("execution_time_ms"))
+    return warehouse, status.unionByName(reasons).withColumn("source_label", label)

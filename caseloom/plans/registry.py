@@ -263,6 +263,12 @@ def _scan_reference(wh, sf_dir):
     return rows
 
 
+@register("dropped_rows")
+def _dropped(wh, sf_dir):
+    """How many rows of the dirty feed cleaning drops, by reason."""
+    return clean.dropped_rows(_feed(wh, sf_dir))
+
+
 @register("clean_observations")
 def _clean(wh, sf_dir):
     return clean.clean_observations(_feed(wh, sf_dir))
@@ -313,12 +319,13 @@ def _duplicates(wh, sf_dir):
 
 @register("quality_unique_rules")
 def _unique(wh, sf_dir):
-    """Violations of each uniqueness rule of the star tables; all must be 0."""
+    """Violations of each uniqueness rule of the star tables and the graph's nodes; all must be 0."""
     frames = {**{n: wh.table(n) for n in ("dim_time", "dim_location", "dim_disease")},
-              "mv_monthly_disease_state": wh.summary_builders()["mv_monthly_disease_state"]()}
+              "mv_monthly_disease_state": wh.summary_builders()["mv_monthly_disease_state"](),
+              **wh.full_graph().nodes}
     return reconcile.profile({"unique": {
         name: quality.duplicate_keys(frames[name], keys)
-        for name, keys in quality.UNIQUE_KEYS.items()}}).select(
+        for name, keys in {**quality.UNIQUE_KEYS, **quality.NODE_KEYS}.items()}}).select(
             F.col("name").alias("table_name"), F.col("row_count").alias("violations"))
 
 

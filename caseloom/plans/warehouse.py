@@ -15,7 +15,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 
 from caseloom import schemas
-from caseloom.operators import bucket, graph, star, summaries
+from caseloom.operators import bucket, graph, quality, star, summaries
 from caseloom.operators.models import Buckets, Graph, Star
 from caseloom.session import scratch_root
 from caseloom.sources.tables import read_table, table_exists, write_table
@@ -49,6 +49,11 @@ class Sources:
     border_lists: DataFrame
 
 
+def _raise(problems: list[str]) -> None:
+    if problems:
+        raise quality.IntegrityError("; ".join(problems))
+
+
 @dataclass
 class Warehouse:
     spark: SparkSession
@@ -75,10 +80,15 @@ class Warehouse:
     def load(self, full_refresh: bool = True) -> DataFrame:
         """Writes every table in dependency order; one status row per table.
 
-        Without ``full_refresh`` a table that already holds rows is left alone.
+        Without ``full_refresh`` a table that already holds rows is left alone. Repeated keys
+        in a reference table stop the load before anything is written; repeated or lost keys
+        in what was built raise at its end. Both name the keys.
         """
         outcome = []
         self._opened = self._star = None
+        inputs = self._inputs()
+        _raise(quality.broken_keys({name: getattr(inputs, name) for name in quality.REFERENCE_KEYS},
+                                   quality.REFERENCE_KEYS))
         for name, (schema, partitions, clustering) in LAYOUT.items():
             started = time.monotonic()
             with self._lock:
@@ -91,9 +101,18 @@ class Warehouse:
                 status = "loaded" if full_refresh or not filled else "kept"
             rows = self.table(name).count()
             outcome.append((name, status, rows, round((time.monotonic() - started) * 1000, 2)))
+        _raise(self.broken_rules())
         return self.spark.createDataFrame(
             outcome, "table_name string, status string, row_count long, execution_time_ms double")
 
+    def broken_rules(self) -> list[str]:
+        """Key rules that the stored star and the graph's nodes break, a line each."""
+        dims = {name: keys for name, keys in quality.UNIQUE_KEYS.items() if name in LAYOUT}
+        frames = {**{name: self.table(name) for name in dims}, **self.full_graph().nodes}
+        parents = {key: self.table(dim) for key, dim in quality.FOREIGN_KEYS.items()}
+        return (quality.broken_keys(frames, {**dims, **quality.NODE_KEYS})
+                + quality.lost_keys(self.table("fact"), parents))
+
     def _write(self, name: str, partitions: list[str], clustering: list[str]) -> None:
         df = self._build(name).select(*LAYOUT[name][0].fieldNames())
         write_table(df, self.path(name), partitions, clustering)

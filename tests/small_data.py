@@ -96,13 +96,15 @@ class SmallData:
     def buckets(self, obs=None) -> Buckets:
         if obs is None:
             return self._models["buckets"]
-        return Buckets(bucket.build_buckets(obs, self.regions, self.diseases).cache())
+        return Buckets(bucket.build_buckets(obs, self.regions, self.diseases).cache(),
+                       bucket.bucket_rows(obs).cache())
 
     def graph(self, obs=None) -> Graph:
         if obs is None:
             return self._models["graph"]
         nodes = {"Disease": graph.disease_nodes(self.diseases),
-                 **graph.place_nodes(obs, self.regions), **graph.calendar_nodes(obs),
+                 **graph.place_nodes(star.build_dim_location(obs, self.regions), self.regions),
+                 **graph.calendar_nodes(star.build_dim_time(obs)),
                  "Observation": graph.observation_nodes(obs, self.regions, self.diseases).cache()}
         nodes["MonthlyAggregate"] = graph.monthly_aggregates(
             nodes["Observation"], self.regions).cache()

@@ -1,9 +1,14 @@
+import dataclasses
+
+import pandas as pd
 import pytest
 
+from caseloom.operators.quality import IntegrityError
 from caseloom.plans import catalog
 from caseloom.plans.load import QualityError, ReferencePaths, check_raw, load_files
 from caseloom.plans.warehouse import LAYOUT
 from caseloom.session import scratch_root, shuffle_partitions
+from tests.small_data import DROPPED
 
 
 @pytest.fixture(scope="module")
@@ -25,13 +30,25 @@ def loaded(spark, files, tmp_path_factory):
 
 def test_load_writes_every_table(loaded, small):
     warehouse, status = loaded
-    rows = {r.table_name: r for r in status.collect()}
+    lines = status.collect()
+    rows = {r.table_name: r for r in lines if r.status != "dropped"}
     assert set(rows) == set(LAYOUT)
+    dropped = {r.table_name: r.row_count for r in lines if r.status == "dropped"}
+    assert sum(dropped.values()) == DROPPED and dropped["week_not_a_number"] == 1
     assert all(r.status == "loaded" and r.source_label == "real" for r in rows.values())
     assert rows["fact"].row_count == small.star().fact.count()
     assert rows["buckets"].row_count == small.buckets().documents.count()
 
 
+def test_repeated_reference_rows_stop_the_load(spark, files, small, tmp_path):
+    folder, reference = files
+    doubled = str(tmp_path / "regions.csv")
+    twice = small.regions.toPandas()
+    pd.concat([twice, twice.iloc[:1]]).to_csv(doubled, index=False)
+    with pytest.raises(IntegrityError, match=twice.state_code.iloc[0]):
+        load_files(spark, folder, dataclasses.replace(reference, regions=doubled), str(tmp_path / "wh"), check=False)
+
+
 def test_second_load_keeps_filled_tables(loaded):
     warehouse, _ = loaded
     kept = {r.table_name: r.status for r in warehouse.load(full_refresh=False).collect()}
@@ -114,10 +131,9 @@ class _Session:
 
 def test_scratch_without_a_shared_folder():
     assert scratch_root(_Session("yarn", "hdfs://x/cp/")) == "hdfs://x/cp/caseloom-app-yarn"
-    with pytest.raises(RuntimeError):
-        scratch_root(_Session("yarn"))
-    local = scratch_root(_Session("local[2]"))
-    assert local == scratch_root(_Session("local[2]")) and "caseloom-" in local
+    shared = _Session("yarn", "hdfs://x/wh")
+    shared.conf.get = lambda key, default=None: "hdfs://x/wh" if key == "spark.sql.warehouse.dir" else default
+    assert scratch_root(shared) == "hdfs://x/wh/caseloom-app-yarn"
 
 
 def test_unset_settings_read_as_none(spark):

@@ -120,7 +120,8 @@ def test_csv_round_trip(spark, small, tmp_path):
     small.raw.coalesce(1).write.option("header", True).csv(f"{folder}/observations_synthetic.csv")
     path = observations.resolve_active(spark, folder)
     assert path.endswith("observations_synthetic.csv")
-    assert sorted(observations.scan_header(spark, path)) == sorted(schemas.RAW_COLUMNS)
+    assert all(sorted(h) == sorted(schemas.RAW_COLUMNS) for h in observations.scan_headers(spark, path).values())
+    assert observations.missing_by_file(spark, path) == {}
     back = clean.clean_observations(observations.scan_observations(spark, path))
     assert back.exceptAll(small.obs).isEmpty() and small.obs.exceptAll(back).isEmpty()
     label = spark.range(1).select(observations.source_label(F.lit(path))).first()[0]
@@ -136,13 +137,40 @@ def test_source_label_per_file(spark, small, tmp_path):
     assert [r[0] for r in labels] == ["real"]
 
 
-def test_missing_tokens_are_null(spark, tmp_path):
+def test_source_label_of_a_folder(spark, small, tmp_path):
+    path = str(tmp_path / "data_synthetic.csv")
+    small.raw.write.option("header", True).csv(path)
+    labels = observations.with_source_label(spark, path).select("source_label").distinct().collect()
+    assert [r[0] for r in labels] == ["synthetic"]
+
+
+def test_missing_tokens_are_null_after_cleaning_only(spark, small, tmp_path):
     path = tmp_path / "x.csv"
     path.write_text("epi_week,state,loc,loc_type,disease,cases,incidence_per_100000\n"
                     "196001,AA,,STATE,NA,null,N/A\n196001,AA,nan,STATE,FLU,3,\n")
-    rows = observations.scan_observations(spark, str(path)).collect()
-    assert (rows[0].loc, rows[0].disease, rows[0].cases, rows[0].incidence_per_100000) == (None,) * 4
-    assert rows[1].loc is None and rows[1].cases == "3"
+    raw = observations.scan_observations(spark, str(path))
+    rows = raw.collect()
+    assert (rows[0].loc, rows[0].disease, rows[0].cases, rows[0].incidence_per_100000) == (None, "NA", "null", "N/A")
+    assert rows[1].loc == "nan" and rows[1].cases == "3"
+    cells = clean.missing_cells(raw).collect()
+    assert (cells[0].loc, cells[0].disease, cells[0].cases, cells[1].loc) == (None,) * 4
+    issues = quality.issue_counts(raw, small.regions, small.diseases).first()
+    assert issues.null_disease == 0 and issues.invalid_disease >= 1
+
+
+def test_csv_columns_go_by_name(spark, tmp_path):
+    (tmp_path / "a.csv").write_text(
+        "disease,state,loc,loc_type,cases,epi_week,note,incidence_per_100000\n"
+        'MEASLES,AA,"A ""B"", C",CITY,5,196001,"x, y",1.5\nMUMPS,BB,"two\nlines",CITY,7,196002,,2\n')
+    (tmp_path / "b.csv").write_text("epi_week,state,loc,loc_type,disease,cases\n196003,CC,CC,STATE,POLIO,9\n")
+    (tmp_path / "c.csv").write_text("")
+    rows = observations.scan_observations(spark, str(tmp_path)).orderBy("epi_week").collect()
+    assert [(r.epi_week, r.disease, r.loc, r.cases, r.incidence_per_100000) for r in rows] == [
+        ("196001", "MEASLES", 'A "B", C', "5", "1.5"), ("196002", "MUMPS", "two\nlines", "7", "2"),
+        ("196003", "POLIO", "CC", "9", None)]
+    missing = observations.missing_by_file(spark, str(tmp_path))
+    assert {name.rsplit("/", 1)[1]: columns for name, columns in missing.items()} == {
+        "b.csv": ["incidence_per_100000"], "c.csv": sorted(schemas.RAW_COLUMNS)}
 
 
 def test_guarded_load_and_merge(spark, tmp_path):

@@ -4,7 +4,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from caseloom import schemas
-from caseloom.operators import bucket, graph
+from caseloom.operators import graph, summaries
 from caseloom.operators.models import Buckets
 from caseloom.plans import bucket_queries
 
@@ -70,24 +70,17 @@ def test_bucket_documents(small):
     assert weeks[1].incidence_rate == float(np.round(12.34565, 4))
 
 
-def test_split_buckets_answer_like_whole_ones(small):
+def test_a_hot_bucket_is_never_gathered(small):
     # One bucket holds a third of all rows, all of the same week.
     hot = small.weekly([(196001, "AA", "MEASLES", i + 1) for i in range(500)])
     cold = small.weekly([(196001 + i % 50, "BB", "MUMPS", i + 1) for i in range(1000)])
-    obs = hot.union(cold)
-    whole = Buckets(bucket.build_buckets(obs, small.regions, small.diseases))
-    oversized = bucket.oversized_buckets(obs, 40)
-    parts = bucket.build_buckets(obs, small.regions, small.diseases, oversized)
-    sizes = parts.select(F.size("weekly_observations").alias("n")).agg(F.max("n"), F.sum("n")).first()
-    assert sizes[0] < 120 and sizes[1] == 1500
-    split = Buckets(parts)
-    for query in (bucket_queries.q01_bucket, bucket_queries.q04_bucket, bucket_queries.q09_bucket):
-        assert query(split).collect() == query(whole).collect()
-    assert split.summaries().count() == whole.summaries().count()
-
-
-def test_no_oversized_bucket_in_weekly_data(small):
-    assert bucket.oversized_buckets(small.obs).isEmpty()
+    model = small.buckets(hot.union(cold))
+    assert model.weeks().count() == 1500
+    largest = model.documents.agg(F.max(F.size("weekly_observations"))).first()[0]
+    assert largest == 500
+    assert bucket_queries.q04_bucket(model).first().avg_weekly_cases == 250.5
+    for df in (bucket_queries.q04_bucket(model), summaries.weekly_by_region(model, small.regions)):
+        assert "collect_list" not in df._jdf.queryExecution().toString()
 
 
 def test_borders(small):
@@ -146,7 +139,7 @@ def test_totals_agree_across_models(small):
     assert fact == dict(known)
     total = docs.summaries().agg(F.sum("monthly_summary.total_cases")).first()[0]
     assert total == sum(r.cases for r in small.obs.collect())
-    unwound = bucket.unwound(docs.documents).agg(F.sum("cases")).first()[0]
+    unwound = docs.documents.select(F.inline("weekly_observations")).agg(F.sum("cases")).first()[0]
     assert unwound == total
     nodes = model.nodes["Observation"].agg(F.sum("case_count")).first()[0]
     # Without the unknown state at state grain.
@@ -155,5 +148,5 @@ def test_totals_agree_across_models(small):
 
 def test_stored_schemas(small):
     assert small.star().fact.schema.simpleString() == schemas.FACT.simpleString()
-    assert small.buckets().documents.schema.simpleString() == schemas.BUCKETS.simpleString()
+    assert small.buckets().documents.schema.simpleString() == schemas.DOCUMENTS.simpleString()
     assert small.graph().aggregates.schema.simpleString() == schemas.MONTHLY_AGGREGATES.simpleString()
