@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from caseloom.llm import (
-    chat, decontaminate, fingerprint, jaccard, licences, mixing, repeats, secrets, shards, toxicity)
+    chat, decontaminate, fingerprint, jaccard, licences, mixing, oracles, repeats, secrets, shards,
+    toxicity)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -121,4 +122,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_mixing": op10_mixing,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES = oracles.ORACLES
