@@ -16,19 +16,19 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from caseloom.plans import registry  # noqa: E402
 from caseloom.plans.catalog import CATALOG, timed  # noqa: E402
-from caseloom.session import build_session, shuffle_partitions  # noqa: E402
+from caseloom.session import build_session  # noqa: E402
 
-LOADED = ["fact", "buckets", "monthly_aggregates", "borders"]
+LOADED = ["fact", "buckets", "bucket_rows", "monthly_aggregates", "borders"]
 
 
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", str(os.cpu_count() or 8))
     runs = int(os.environ.get("BENCH_RUNS", "7"))
-    spark = build_session("caseloom-bench", f"local[{cpus}]", **{
+    size = sum(os.path.getsize(path) for path in glob.glob(f"{sf_dir}/*.parquet"))
+    spark = build_session("caseloom-bench", f"local[{cpus}]", size, int(cpus), **{
         "spark.ui.enabled": "false",
         "spark.driver.memory": os.environ.get("BENCH_MEMORY", "12g"),
-        "spark.sql.shuffle.partitions": cpus,
     })
     spark.sparkContext.setLogLevel("ERROR")
     started = time.perf_counter()
@@ -37,8 +37,6 @@ def main() -> None:
         warehouse.table(table)
     load = time.perf_counter() - started
 
-    size = sum(os.path.getsize(path) for path in glob.glob(f"{sf_dir}/*.parquet"))
-    spark.conf.set("spark.sql.shuffle.partitions", shuffle_partitions(size, int(cpus)))
     answers = registry.all_queries()
     timings, spread = {}, {}
     for query_id, entry in CATALOG.items():

@@ -535,7 +535,7 @@ _MADE_FROM = {
 ORACLES["quality_required_columns"] = _sql("t rg dz", " UNION ALL ".join(
     f"SELECT '{column}' AS column_name, count(*) - count({made}) AS null_count, '{table}' AS table_name FROM {source}"
     for (table, source), columns in _MADE_FROM.items() for column, made in columns.items()))
-_INCOMPLETE = "(cases IS NULL OR disease = 'NA')"
+_INCOMPLETE = "(cases IS NULL OR disease IS NULL OR disease = 'NA')"
 ORACLES["dropped_rows"] = _sql("feed", f"""
 SELECT count(*) AS rows_read, count(*) FILTER ({_INCOMPLETE}) AS incomplete,
        count(*) FILTER (NOT {_INCOMPLETE} AND NOT coalesce(TRY_CAST(cases AS DOUBLE) > 0, false)) AS no_positive_cases,
@@ -762,6 +762,10 @@ ORACLES["stream_national_totals"] = _sql("ev", f"""
 SELECT disease, epi_week, {_total()} AS national_cases, count(*) AS states_reporting,
        round(avg(incidence_rate), 6) AS avg_national_incidence
 FROM ev WHERE cases >= 0 AND disease IS NOT NULL GROUP BY 1, 2""")
+ORACLES["stream_derived_topics"] = _sql("ev", """
+SELECT epi_week, state, state AS loc, 'STATE' AS loc_type, disease, cases, incidence_rate, event_id,
+       state || '_' || epi_week AS message_key
+FROM ev WHERE cases >= 0 AND disease IS NOT NULL AND incidence_rate > 50""")
 ORACLES["stream_national_totals_bounded"] = ORACLES["stream_national_totals"]
 ORACLES["stream_event_rate"] = """
 WITH w AS (SELECT date_trunc('second', ts) - i * INTERVAL 1 SECOND AS s FROM events, range(10) r(i))

@@ -752,6 +752,20 @@ def _alerts(wh, sf_dir):
         "disease", "state", "epi_week", "cases", "incidence_rate", "alert_type"), "alerts")
 
 
+@register("stream_derived_topics")
+def _derived(wh, sf_dir):
+    """Validated events published again, alerts made from that topic and published, then decoded."""
+    folder = _run_folder(wh, "derived")
+    valid = events.as_messages(stream_queries.validated(_event_stream(wh, sf_dir)))
+    sinks.finish(sinks.append_messages(valid, f"{folder}/validated", f"{folder}/checkpoint-1"))
+    again = events.parsed_events(events.file_topic(wh.spark, f"{folder}/validated"))
+    alerts = events.as_messages(stream_queries.alerts(again).drop("alert_type"))
+    sinks.finish(sinks.append_messages(alerts, f"{folder}/alerts", f"{folder}/checkpoint-2"))
+    messages = wh.spark.read.schema(schemas.TOPIC).option(
+        "timestampFormat", events.TIME_FORMAT).json(f"{folder}/alerts")
+    return events.parsed_events(messages.withColumn("message_key", F.col("key"))).drop("timestamp")
+
+
 @register("stream_national_totals")
 def _national(wh, sf_dir):
     totals = stream_queries.national_totals(

@@ -16,7 +16,12 @@ SETTINGS = {
 PARTITION_BYTES = 64 * 1024 * 1024
 
 
-def build_session(app: str, master: str | None = None, **settings: str) -> SparkSession:
+def build_session(app: str, master: str | None = None, input_bytes: int | None = None,
+                  cores: int | None = None, **settings: str) -> SparkSession:
+    """A session with the package's settings; with ``input_bytes`` and ``cores`` known, also
+    with as many shuffle partitions as the data needs."""
+    if input_bytes is not None and cores:
+        settings.setdefault("spark.sql.shuffle.partitions", str(shuffle_partitions(input_bytes, cores)))
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)

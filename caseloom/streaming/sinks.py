@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from caseloom.sources.events import TIME_FORMAT
 from caseloom.sources.tables import child_names, remove_table, table_exists
 
 
@@ -19,6 +20,14 @@ def append_rows(stream: DataFrame, path: str, checkpoint: str, **trigger) -> Str
             .trigger(**(trigger or {"availableNow": True})).start())
 
 
+def append_messages(stream: DataFrame, path: str, checkpoint: str, **trigger) -> StreamingQuery:
+    """Publishes (key, value) rows to a derived topic that is a folder of JSON messages."""
+    return (stream.writeStream.format("json").outputMode("append")
+            .option("timestampFormat", TIME_FORMAT)
+            .option("path", path).option("checkpointLocation", checkpoint)
+            .trigger(**(trigger or {"availableNow": True})).start())
+
+
 def append_kafka(stream: DataFrame, servers: str, topic: str, checkpoint: str,
                  **trigger) -> StreamingQuery:
     """Publishes (key, value) rows to a derived topic. Needs the Kafka connector."""
