@@ -75,16 +75,16 @@ def fingerprint(sketched: Column) -> Column:
     return F.array_join(F.transform(sketched, lambda h: F.lpad(F.hex(h), 16, "0")), "")
 
 
-def with_next(docs: DataFrame, carried: list[str], id_col: str = "doc_id",
+def with_next(docs: DataFrame, carried: list[str], tie_cols: list[str], id_col: str = "doc_id",
               rows_per_block: int = ROWS_PER_BLOCK) -> DataFrame:
     """``docs`` with ``next_<column>`` of the next row in descending order of the id.
 
     The last row is followed by the first, a single row by itself. Rows without an id come
-    last, rows of one id follow each other by a hash of the carried columns. The rows are
+    last, rows of one id follow each other by a hash of ``tie_cols``. The rows are
     dealt to ordered blocks; each block also gets the first row of the block that follows it,
     so that no window spans more than a block.
     """
-    tie = F.xxhash64(*carried)
+    tie = F.xxhash64(*tie_cols)
     block, n_blocks = order_blocks(docs, id_col, rows_per_block, tie)
     rows = docs.select("*", tie.alias("__tie"), block.alias("__block"))
     place = F.struct(F.col(id_col).alias("id"), F.bitwise_not("__tie").alias("tie"))

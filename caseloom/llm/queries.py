@@ -59,7 +59,7 @@ def op5_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select(
         "doc_id", F.coalesce("text", F.lit("")).alias("text"))
     sketched = docs.withColumn("sketch", fingerprint.sketch(F.col("text")))
-    rows = fingerprint.with_next(sketched, ["text", "sketch"])
+    rows = fingerprint.with_next(sketched, ["text", "sketch"], tie_cols=["text"])
     rows = rows.withColumn("edited", fingerprint.edited(F.col("text"), F.col("next_text")))
     rows = rows.withColumn("edited_sketch", fingerprint.sketch(F.col("edited")))
     return rows.select(

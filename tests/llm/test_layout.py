@@ -109,15 +109,15 @@ def test_short_sketches_merge_too(spark):
 def test_next_in_descending_order(spark, odd, none):
     ids = [*range(0, 900, 3), 10**14, -5]
     docs = spark.createDataFrame([(i, f"text {i}") for i in ids], "doc_id long, text string").repartition(4)
-    rows = fingerprint.with_next(docs, ["text"], rows_per_block=1).collect()
+    rows = fingerprint.with_next(docs, ["text"], ["text"], rows_per_block=1).collect()
     down = sorted(ids, reverse=True)
     want = {i: f"text {down[(k + 1) % len(down)]}" for k, i in enumerate(down)}
     assert {r["doc_id"]: r["next_text"] for r in rows} == want and len(rows) == len(ids)
-    odd_rows = fingerprint.with_next(odd.select("doc_id", "text"), ["text"], rows_per_block=1)
+    odd_rows = fingerprint.with_next(odd.select("doc_id", "text"), ["text"], ["text"], rows_per_block=1)
     assert odd_rows.count() == odd.count()
-    alone = fingerprint.with_next(docs.where("doc_id = 3"), ["text"]).first()
+    alone = fingerprint.with_next(docs.where("doc_id = 3"), ["text"], ["text"]).first()
     assert alone["next_text"] == "text 3"
-    assert fingerprint.with_next(none.select("doc_id", "text"), ["text"]).count() == 0
+    assert fingerprint.with_next(none.select("doc_id", "text"), ["text"], ["text"]).count() == 0
 
 
 def test_edit_counts_code_points(spark):
