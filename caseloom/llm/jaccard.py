@@ -16,12 +16,13 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from caseloom.llm.common import removed, small_side, written
+from caseloom.llm.common import small_side, written
 from caseloom.llm.wordhash import mixed, shingle_sets
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -49,6 +50,13 @@ class Threshold:
 BAND_RATIO = 0.7
 #: Empty parts a set may have before its empty parts count as agreement.
 SPARE_PARTS = 3
+#: Rounds in which each class is compared with one leader.
+STAR_ROUNDS = 2
+#: Classes of a tile that are compared in one unit of work, and tile rows in a bundle of units.
+BLOCK = 4_096
+BUNDLE = 20_000
+#: Width of the bitmaps that tile rows carry.
+SHORT_BYTES = 64
 
 
 def size_bands(limit: int) -> list[int]:
@@ -94,7 +102,7 @@ def tile_signatures(shingles: np.ndarray, t: Threshold) -> np.ndarray:
 
 def bitmap(shingles: np.ndarray) -> bytes:
     """Bit set of the low hash bits; its width is a power of two that follows the size."""
-    width = 1 << min(20, max(6, int(4 * len(shingles) - 1).bit_length()))
+    width = 1 << min(20, max(6, int(8 * len(shingles) - 1).bit_length()))
     bits = np.zeros(width, np.uint8)
     bits[(shingles & np.uint64(width - 1)).astype(np.int64)] = 1
     return np.packbits(bits, bitorder="little").tobytes()
@@ -102,22 +110,19 @@ def bitmap(shingles: np.ndarray) -> bytes:
 
 def overlap_bound(a: bytes, b: bytes, size_a: int, size_b: int) -> int:
     """Upper bound of the shared shingles: a bit only one side has stands for a shingle it alone has."""
-    x, y = np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)
-    while len(x) > len(y):
-        x = x[: len(x) // 2] | x[len(x) // 2:]
-    while len(y) > len(x):
-        y = y[: len(y) // 2] | y[len(y) // 2:]
+    width = min(len(a), len(b))
+    x, y = folded(a, width), folded(b, width)
     only_a = int(np.bitwise_count(x & ~y).sum())
     only_b = int(np.bitwise_count(y & ~x).sum())
     return min(size_a - only_a, size_b - only_b)
 
 
 def _described(n: int, t: Threshold):
-    """Rows (id, key, n_shingles, class, bitmap, signatures) of rows (id, key, text)."""
+    """Rows (id, key, n_shingles, class, bitmap, short, signatures) of rows (id, key, text)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()  # a copy in the same task need not stand in the tiles again
         for batch in batches:
-            sizes, classes, bits, signed = [], [], [], []
+            sizes, classes, bits, shorts, signed = [], [], [], [], []
             for _, shingles in shingle_sets(batch.column("text"), n):
                 sizes.append(len(shingles))
                 digest = hashlib.blake2b(shingles.tobytes(), digest_size=8).digest()
@@ -125,30 +130,81 @@ def _described(n: int, t: Threshold):
                 classes.append(name)
                 if name is None or name in seen:
                     bits.append(None)
+                    shorts.append(None)
                     signed.append(None)
                 else:
                     seen.add(name)
                     bits.append(bitmap(shingles))
+                    shorts.append(folded(bits[-1], min(len(bits[-1]), SHORT_BYTES)).tobytes())
                     signed.append(tile_signatures(shingles, t).view(np.int64))
             yield pa.RecordBatch.from_arrays([
                 batch.column("id"), batch.column("key"), pa.array(sizes, pa.int64()),
                 pa.array(classes, pa.int64()), pa.array(bits, pa.binary()),
-                pa.array(signed, pa.list_(pa.int64()))],
-                ["id", "key", "n_shingles", "class", "bitmap", "signatures"])
+                pa.array(shorts, pa.binary()), pa.array(signed, pa.list_(pa.int64()))],
+                ["id", "key", "n_shingles", "class", "bitmap", "short", "signatures"])
     return run
 
 
-def _pruned(t: Threshold):
-    """Rows (a, b) of candidate rows whose bitmaps let them reach the threshold."""
+def folded(bits: bytes, width: int) -> np.ndarray:
+    """A bitmap brought to a smaller width (in bytes) by laying its halves over each other."""
+    found = np.frombuffer(bits, np.uint8)
+    while len(found) > width:
+        found = found[: len(found) // 2] | found[len(found) // 2:]
+    return found
+
+
+def _bounded(t: Threshold):
+    """Rows (a, b, bound) of candidate pairs whose bitmaps let them reach the threshold."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            size_a, size_b = (batch.column(c).to_pylist() for c in ("n_a", "n_b"))
-            keep = [t.linked(overlap_bound(a, b, m, n), m, n) for a, b, m, n in zip(
-                batch.column("bits_a").to_pylist(), batch.column("bits_b").to_pylist(), size_a, size_b)]
+            size_a, size_b = (batch.column(c).to_numpy() for c in ("n_a", "n_b"))
+            bound = np.array([overlap_bound(a, b, m, n) for a, b, m, n in zip(
+                batch.column("bits_a").to_pylist(), batch.column("bits_b").to_pylist(),
+                size_a.tolist(), size_b.tolist())], np.int64)
+            keep = t.linked(bound, size_a, size_b)
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
     return run
 
 
+def tile_pairs(names, places, sizes, maps, second, t: Threshold):
+    """Pairs of one tile block, (a, b, at_a, at_b, score), that the bitmaps let reach the threshold.
+
+    Only pairs of different components count; with ``second`` (which half of a block pair a
+    row is from) only pairs across the halves.
+    """
+    width = min(len(m) for m in maps)
+    bits = np.stack([folded(m, width) for m in maps]).view(np.uint64)
+    found = []
+    for i in range(len(names)):
+        js = np.flatnonzero((places != places[i]) & (second > second[i] if second.any() else
+                                                     np.arange(len(names)) > i)
+                            & (t.den * np.minimum(sizes, sizes[i]) >= t.num * np.maximum(sizes, sizes[i])))
+        if len(js):
+            only_i = np.bitwise_count(bits[i] & ~bits[js]).sum(axis=1, dtype=np.int64)
+            only_j = np.bitwise_count(bits[js] & ~bits[i]).sum(axis=1, dtype=np.int64)
+            bound = np.minimum(sizes[i] - only_i, sizes[js] - only_j)
+            for j, most in zip(js, bound):
+                if t.linked(most, sizes[i], sizes[j]):
+                    a, b = (i, j) if names[i] < names[j] else (j, i)
+                    found.append((names[a], names[b], places[a], places[b],
+                                  most / (sizes[i] + sizes[j] - most)))
+    return found
+
+
+def _tile_pairs(t: Threshold):
+    """``tile_pairs`` of every block pair in a bundle of them."""
+    def run(bundle: pd.DataFrame) -> pd.DataFrame:
+        found = set()
+        for _, block in bundle.groupby(["signature", "low", "high"], sort=False):
+            half = (block["block"] != block["low"]).to_numpy(np.int64)
+            found.update(tile_pairs(
+                block["class"].to_numpy(), block["component"].to_numpy(),
+                block["n_shingles"].to_numpy(), block["short"].tolist(), half, t))
+        return pd.DataFrame(sorted(found), columns=["a", "b", "at_a", "at_b", "score"]).astype(
+            {"a": "int64", "b": "int64", "at_a": "int64", "at_b": "int64", "score": "float64"})
+    return run
+
+
 def _class_sets(n: int):
     """Rows (class, shingles as sorted 64-bit integers in bytes) of rows (text)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -217,68 +273,153 @@ class Join:
                                 F.col(text_col).cast("string").alias("text"))
         self.described = written(self.rows.mapInArrow(
             _described(n, t), "id long, key long, n_shingles long, class long, bitmap binary, "
-                              "signatures array<long>"), "described")
+                              "short binary, signatures array<long>"), "described")
         self.classes = self.described.where(F.col("class").isNotNull()).groupBy("class").agg(
             F.min("id").alias("least_id"), F.min("key").alias("key"))
 
     def tiles(self) -> DataFrame:
-        """(signature, class, lo, hi) of all tiles that hold several classes."""
+        """(signature, class, rank) of all tiles that hold several classes.
+
+        The rank of a class is how many rows its tiles hold: the text that others are copies
+        of agrees with them in most parts, so it ranks highest among them.
+        """
         tile = Window.partitionBy("signature")
         each = self.described.select("class", F.explode("signatures").alias("signature"))
-        return (each.withColumn("lo", F.min("class").over(tile))
-                .withColumn("hi", F.max("class").over(tile)).where("lo != hi"))
-
-    def links(self, pairs: DataFrame) -> DataFrame:
-        """The pairs (a, b) of classes that reach the threshold."""
-        bits = self.described.where(F.col("bitmap").isNotNull()).select("class", "n_shingles", "bitmap")
-        named = pairs.select(F.col("a").alias("class")).unionByName(
-            pairs.select(F.col("b").alias("class"))).distinct()
-        bits = bits.join(named, "class", "left_semi").dropDuplicates(["class"])
+        shared = written(each.withColumn("lo", F.min("class").over(tile))
+                         .withColumn("hi", F.max("class").over(tile))
+                         .withColumn("n", F.count("*").over(tile)).where("lo != hi")
+                         .select("signature", "class", "n"), "shared")
+        ranks = shared.groupBy("class").agg(F.sum("n").alias("rank"))
+        return shared.select("signature", "class").distinct().join(ranks, "class")
+
+    def bitmaps(self, classes: DataFrame, column: str = "bitmap") -> DataFrame:
+        held = self.described.where(F.col("bitmap").isNotNull()).select("class", "n_shingles", column)
+        return held.join(classes, "class", "left_semi").dropDuplicates(["class"])
+
+    def reachable(self, pairs: DataFrame) -> DataFrame:
+        """The pairs (a, b) that their bitmaps let reach the threshold."""
+        bits = self.bitmaps(_classes_of(pairs))
         a, b = (bits.select(F.col("class").alias(c), F.col("n_shingles").alias(f"n_{c}"),
                             F.col("bitmap").alias(f"bits_{c}")) for c in "ab")
-        possible = written(pairs.join(a, "a").join(b, "b").mapInArrow(_pruned(self.t), PAIR), "possible")
-        named = possible.select(F.col("a").alias("class")).unionByName(
-            possible.select(F.col("b").alias("class"))).distinct()
-        keys = written(self.classes.join(named, "class", "left_semi").select("key"), "keys")
+        return pairs.join(a, "a").join(b, "b").mapInArrow(_bounded(self.t), PAIR)
+
+    def links(self, pairs: DataFrame) -> DataFrame:
+        """The pairs (a, b) of classes that reach the threshold, by their shingle arrays."""
+        keys = written(self.classes.join(_classes_of(pairs), "class", "left_semi").select("key"), "keys")
         texts = self.rows.join(small_side(keys, keys.count(), 16), "key", "left_semi").dropDuplicates(["key"])
         sets = texts.select("text").mapInArrow(_class_sets(self.n), "class long, shingles binary")
         a, b = (sets.select(F.col("class").alias(c), F.col("shingles").alias(f"set_{c}")) for c in "ab")
-        return possible.join(a, "a").join(b, "b").mapInArrow(_verified(self.t), PAIR)
+        return pairs.select("a", "b").join(a, "a").join(b, "b").mapInArrow(_verified(self.t), PAIR)
+
+    def merged(self, places: DataFrame | None, edges: DataFrame) -> DataFrame | None:
+        """(class, component) after links between components, given as edges (a, b) of them."""
+        moved = connected(edges)
+        if places is None:
+            return moved.withColumnRenamed("node", "class")
+        fresh = moved.select(F.col("node").alias("class"), F.col("node").alias("component"))
+        everywhere = places.unionByName(fresh.join(places.select("class"), "class", "left_anti"))
+        return written(everywhere.join(
+            moved.select(F.col("node").alias("component"), F.col("component").alias("whole")),
+            "component", "left").select("class", F.coalesce("whole", "component").alias("component")), "places")
+
+    def stars(self, tiles: DataFrame, places: DataFrame | None, tried: DataFrame | None) -> DataFrame:
+        """For each class one pair (a, b, at_a, at_b): with the highest-ranking class of another
+        component that leads one of its tiles, the one it shares most tiles with."""
+        tile = Window.partitionBy("signature")
+        rows = _placed(tiles, places).withColumn("me", F.struct("rank", "class", "component"))
+        rows = rows.withColumn("top", F.max("me").over(tile))
+        apart = F.col("component") != F.col("top.component")
+        rows = rows.withColumn("next", F.max(F.when(apart, F.col("me"))).over(tile))
+        lead = F.when(apart, F.col("top")).otherwise(F.col("next"))
+        shared = (rows.withColumn("lead", lead).where(F.col("lead").isNotNull())
+                  .groupBy("class", "component", "lead").agg(F.count("*").alias("n"))
+                  .withColumn("a", F.least("class", "lead.class"))
+                  .withColumn("b", F.greatest("class", "lead.class")))
+        if tried is not None:
+            shared = shared.join(tried, ["a", "b"], "left_anti")
+        best = shared.groupBy("class", "component").agg(F.max(F.struct("n", "lead")).alias("best"))
+        lead = F.col("best.lead")
+        first = F.col("class") < lead["class"]
+        return best.select(
+            F.least("class", lead["class"]).alias("a"), F.greatest("class", lead["class"]).alias("b"),
+            F.when(first, F.col("component")).otherwise(lead["component"]).alias("at_a"),
+            F.when(first, lead["component"]).otherwise(F.col("component")).alias("at_b")).distinct()
+
+    def apart(self, tiles: DataFrame, places: DataFrame | None, tried: DataFrame) -> DataFrame:
+        """Pairs of classes (a, b, at_a, at_b, score) that share a tile, are not connected and may link.
+
+        A tile is cut into blocks of ``BLOCK`` classes; every pair of blocks with several
+        components is one unit of work, compared on bitmaps alone.
+        """
+        tile = Window.partitionBy("signature")
+        rows = (_placed(tiles, places).withColumn("least", F.min("component").over(tile))
+                .withColumn("most", F.max("component").over(tile)).where("least != most"))
+        rows = written(rows.withColumn("block", F.floor((F.row_number().over(
+            tile.orderBy("component", "class")) - 1) / BLOCK).cast("int"))
+            .select("signature", "class", "component", "block"), "mixed")
+        blocks = rows.groupBy("signature", "block").agg(
+            F.min("component").alias("least"), F.max("component").alias("most"))
+        x, y = (blocks.select("signature", *[F.col(c).alias(f"{c}_{k}") for c in ("block", "least", "most")])
+                for k in "xy")
+        work = x.join(y, "signature").where(
+            "block_x <= block_y and not (least_x = most_y and most_x = least_y)").select(
+            "signature", F.col("block_x").alias("low"), F.col("block_y").alias("high"))
+        halves = work.select("*", F.explode(F.array_distinct(F.array("low", "high"))).alias("block"))
+        bundles = max(1, -(-rows.count() // BUNDLE))
+        number = F.pmod(F.xxhash64("signature", "low", "high"), F.lit(bundles)).alias("bundle")
+        # A class is in many tiles, so its rows carry the short bitmap; pairs meet the full one later.
+        shorts = self.bitmaps(rows.select("class").distinct(), "short")
+        units = halves.join(rows, ["signature", "block"]).select("*", number).join(shorts, "class")
+        found = units.groupBy("bundle").applyInPandas(
+            _tile_pairs(self.t), "a long, b long, at_a long, at_b long, score double")
+        return found.groupBy("a", "b").agg(
+            *[F.first(c).alias(c) for c in ("at_a", "at_b", "score")]).join(tried, ["a", "b"], "left_anti")
 
     def class_components(self) -> DataFrame:
         """(class, component) for classes that link to others."""
         tiles = written(self.tiles(), "tiles")
-        # First each class against the leaders it shares most tiles with: copies connect here.
-        led = tiles.select("class", F.explode(F.array("lo", "hi")).alias("lead"),
-                           (F.col("class") == F.col("lo")).alias("first")).where("class != lead")
-        shared = led.groupBy("class", "lead").agg(F.count("*").alias("n"))
-        best = shared.groupBy("class").agg(F.max(F.struct("n", "lead")).alias("best"))
-        stars = best.select(F.least("class", "best.lead").alias("a"),
-                            F.greatest("class", "best.lead").alias("b")).distinct()
-        first = connected(written(self.links(stars), "links"))
-        # Then what shares a tile but is not connected yet.
-        placed = tiles.select("signature", "class").distinct().join(
-            first.withColumnRenamed("node", "class"), "class", "left").withColumn(
-            "component", F.coalesce("component", "class"))
-        tile = Window.partitionBy("signature")
-        mixed_tiles = written(
-            placed.withColumn("low", F.min("component").over(tile))
-            .withColumn("high", F.max("component").over(tile)).where("low != high")
-            .select("signature", "class", "component"), "mixed")
-        x = mixed_tiles.select("signature", F.col("class").alias("a"), F.col("component").alias("at_a"))
-        y = mixed_tiles.select("signature", F.col("class").alias("b"), F.col("component").alias("at_b"))
-        apart = x.join(y, "signature").where("a < b and at_a != at_b").groupBy("a", "b").agg(
-            F.first("at_a").alias("at_a"), F.first("at_b").alias("at_b"))
-        apart = written(apart, "apart")
-        late = self.links(apart.select("a", "b")).join(apart, ["a", "b"]).select(
+        places, tried = None, None
+        for _ in range(STAR_ROUNDS):  # copies connect to the text they are copies of
+            pairs = written(self.stars(tiles, places, tried), "stars")
+            places = self.merged(places, self.joined(pairs, written(self.reachable(
+                pairs.select("a", "b")), "reachable")))
+            tried = pairs.select("a", "b") if tried is None else tried.unionByName(pairs.select("a", "b"))
+        # What may still link: for each component the likeliest pair first, then all that is left.
+        left = written(self.apart(tiles, places, tried.distinct()), "apart")
+        left = written(left.join(self.reachable(left.select("a", "b")), ["a", "b"]), "left")
+        for last in (False, True):
+            pairs = left
+            if not last:
+                ends = left.select("*", F.explode(F.array("at_a", "at_b")).alias("end"))
+                pairs = written(ends.groupBy("end").agg(F.max(F.struct(
+                    "score", "a", "b", "at_a", "at_b")).alias("best")).select(
+                    "best.a", "best.b", "best.at_a", "best.at_b").distinct(), "likeliest")
+            places = self.merged(places, self.joined(pairs, pairs.select("a", "b")))
+            if not last:
+                rest = left.join(pairs.select("a", "b"), ["a", "b"], "left_anti")
+                now_a, now_b = (places.select(F.col("class").alias(c), F.col("component").alias(f"now_{c}"))
+                                for c in "ab")
+                rest = rest.join(now_a, "a", "left").join(now_b, "b", "left").select(
+                    "a", "b", F.coalesce("now_a", "at_a").alias("at_a"),
+                    F.coalesce("now_b", "at_b").alias("at_b"))
+                left = written(rest.where("at_a != at_b"), "left")
+        return places
+
+    def joined(self, pairs: DataFrame, checked: DataFrame) -> DataFrame:
+        """Links among the checked pairs, as edges between their components."""
+        return self.links(checked).join(pairs, ["a", "b"]).select(
             F.col("at_a").alias("a"), F.col("at_b").alias("b"))
-        second = connected(late).withColumnRenamed("component", "whole")
-        everywhere = first.withColumnRenamed("node", "class").unionByName(
-            second.select(F.col("node").alias("class"), F.col("node").alias("component"))
-            .join(first.select(F.col("node").alias("class")), "class", "left_anti"))
-        done = everywhere.join(second.withColumnRenamed("node", "component"), "component", "left").select(
-            "class", F.coalesce("whole", "component").alias("component"))
-        return written(done, "components")
+
+
+def _classes_of(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct()
+
+
+def _placed(tiles: DataFrame, places: DataFrame | None) -> DataFrame:
+    """Tile rows with the component of their class, at first the class itself."""
+    if places is None:
+        return tiles.withColumn("component", F.col("class"))
+    return tiles.join(places, "class", "left").withColumn("component", F.coalesce("component", "class"))
 
 
 def similar_groups(docs: DataFrame, t: Threshold = Threshold(85, 100), n: int = 4,
