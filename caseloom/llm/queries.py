@@ -88,9 +88,9 @@ def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_repeated_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document without later occurrences of lines, and where they were."""
+    """Every document without later occurrences of lines that have a word, and where they were."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    found = repeats.deduplicated(docs)
+    found = repeats.deduplicated(docs, least_words=1)
     return found.select("doc_id", F.size("spans").cast("long").alias("n_removed"),
                         _spans("spans").alias("spans"), "text")
 

@@ -22,7 +22,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # What ends a unit.
 BREAKS = {"line": "\n", "paragraph": "\n\n"}
-#: Units of fewer words are common speech, not copies, and always stay.
+#: Units of fewer words stay where the caller names no other minimum; 1 takes every unit that has a word.
 LEAST_WORDS = 6
 UNIT = "id long, key long, start long, end long, digest binary"
 
@@ -62,7 +62,8 @@ def repeated_units(docs: DataFrame, unit: str = "line", least_words: int = LEAST
 
     Units compare by their lower-cased words. The earliest occurrence is the one in the
     smallest id (rows without an id last, then by text hash), and there the first. Rows with
-    equal id and text count as one document. Null and empty texts have no units.
+    equal id and text count as one document. Units of fewer than ``least_words`` words are never
+    repeats. Null and empty texts have no units.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("key"),
                        F.col(text_col).cast("string").alias("text"))

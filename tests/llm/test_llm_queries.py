@@ -44,6 +44,23 @@ def test_shards_equal_brute_force(spark, sf_dir):
     assert {tuple(r) for r in QUERIES["op6_byte_shards"](spark, sf_dir).collect()} == want
 
 
+def test_every_later_line_goes(spark, sf_dir):
+    seen, want, short = set(), set(), 0
+    for r in sorted(rows_of(sf_dir, "documents"), key=lambda r: r["doc_id"]):
+        kept, spans, start = [], [], 0
+        for line in (r["text"] or "").split("\n"):
+            words = tuple(line.lower().split())
+            if words in seen:
+                spans.append(f"{start}:{start + len(line)}")
+                short += len(words) < 6
+            else:
+                kept.append(line)
+            seen |= {words} if words else set()
+            start += len(line) + 1
+        want.add((r["doc_id"], len(spans), ",".join(spans), None if r["text"] is None else "\n".join(kept)))
+    assert short and {tuple(r) for r in QUERIES["op8_repeated_lines"](spark, sf_dir).collect()} == want
+
+
 def five_shingles(text):
     words = re.findall(r"[^\x20\x09-\x0D]+", text.lower())
     return {tuple(words[i:i + 5]) for i in range(max(1, len(words) - 4))} if words else set()

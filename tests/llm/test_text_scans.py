@@ -126,6 +126,13 @@ def test_later_lines_go_and_offsets_stay(spark):
     assert left == {1: f"{LINE}\nmore\n\nrest", 2: "", 3: LINE}
 
 
+def test_short_lines_are_repeats_too(spark):
+    docs = spark.createDataFrame([(1, "Yes\n\nAll rights reserved.\nyes"), (2, "all  rights reserved.\n\n \nnew")],
+                                 "doc_id long, text string")
+    left = {r["doc_id"]: r["text"] for r in repeats.deduplicated(docs, least_words=1).collect()}
+    assert left == {1: "Yes\n\nAll rights reserved.", 2: "\n \nnew"}
+
+
 def test_repeated_lines_of_odd_tables(odd, none):
     found = repeats.deduplicated(odd)
     assert found.count() == odd.count() and set(found.columns) == set(odd.columns)
