@@ -1,13 +1,15 @@
 """Licence recognition by sentences and rules.
 
-A text is cut into sentences, normalised sentences are looked up among known licence
+A text is cut into normalised pieces, runs of whole pieces are looked up among known licence
 sentences, and the sequence of their identifiers is matched against ordered licence rules.
 Built-in functions only.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import re
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Widely published licence sentences, lower-cased, without punctuation.
@@ -63,27 +65,45 @@ RULES = (
     ("MPL-2.0", ("mpl2-head",)),
     ("all-rights-reserved", ("reserved",)),
 )
-# A sentence ends at a line break, or at a mark followed by white space.
+# A piece ends at a line break, or at a mark followed by white space. A sentence is one piece or
+# several, as it may be wrapped over lines or hold marks.
 SENTENCE_END = r"[.!?;:]*\n|[.!?;:]\s"
+# The number or letter of a list entry.
+ENTRY = "(?:[0-9]{1,2}|[a-z]|[ivx]{1,5})"
+
+
+def pieces(text: Column) -> Column:
+    """The pieces of a text, each between line breaks.
 
+    A piece is lower case with runs of anything but ASCII letters and digits as one blank.
+    Empty pieces are dropped; words of other scripts only are a piece of their own, '~'.
+    """
+    lines = F.regexp_replace(F.translate(F.lower(F.coalesce(text, F.lit(""))), "~", " "), SENTENCE_END, "\n")
+    other = r"(?<![^\n])[^\p{L}\p{N}\n]*+[\p{L}\p{N}&&[^a-z0-9]][^a-z0-9\n]*+(?![^\n])"
+    words = F.regexp_replace(F.regexp_replace(lines, other, "~"), "[^a-z0-9~\n]+", " ")
+    return F.regexp_replace(F.concat(F.lit("\n"), words, F.lit("\n")), " ?\n[ \n]*", "\n")
 
-def sentence_table(spark: SparkSession, sentences: dict[str, list[str]]) -> DataFrame:
-    rows = [(text, name) for name, texts in sentences.items() for text in texts]
-    return spark.createDataFrame(rows, "sentence string, known string")
 
+def _tokens(text: Column, sentences: dict[str, list[str]]) -> Column:
+    """Identifiers of known sentences in the order of ``pieces``, a line break for each other piece.
 
-def normalised(sentence: Column) -> Column:
-    """Lower case, runs of anything but ASCII letters and digits as one blank."""
-    return F.trim(F.regexp_replace(F.lower(sentence), "[^a-z0-9]+", " "))
+    A known sentence is the words of one or more whole pieces, the longest at each place; the
+    number of a list entry may stand before it. Pieces that are only such a number are left out.
+    """
+    names = {known: name for name, texts in sentences.items() for known in texts}
+    ordered = sorted(names, key=lambda known: (-len(known), known))
+    known = "|".join("[ \n]".join(map(re.escape, text.split(" "))) for text in ordered)
+    each = f"(?<=\n)(?:(?:{ENTRY} )?({known})|(?!{ENTRY}\n)[^\n]++)(?=\n)"
+    lookup = F.create_map(*[F.lit(x) for pair in names.items() for x in pair])
+    return F.transform(F.regexp_extract_all(text, F.lit(each), F.lit(1)), lambda found: F.coalesce(
+        F.try_element_at(lookup, F.translate(found, "\n", " ")), F.lit("\n")))
 
 
-def _sequence(found: Column) -> Column:
+def _sequence(tokens: Column) -> Column:
     """Identifiers as text, each between commas; a gap in the sentences is an extra comma."""
-    def token(s: Column, i: Column) -> Column:
-        before = F.get(found, i - 1)["place"]
-        gap = F.when((i > 0) & (before != s["place"] - 1), F.lit(",")).otherwise(F.lit(""))
-        return F.concat(gap, F.lit(","), s["known"], F.lit(","))
-    return F.array_join(F.transform(found, token), "")
+    text = F.array_join(F.transform(tokens, lambda t: F.when(t == "\n", t).otherwise(
+        F.concat(F.lit(","), t, F.lit(",")))), "")
+    return F.regexp_replace(F.regexp_replace(text, "^\n+|\n+$", ""), "\n+", ",")
 
 
 def licences(docs: DataFrame, sentences: dict[str, list[str]] | None = None,
@@ -91,28 +111,20 @@ def licences(docs: DataFrame, sentences: dict[str, list[str]] | None = None,
              text_col: str = "text") -> DataFrame:
     """One row per document row: id, ``n_sentences`` known, their ``sequence``, ``licences``.
 
-    Sentences of a rule must follow each other without others between. At each place the
-    first rule that fits takes its sentences; ``licences`` lists what was recognised in order.
-    Known sentences that no rule takes only count. Null and empty texts have none; repeated
-    rows each get a row. The table of sentences is part of the program, so it is broadcast.
+    Sentences of a rule must follow each other without others between; blank lines and numbers
+    of list entries may stand between. At each place the first rule that fits takes its
+    sentences; ``licences`` lists what was recognised in order. Known sentences that no rule
+    takes only count. Null and empty texts have none. Nothing is shuffled.
     """
-    table = sentence_table(docs.sparkSession, sentences or SENTENCES)
     known = {name for name in (sentences or SENTENCES)}
-    parts = F.split(F.coalesce(F.col(text_col), F.lit("")), SENTENCE_END, -1)
-    rows = (docs.select(F.col(id_col), F.xxhash64(text_col).alias("text_hash"),
-                        F.posexplode(parts).alias("place", "raw"))
-            .select(id_col, "text_hash", "place", normalised(F.col("raw")).alias("sentence")))
-    found = (rows.join(F.broadcast(table), "sentence", "left")
-             .where((F.col("place") == 0) | F.col("known").isNotNull()))
-    one = F.when(F.col("known").isNotNull(), F.struct("place", "known"))
-    per_doc = found.groupBy(id_col, "text_hash").agg(
-        F.count_if(F.col("place") == 0).alias("rows"), F.array_sort(F.collect_set(one)).alias("found"))
+    tokens = (docs.select(F.col(id_col), pieces(F.col(text_col)).alias("pieces"))
+              .select(id_col, _tokens(F.col("pieces"), sentences or SENTENCES).alias("tokens")))
     names = {"".join(f",{s}," for s in rule): licence for licence, rule in reversed(rules)
              if set(rule) <= known}
     pattern = "|".join("".join(f",{s}," for s in rule).replace("-", r"\-") for _, rule in rules)
     lookup = F.create_map(*[F.lit(x) for pair in names.items() for x in pair])
     taken = F.regexp_extract_all("sequence", F.lit(f"({pattern})"), F.lit(1))
-    return (per_doc.withColumn("sequence", _sequence(F.col("found")))
-            .withColumn("__row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("rows"))))
-            .select(id_col, F.size("found").cast("long").alias("n_sentences"), "sequence",
+    return (tokens.select(id_col, F.size(F.filter("tokens", lambda t: t != "\n")).cast("long").alias("n_sentences"),
+                          _sequence(F.col("tokens")).alias("sequence"))
+            .select(id_col, "n_sentences", "sequence",
                     F.transform(taken, lambda s: F.element_at(lookup, s)).alias("licences")))

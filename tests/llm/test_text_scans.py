@@ -108,6 +108,77 @@ def test_licence_rules_are_ordered(spark, odd, none):
     assert licences.licences(odd).count() == odd.count() and licences.licences(none).count() == 0
 
 
+MIT = """MIT License
+
+Copyright (c) 2020 A. Person
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND."""
+GPL = """/*
+ * This program is free software: you can redistribute it and/or modify
+ * it under the terms of the GNU General Public License as published by
+ * the Free Software Foundation, either version 3 of the License, or
+ * (at your option) any later version.
+ *
+ * This program is distributed in the hope that it will be useful,
+ * but WITHOUT ANY WARRANTY; without even the implied warranty of
+ * MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+ * GNU General Public License for more details.
+ */"""
+BSD = """Copyright (c) 2020, A. Person. All rights reserved.
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+"""
+APACHE = """# Licensed under the Apache License, Version 2.0 (the "License");
+# you may not use this file except in compliance with the License.
+# You may obtain a copy of the License at"""
+MPL = """This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0. If a copy of the MPL was not distributed with this"""
+
+
+def test_wrapped_notices_are_recognised(spark):
+    gpl_head, gpl_hope = GPL.split("\n *\n")
+    bsd_list = BSD[BSD.index("1."):]
+    wanted = [
+        (MIT, ",mit-grant,,mit-notice,", ["MIT"]),
+        (MIT.replace("\n", "\r\n"), ",mit-grant,,mit-notice,", ["MIT"]),
+        (" ".join(MIT.split()), ",mit-notice,", []),  # runs on from the title, so the grant is no sentence
+        (GPL, ",gpl3-head,,gpl-hope,", ["GPL-3.0-or-later"]),
+        (" ".join(re.sub(r"(?m)^ ?[/*]+", "", GPL).split()), ",gpl3-head,,gpl-hope,", ["GPL-3.0-or-later"]),
+        (gpl_head.replace(":", ";"), ",gpl3-head,", ["GPL-3.0-or-later"]),
+        (gpl_head + "\n * 漢字\n" + gpl_hope, ",gpl3-head,,,gpl-hope,", ["GPL-3.0-or-later"]),
+        (BSD, ",reserved,,,bsd-source,,bsd-binary,", ["all-rights-reserved", "BSD-2-Clause"]),
+        (re.sub(r"([12])\.", r"(\1)", bsd_list), ",bsd-source,,bsd-binary,", ["BSD-2-Clause"]),
+        (bsd_list.replace("2.", "Between.\n2."), ",bsd-source,,,bsd-binary,", []),
+        (APACHE, ",apache2-head,,apache2-use,", ["Apache-2.0"]),
+        (APACHE.replace("2.0 (", "2.0\n# ("), ",apache2-head,,apache2-use,", ["Apache-2.0"]),
+        (MPL, ",mpl2-head,", ["MPL-2.0"]),
+        ("This work is licensed under the GNU General Public License version\n3.", ",gpl3-named,", ["GPL-3.0-only"]),
+        ("No mark here\nReleased under the MIT License\nnor here", ",mit-named,", ["MIT"]),
+        ("Never released under the\nMIT License.", "", [])]
+    docs = spark.createDataFrame([(i, w[0]) for i, w in enumerate(wanted)], "doc_id long, text string")
+    found = {r["doc_id"]: (r["sequence"], r["licences"], r["n_sentences"]) for r in licences.licences(docs).collect()}
+    for i, (text, sequence, names) in enumerate(wanted):
+        assert found[i] == (sequence, names, len(re.findall("[a-z0-9-]+", sequence))), text
+
+
 LINE = "This line has more than six words in it"
 
 
