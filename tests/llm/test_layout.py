@@ -86,6 +86,28 @@ def test_mix_repeats_whole_documents(spark, odd, none):
     assert mixing.mixed(none, mixing.word_count(F.col("text"))).count() == 0
 
 
+def test_rows_without_or_with_equal_ids_toss_their_own_coins(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "PART_ROWS", 500)
+    n = F.col("id")
+    docs = spark.range(9_000).select(
+        F.when(n % 3 == 1, 7).when(n % 3 == 2, n).alias("doc_id"),
+        F.when(n % 2 == 0, "one two three").otherwise(F.concat(F.lit("some text "), n)).alias("text"),
+        F.concat(F.lit("s"), F.floor(n / 3) % 3).alias("source"))
+    counted = mixing.mixed_counts(docs, mixing.word_count(F.col("text")))
+    assert counted.count() == docs.count()
+    for by in (["source"], ["source", "doc_id"]):
+        sums = counted.groupBy(*by).agg(
+            F.sum(F.col("size") * F.col("copies")).alias("taken"), F.sum("size").alias("of"),
+            F.max(F.col("target") / F.col("source_size")).alias("rate"), F.count("*").alias("n"))
+        for r in sums.where("n > 500").collect():
+            assert abs(r["taken"] - r["rate"] * r["of"]) < 0.1 * r["rate"] * r["of"], r
+    alike = counted.where("doc_id is null and text = 'one two three'").groupBy("source").agg(
+        F.count_distinct("copies").alias("n"), F.max(F.col("target") / F.col("source_size")).alias("rate"))
+    assert all(r["n"] == 2 or r["rate"] % 1 == 0 for r in alike.collect())
+    again = mixing.mixed_counts(docs.repartition(5), mixing.word_count(F.col("text")))
+    assert sorted(map(str, counted.collect())) == sorted(map(str, again.collect()))
+
+
 def test_sketches_estimate_and_merge(spark):
     words = [f"word{i}" for i in range(4_000)]
     whole, part = " ".join(words), " ".join(words[:1_000])
