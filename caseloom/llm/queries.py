@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import importlib
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from caseloom.llm import (
-    chat, decontaminate, fingerprint, jaccard, licences, mixing, oracles, repeats, secrets, shards,
-    toxicity)
+    chat, decontaminate, fingerprint, jaccard, licences, mixing, oracles, repeats, resample, secrets,
+    shards, spelling, tokencounts, toxicity)
+
+TOKENIZER = "byte_bpe_50k.json"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -109,6 +112,29 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
                           (F.col("size") * F.col("copies")).alias("taken"), "copies")
 
 
+def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document, and how much of it a budget of 512 tokens holds."""
+    docs = _table(spark, sf_dir, "documents").select(
+        "doc_id", "text", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"))
+    path = importlib.import_module("public_tokenizers").path(TOKENIZER)
+    counted = tokencounts.token_counts(docs, tokencounts.read_tokenizer(path), limit=512)
+    return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 512).alias("over_limit"), "n_within")
+
+
+def op12_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weight, score and rank of every document towards the benchmark texts, on single words."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    drawn = resample.resampled(docs, _table(spark, sf_dir, "benchmark"), percent=10, least_words=20,
+                               seed=2024, sizes=(1,), n_buckets=10_000)
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents, their near words, and the form and root each may be a variant of."""
+    found = spelling.variant_groups(_table(spark, sf_dir, "documents"), least_length=5, least_count=3, times=2)
+    return found.select("word", "form", "root", "n", "n_near", "form_n")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_preference_format": op1_preference_format,
     "op2_toxicity": op2_toxicity,
@@ -120,6 +146,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_repeated_lines": op8_repeated_lines,
     "op9_licence_scan": op9_licence_scan,
     "op10_mixing": op10_mixing,
+    "op11_token_counts": op11_token_counts,
+    "op12_importance": op12_importance,
+    "op13_spelling": op13_spelling,
 }
 
 ORACLES = oracles.ORACLES
