@@ -1,7 +1,6 @@
 """SQL that computes the same answers as the operators' queries, for DuckDB.
 
-Similarity joins, classifiers, sketches and checksums have no SQL form; they are tested
-against brute force.
+Classifiers, sketches and tokenizers have no SQL form; they are tested against brute force.
 """
 
 from __future__ import annotations
@@ -9,12 +8,35 @@ from __future__ import annotations
 from caseloom.llm import chat, decontaminate, licences, mixing, repeats, secrets
 
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+_LOWERED = f"translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}')"
 
 
 def _text(value: str) -> str:
     return "'" + value.replace("'", "''") + "'"
 
 
+def _nibble(k: int) -> int:
+    for _ in range(4):
+        k = k >> 1 ^ 0xEDB88320 * (k & 1)
+    return k
+
+
+def _crc32(value: str) -> str:
+    """Unsigned CRC-32 of a text's UTF-8 bytes: two shifts by four bits a byte, folded over a list."""
+    steps = f"flatten(list_transform(regexp_extract_all(hex({value}), '..'), lambda x: [CAST('0x' || x AS BIGINT), 0]))"
+    table = f"[{', '.join(str(_nibble(k)) for k in range(16))}]"
+    return (f"xor(list_reduce(list_prepend(4294967295, {steps}), "
+            f"lambda c, b: xor(xor(c, b) >> 4, {table}[(xor(c, b) & 15) + 1])), 4294967295)")
+
+
+_ITEM_WORDS = f"regexp_extract_all({_LOWERED}, {_text(decontaminate.LOWER_WORD)})"
+
+
+def _words(table: str, key: str = "doc_id") -> str:
+    """(key, w): the lower-cased words of a table's texts, as decontamination and resampling take them."""
+    return f"SELECT {key}, {_ITEM_WORDS} AS w FROM {table}"
+
+
 ORACLES: dict[str, str] = {}
 
 _HEAD, _REST = "'<|' || coalesce(role, '') || '|>' || chr(10)", f"coalesce(text, '') || {_text(chat.END)}"
@@ -59,7 +81,6 @@ WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
  o AS (SELECT doc_id, blob, {_COUNTS}, array_to_string(list_transform(s, lambda x: x.kind || ':' || x.start || ':' || (x.start + x.long)), ',') AS spans FROM s)
 SELECT doc_id, n_assign, n_access, n_hex, sha256(spans) AS base_sha256, spans, blob FROM o"""
 
-_ITEM_WORDS = f"regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}'), {_text(decontaminate.LOWER_WORD)})"
 ORACLES["op4_decontamination"] = f"""
 WITH b AS (SELECT item_id, {_ITEM_WORDS} AS w FROM benchmark),
  i AS (SELECT item_id, w, least(len(w), {decontaminate.WINDOW_WORDS}) AS n FROM b WHERE len(w) > 0),
@@ -120,3 +141,59 @@ WITH d AS (SELECT doc_id, source, coalesce(len(regexp_extract_all(text, {_text(m
          CAST('0x' || md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), 'null'))[1:12] AS BIGINT) / 281474976710656e0
          < rate - floor(rate) AS INT) AS copies FROM d JOIN r ON r.source IS NOT DISTINCT FROM d.source)
 SELECT doc_id, size, source_size, target, size * copies AS taken, copies FROM o"""
+
+ORACLES["op6_byte_shards"] = f"""
+WITH d AS (SELECT doc_id, strlen(coalesce(text, '')) + 1 AS size, {_crc32("coalesce(text, '')")} AS text_crc32 FROM documents),
+ p AS (SELECT *, CAST(sum(size) OVER (ORDER BY doc_id) AS BIGINT) - size AS start, CAST(sum(size) OVER () AS BIGINT) AS total FROM d),
+ s AS (SELECT *, CAST(least(15, (2 * start + size) * 16 // (2 * total)) AS INT) AS shard FROM p)
+SELECT doc_id, size, text_crc32, 'bytes' AS law, shard,
+       row_number() OVER (PARTITION BY shard ORDER BY doc_id) - 1 AS slot, CAST(NULL AS INT) AS grown_shard FROM s"""
+
+ORACLES["op7_jaccard_join"] = f"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all({_LOWERED}, '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+ g AS (SELECT DISTINCT doc_id, array_to_string(w[p:p + 3], ' ') AS gram
+       FROM (SELECT *, unnest(range(1, greatest(len(w) - 3, least(len(w), 1)) + 1)) AS p FROM w)),
+ z AS (SELECT doc_id, count(*) AS n FROM g GROUP BY 1),
+ i AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS n FROM g a JOIN g b ON a.gram = b.gram AND a.doc_id < b.doc_id GROUP BY ALL),
+ l AS (SELECT x, y FROM i JOIN z a ON a.doc_id = x JOIN z b ON b.doc_id = y WHERE 100 * i.n >= 85 * (a.n + b.n - i.n)),
+ e AS (SELECT x, y FROM l UNION ALL SELECT y, x FROM l),
+ r(doc_id, other) AS (SELECT doc_id, doc_id FROM documents UNION SELECT r.doc_id, e.y FROM r JOIN e ON e.x = r.other)
+SELECT r.doc_id, coalesce(any_value(z.n), 0) AS n_shingles, min(other) AS component_id
+FROM r LEFT JOIN z USING (doc_id) GROUP BY r.doc_id"""
+
+ORACLES["op12_importance"] = f"""
+WITH w AS ({_words("documents")}), k AS ({_words("benchmark", "item_id")}),
+ f AS (SELECT doc_id, unnest(w) AS g FROM w), i AS (SELECT unnest(w) AS g FROM k),
+ v AS (SELECT g, {_crc32("g")} % 10000 AS b FROM (SELECT g FROM f UNION SELECT g FROM i)),
+ s AS (SELECT b, count(*) AS s FROM f JOIN v USING (g) GROUP BY 1),
+ t AS (SELECT b, count(*) AS t FROM i JOIN v USING (g) GROUP BY 1),
+ a AS (SELECT CAST((SELECT count(*) FROM f) AS DOUBLE) AS raw, CAST((SELECT count(*) FROM i) AS DOUBLE) AS wanted),
+ n AS (SELECT b, CAST(floor(1000e0 * ln(((coalesce(t, 0) + 1e0) * (raw + 10000e0)) / ((s + 1e0) * (wanted + 10000e0)))) AS BIGINT) AS gain
+       FROM s LEFT JOIN t USING (b), a),
+ x AS (SELECT doc_id, CAST(sum(gain) AS BIGINT) AS weight FROM f JOIN v USING (g) JOIN n USING (b) GROUP BY 1),
+ o AS (SELECT doc_id, len(w) AS n_features, coalesce(weight, 0) AS weight, coalesce(weight, 0) + CAST(floor(-1000e0 * ln(-ln(
+         (CAST('0x' || sha256('2024:' || doc_id)[1:8] AS BIGINT) + 0.5e0) / 4294967296e0))) AS BIGINT) AS score
+       FROM w LEFT JOIN x USING (doc_id)),
+ p AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank, 10 * count(*) OVER () // 100 AS drawn
+       FROM o WHERE n_features >= 20)
+SELECT o.*, CASE WHEN rank <= drawn THEN rank END AS rank FROM o LEFT JOIN p USING (doc_id)"""
+
+ORACLES["op13_spelling"] = f"""
+WITH RECURSIVE r AS (
+  SELECT doc_id, run, count(*) AS n FROM (
+    SELECT doc_id, unnest(regexp_extract_all({_LOWERED}, '[A-Za-z\\x{{00C0}}-\\x{{00FF}}]+')) AS run FROM documents) GROUP BY ALL),
+ h AS (SELECT run, n, {_crc32("concat(doc_id, ':', run)")} AS h FROM r),
+ m AS (SELECT n, CASE WHEN h % 97 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word FROM h),
+ v AS (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM m WHERE length(word) >= 5 GROUP BY 1 HAVING sum(n) >= 3),
+ x AS (SELECT word, n, p, substr(word, 1, p - 1) || substr(word, p + 1) AS rest
+       FROM (SELECT *, unnest(range(1, length(word) + 1)) AS p FROM v)),
+ q AS (SELECT a.word, a.n, b.word AS near, b.n AS near_n FROM x a JOIN x b ON a.p = b.p AND a.rest = b.rest AND a.word != b.word
+       UNION SELECT x.word, x.n, v.word, v.n FROM x JOIN v ON x.rest = v.word
+       UNION SELECT v.word, v.n, x.word, x.n FROM x JOIN v ON x.rest = v.word),
+ b AS (SELECT word, near, near_n, count(*) OVER (PARTITION BY word) AS n_near,
+              row_number() OVER (PARTITION BY word ORDER BY near_n DESC, near) AS place FROM q),
+ f AS (SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN near_n >= 2 * v.n THEN near END AS form,
+              CASE WHEN near_n >= 2 * v.n THEN near_n END AS form_n FROM v LEFT JOIN b ON b.word = v.word AND place = 1),
+ c(word, root) AS (SELECT word, word FROM f UNION ALL SELECT c.word, f.form FROM c JOIN f ON f.word = c.root WHERE f.form IS NOT NULL)
+SELECT f.word, form, c.root, n, n_near, form_n FROM f JOIN c USING (word)
+WHERE NOT EXISTS (SELECT 1 FROM f g WHERE g.word = c.root AND g.form IS NOT NULL)"""
