@@ -2,27 +2,29 @@
 
 Documents with equal shingle sets form a class. The shingle universe of a size band is dealt
 by hash into more parts than two linked sets can differ in, so linked classes agree in a whole
-part: the classes that agree in one part of one band form a tile, and only they are compared.
-Hashed bitmaps bound the overlap of a pair from above; pairs that can still reach the threshold
-are verified on their sorted shingle arrays. Pairs that are already connected are not compared,
-so a tile of copies costs one comparison per member and not one per pair.
+part: the classes that agree in one part of one band form a tile, and only they can link. Tiles
+are gathered by the class that most of their members agree with, and the members of such a
+gathering are compared in units of bounded size: hashed bitmaps bound the overlap of a pair from
+above, pairs that can still reach the threshold are verified on their sorted shingle arrays, and
+pairs that are already connected are not compared. A unit emits the links that connect, at most
+one less than its members, and never a pair that does not link.
 """
 
 from __future__ import annotations
 
 import hashlib
+import itertools
 import sys
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from caseloom.llm.common import small_side, written
+from caseloom.llm.common import removed, small_side, written
 from caseloom.llm.wordhash import mixed, shingle_sets
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -50,13 +52,11 @@ class Threshold:
 BAND_RATIO = 0.7
 #: Empty parts a set may have before its empty parts count as agreement.
 SPARE_PARTS = 3
-#: Rounds in which each class is compared with one leader.
-STAR_ROUNDS = 2
-#: Classes of a tile that are compared in one unit of work, and tile rows in a bundle of units.
-BLOCK = 4_096
-BUNDLE = 20_000
-#: Width of the bitmaps that tile rows carry.
-SHORT_BYTES = 64
+#: Classes and shingles of a block; a unit of work compares one block, or two of one gathering.
+BLOCK_CLASSES = 2_048
+BLOCK_SHINGLES = 2_000_000
+#: Bytes that the bitmaps of a unit may take.
+BITMAP_BYTES = 64 * 1024 * 1024
 
 
 def size_bands(limit: int) -> list[int]:
@@ -117,31 +117,30 @@ def overlap_bound(a: bytes, b: bytes, size_a: int, size_b: int) -> int:
     return min(size_a - only_a, size_b - only_b)
 
 
+def _digest(shingles: np.ndarray) -> bytes:
+    """The name of a class: 128 bits of its shingle set."""
+    return hashlib.blake2b(shingles.tobytes(), digest_size=16).digest()
+
+
 def _described(n: int, t: Threshold):
-    """Rows (id, key, n_shingles, class, bitmap, short, signatures) of rows (id, key, text)."""
+    """Rows (id, key, n_shingles, class, alias, signatures) of rows (id, key, text)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()  # a copy in the same task need not stand in the tiles again
+        seen: set[bytes] = set()  # a copy in the same task need not stand in the tiles again
         for batch in batches:
-            sizes, classes, bits, shorts, signed = [], [], [], [], []
+            sizes, classes, aliases, signed = [], [], [], []
             for _, shingles in shingle_sets(batch.column("text"), n):
                 sizes.append(len(shingles))
-                digest = hashlib.blake2b(shingles.tobytes(), digest_size=8).digest()
-                name = int.from_bytes(digest, "little", signed=True) if len(shingles) else None
+                name = _digest(shingles) if len(shingles) else None
                 classes.append(name)
-                if name is None or name in seen:
-                    bits.append(None)
-                    shorts.append(None)
-                    signed.append(None)
-                else:
-                    seen.add(name)
-                    bits.append(bitmap(shingles))
-                    shorts.append(folded(bits[-1], min(len(bits[-1]), SHORT_BYTES)).tobytes())
-                    signed.append(tile_signatures(shingles, t).view(np.int64))
+                aliases.append(name and int.from_bytes(name[:8], "little", signed=True))
+                signed.append(None if name is None or name in seen
+                              else tile_signatures(shingles, t).view(np.int64))
+                seen.add(name)
             yield pa.RecordBatch.from_arrays([
                 batch.column("id"), batch.column("key"), pa.array(sizes, pa.int64()),
-                pa.array(classes, pa.int64()), pa.array(bits, pa.binary()),
-                pa.array(shorts, pa.binary()), pa.array(signed, pa.list_(pa.int64()))],
-                ["id", "key", "n_shingles", "class", "bitmap", "short", "signatures"])
+                pa.array(classes, pa.binary()), pa.array(aliases, pa.int64()),
+                pa.array(signed, pa.list_(pa.int64()))],
+                ["id", "key", "n_shingles", "class", "alias", "signatures"])
     return run
 
 
@@ -153,87 +152,113 @@ def folded(bits: bytes, width: int) -> np.ndarray:
     return found
 
 
-def _bounded(t: Threshold):
-    """Rows (a, b, bound) of candidate pairs whose bitmaps let them reach the threshold."""
+def _class_sets(n: int):
+    """Rows (class, shingles as sorted 64-bit integers in bytes) of rows (text)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            size_a, size_b = (batch.column(c).to_numpy() for c in ("n_a", "n_b"))
-            bound = np.array([overlap_bound(a, b, m, n) for a, b, m, n in zip(
-                batch.column("bits_a").to_pylist(), batch.column("bits_b").to_pylist(),
-                size_a.tolist(), size_b.tolist())], np.int64)
-            keep = t.linked(bound, size_a, size_b)
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+            classes, sets = [], []
+            for _, shingles in shingle_sets(batch.column("text"), n):
+                classes.append(_digest(shingles))
+                sets.append(shingles.tobytes())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(classes, pa.binary()), pa.array(sets, pa.binary())], ["class", "shingles"])
     return run
 
 
-def tile_pairs(names, places, sizes, maps, second, t: Threshold):
-    """Pairs of one tile block, (a, b, at_a, at_b, score), that the bitmaps let reach the threshold.
+def _bitmaps(sets: list[np.ndarray]) -> np.ndarray:
+    """One row of 64-bit words per set, as wide as the largest set asks for and memory allows."""
+    largest = max(map(len, sets))
+    width = 1 << min((BITMAP_BYTES * 8 // len(sets)).bit_length() - 1, max(6, (8 * largest - 1).bit_length()))
+    rows = np.zeros((len(sets), max(64, width) // 64), np.uint64)
+    for row, shingles in zip(rows, sets):
+        at = shingles & np.uint64(64 * len(row) - 1)
+        np.bitwise_or.at(row, (at >> np.uint64(6)).astype(np.int64), np.uint64(1) << (at & np.uint64(63)))
+    return rows
 
-    Only pairs of different components count; with ``second`` (which half of a block pair a
-    row is from) only pairs across the halves.
-    """
-    width = min(len(m) for m in maps)
-    bits = np.stack([folded(m, width) for m in maps]).view(np.uint64)
-    found = []
-    for i in range(len(names)):
-        js = np.flatnonzero((places != places[i]) & (second > second[i] if second.any() else
-                                                     np.arange(len(names)) > i)
-                            & (t.den * np.minimum(sizes, sizes[i]) >= t.num * np.maximum(sizes, sizes[i])))
-        if len(js):
-            only_i = np.bitwise_count(bits[i] & ~bits[js]).sum(axis=1, dtype=np.int64)
-            only_j = np.bitwise_count(bits[js] & ~bits[i]).sum(axis=1, dtype=np.int64)
-            bound = np.minimum(sizes[i] - only_i, sizes[js] - only_j)
-            for j, most in zip(js, bound):
-                if t.linked(most, sizes[i], sizes[j]):
-                    a, b = (i, j) if names[i] < names[j] else (j, i)
-                    found.append((names[a], names[b], places[a], places[b],
-                                  most / (sizes[i] + sizes[j] - most)))
-    return found
 
+def _shared(a: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
+    """How many shingles the sorted array has in common with each of the others (none empty)."""
+    every = np.concatenate(others)
+    at = np.searchsorted(a, every)
+    at[at == len(a)] = 0
+    starts = np.cumsum([0, *map(len, others[:-1])])
+    return np.add.reduceat(a[at] == every, starts, dtype=np.int64)
 
-def _tile_pairs(t: Threshold):
-    """``tile_pairs`` of every block pair in a bundle of them."""
-    def run(bundle: pd.DataFrame) -> pd.DataFrame:
-        found = set()
-        for _, block in bundle.groupby(["signature", "low", "high"], sort=False):
-            half = (block["block"] != block["low"]).to_numpy(np.int64)
-            found.update(tile_pairs(
-                block["class"].to_numpy(), block["component"].to_numpy(),
-                block["n_shingles"].to_numpy(), block["short"].tolist(), half, t))
-        return pd.DataFrame(sorted(found), columns=["a", "b", "at_a", "at_b", "score"]).astype(
-            {"a": "int64", "b": "int64", "at_a": "int64", "at_b": "int64", "score": "float64"})
-    return run
 
+def connecting_links(sets: list[np.ndarray], places: np.ndarray, first_half: int, t: Threshold) -> list[tuple[int, int]]:
+    """Links (i, j) between the sets of one unit that connect what was not connected before.
 
-def _class_sets(n: int):
-    """Rows (class, shingles as sorted 64-bit integers in bytes) of rows (text)."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    ``places`` are the components known so far. With ``first_half`` > 0 only pairs of one of the
+    first so many sets with one of the others count, else all pairs. The first set of a unit
+    is the one its tiles were gathered by: copies connect to it, and only the rest is compared
+    with each other.
+    """
+    sizes, bits = np.array([len(s) for s in sets], np.int64), _bitmaps(sets)
+    roots = np.unique(places, return_inverse=True)[1]
+    links: list[tuple[int, int]] = []
+
+    def connect(i: int, js: np.ndarray) -> None:
+        linked = t.linked(_shared(sets[i], [sets[j] for j in js]), sizes[i], sizes[js])
+        for j in js[linked]:
+            if roots[i] != roots[j]:
+                links.append((i, int(j)))
+                roots[roots == roots[j]] = roots[i]
+
+    for i in range(first_half or len(sets)):
+        js = np.arange(first_half or i + 1, len(sets))
+        js = js[(roots[js] != roots[i])
+                & (t.den * np.minimum(sizes[js], sizes[i]) >= t.num * np.maximum(sizes[js], sizes[i]))]
+        if not len(js):
+            continue
+        only_i = np.bitwise_count(bits[i] & ~bits[js]).sum(axis=1, dtype=np.int64)
+        only_j = np.bitwise_count(bits[js] & ~bits[i]).sum(axis=1, dtype=np.int64)
+        bound = np.minimum(sizes[i] - only_i, sizes[js] - only_j)
+        able = t.linked(bound, sizes[i], sizes[js])
+        js, bound = js[able], bound[able]
+        if len(js):  # the likeliest of each component first, then what is still apart
+            order = np.argsort(-bound / (sizes[i] + sizes[js] - bound), kind="stable")
+            js = js[order]
+            likeliest = np.unique(roots[js], return_index=True)[1]
+            connect(i, js[likeliest])
+            rest = np.delete(js, likeliest)
+            rest = rest[roots[rest] != roots[i]]
+            if len(rest):
+                connect(i, rest)
+    return links
+
+
+def _unit_links(t: Threshold):
+    """Rows (a, b) of rows sorted by unit (gathering, low, high): components that link."""
+    def unit(rows: list[tuple]) -> list[tuple[bytes, bytes]]:
+        low, high = rows[0][1], rows[0][2]
+        rows.sort(key=lambda r: (r[3] != low, not r[4], r[5]))
+        first_half = sum(r[3] == low for r in rows) if low != high else 0
+        if first_half == len(rows) or len({r[6] for r in rows}) < 2:
+            return []
+        sets = [np.frombuffer(r[7], np.uint64) for r in rows]
+        names = np.array([r[6].hex() for r in rows])
+        found = connecting_links(sets, names, first_half, t)
+        return [(rows[i][6], rows[j][6]) for i, j in found]
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        columns = ("gathering", "low", "high", "block", "leads", "class", "component", "shingles")
         for batch in batches:
-            classes, sets = [], []
-            for _, shingles in shingle_sets(batch.column("text"), n):
-                raw = shingles.tobytes()
-                digest = hashlib.blake2b(raw, digest_size=8).digest()
-                classes.append(int.from_bytes(digest, "little", signed=True))
-                sets.append(raw)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(classes, pa.int64()), pa.array(sets, pa.binary())], ["class", "shingles"])
-    return run
-
+            yield from zip(*(batch.column(c).to_pylist() for c in columns))
 
-def _verified(t: Threshold):
-    """Rows (a, b) of rows with both shingle arrays that reach the threshold."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = []
-            for x, y in zip(batch.column("set_a"), batch.column("set_b")):
-                a, b = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
-                shared = len(np.intersect1d(a, b, assume_unique=True))
-                keep.append(t.linked(shared, len(a), len(b)))
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+        found: list[tuple[bytes, bytes]] = []
+        for _, rows in itertools.groupby(each(batches), key=lambda r: r[:3]):
+            found += unit(list(rows))
+            if len(found) > 10_000:
+                yield _edges(found)
+                found = []
+        yield _edges(found)
     return run
 
 
-PAIR = "a long, b long"
+def _edges(found: list[tuple[bytes, bytes]]) -> pa.RecordBatch:
+    a, b = zip(*found) if found else ((), ())
+    return pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["a", "b"])
 
 
 def connected(edges: DataFrame) -> DataFrame:
@@ -272,154 +297,105 @@ class Join:
                                 F.xxhash64(text_col).alias("key"),
                                 F.col(text_col).cast("string").alias("text"))
         self.described = written(self.rows.mapInArrow(
-            _described(n, t), "id long, key long, n_shingles long, class long, bitmap binary, "
-                              "short binary, signatures array<long>"), "described")
+            _described(n, t), "id long, key long, n_shingles long, class binary, alias long, "
+                              "signatures array<long>"), "described")
         self.classes = self.described.where(F.col("class").isNotNull()).groupBy("class").agg(
-            F.min("id").alias("least_id"), F.min("key").alias("key"))
+            F.first("alias").alias("alias"), F.first("n_shingles").alias("n_shingles"),
+            F.min("id").alias("least_id"), F.min(F.struct("id", "key")).alias("row"), F.count("*").alias("n_rows"))
 
     def tiles(self) -> DataFrame:
-        """(signature, class, rank) of all tiles that hold several classes.
+        """(signature, alias, n) of all tiles that hold several classes; n counts their rows.
 
-        The rank of a class is how many rows its tiles hold: the text that others are copies
-        of agrees with them in most parts, so it ranks highest among them.
+        An alias is half of a class's name. Should two classes have the same, they stand in
+        each other's tiles, which costs comparisons and nothing else.
         """
-        tile = Window.partitionBy("signature")
-        each = self.described.select("class", F.explode("signatures").alias("signature"))
-        shared = written(each.withColumn("lo", F.min("class").over(tile))
-                         .withColumn("hi", F.max("class").over(tile))
-                         .withColumn("n", F.count("*").over(tile)).where("lo != hi")
-                         .select("signature", "class", "n"), "shared")
-        ranks = shared.groupBy("class").agg(F.sum("n").alias("rank"))
-        return shared.select("signature", "class").distinct().join(ranks, "class")
-
-    def bitmaps(self, classes: DataFrame, column: str = "bitmap") -> DataFrame:
-        held = self.described.where(F.col("bitmap").isNotNull()).select("class", "n_shingles", column)
-        return held.join(classes, "class", "left_semi").dropDuplicates(["class"])
-
-    def reachable(self, pairs: DataFrame) -> DataFrame:
-        """The pairs (a, b) that their bitmaps let reach the threshold."""
-        bits = self.bitmaps(_classes_of(pairs))
-        a, b = (bits.select(F.col("class").alias(c), F.col("n_shingles").alias(f"n_{c}"),
-                            F.col("bitmap").alias(f"bits_{c}")) for c in "ab")
-        return pairs.join(a, "a").join(b, "b").mapInArrow(_bounded(self.t), PAIR)
-
-    def links(self, pairs: DataFrame) -> DataFrame:
-        """The pairs (a, b) of classes that reach the threshold, by their shingle arrays."""
-        keys = written(self.classes.join(_classes_of(pairs), "class", "left_semi").select("key"), "keys")
-        texts = self.rows.join(small_side(keys, keys.count(), 16), "key", "left_semi").dropDuplicates(["key"])
-        sets = texts.select("text").mapInArrow(_class_sets(self.n), "class long, shingles binary")
-        a, b = (sets.select(F.col("class").alias(c), F.col("shingles").alias(f"set_{c}")) for c in "ab")
-        return pairs.select("a", "b").join(a, "a").join(b, "b").mapInArrow(_verified(self.t), PAIR)
-
-    def merged(self, places: DataFrame | None, edges: DataFrame) -> DataFrame | None:
-        """(class, component) after links between components, given as edges (a, b) of them."""
-        moved = connected(edges)
-        if places is None:
-            return moved.withColumnRenamed("node", "class")
-        fresh = moved.select(F.col("node").alias("class"), F.col("node").alias("component"))
-        everywhere = places.unionByName(fresh.join(places.select("class"), "class", "left_anti"))
-        return written(everywhere.join(
-            moved.select(F.col("node").alias("component"), F.col("component").alias("whole")),
-            "component", "left").select("class", F.coalesce("whole", "component").alias("component")), "places")
+        each = self.described.select("alias", F.explode("signatures").alias("signature"))
+        shared = written(each.groupBy("signature").agg(
+            F.min("alias").alias("least"), F.max("alias").alias("most"), F.count("*").alias("n"))
+            .where("least != most").select("signature", "n"), "shared")
+        return written(each.join(small_side(shared, shared.count(), 24), "signature"), "tiles")
 
-    def stars(self, tiles: DataFrame, places: DataFrame | None, tried: DataFrame | None) -> DataFrame:
-        """For each class one pair (a, b, at_a, at_b): with the highest-ranking class of another
-        component that leads one of its tiles, the one it shares most tiles with."""
-        tile = Window.partitionBy("signature")
-        rows = _placed(tiles, places).withColumn("me", F.struct("rank", "class", "component"))
-        rows = rows.withColumn("top", F.max("me").over(tile))
-        apart = F.col("component") != F.col("top.component")
-        rows = rows.withColumn("next", F.max(F.when(apart, F.col("me"))).over(tile))
-        lead = F.when(apart, F.col("top")).otherwise(F.col("next"))
-        shared = (rows.withColumn("lead", lead).where(F.col("lead").isNotNull())
-                  .groupBy("class", "component", "lead").agg(F.count("*").alias("n"))
-                  .withColumn("a", F.least("class", "lead.class"))
-                  .withColumn("b", F.greatest("class", "lead.class")))
-        if tried is not None:
-            shared = shared.join(tried, ["a", "b"], "left_anti")
-        best = shared.groupBy("class", "component").agg(F.max(F.struct("n", "lead")).alias("best"))
-        lead = F.col("best.lead")
-        first = F.col("class") < lead["class"]
-        return best.select(
-            F.least("class", lead["class"]).alias("a"), F.greatest("class", lead["class"]).alias("b"),
-            F.when(first, F.col("component")).otherwise(lead["component"]).alias("at_a"),
-            F.when(first, lead["component"]).otherwise(F.col("component")).alias("at_b")).distinct()
-
-    def apart(self, tiles: DataFrame, places: DataFrame | None, tried: DataFrame) -> DataFrame:
-        """Pairs of classes (a, b, at_a, at_b, score) that share a tile, are not connected and may link.
-
-        A tile is cut into blocks of ``BLOCK`` classes; every pair of blocks with several
-        components is one unit of work, compared on bitmaps alone.
+    def gatherings(self) -> DataFrame:
+        """(gathering, class, n_shingles, leads): the classes of all tiles with the same leader.
+
+        The rank of a class is how many rows its tiles hold: the text that others are copies
+        of agrees with them in most parts, so it ranks highest among them and leads their tiles.
+        Linked classes share a tile, so they stand in one gathering.
         """
-        tile = Window.partitionBy("signature")
-        rows = (_placed(tiles, places).withColumn("least", F.min("component").over(tile))
-                .withColumn("most", F.max("component").over(tile)).where("least != most"))
-        rows = written(rows.withColumn("block", F.floor((F.row_number().over(
-            tile.orderBy("component", "class")) - 1) / BLOCK).cast("int"))
-            .select("signature", "class", "component", "block"), "mixed")
-        blocks = rows.groupBy("signature", "block").agg(
-            F.min("component").alias("least"), F.max("component").alias("most"))
-        x, y = (blocks.select("signature", *[F.col(c).alias(f"{c}_{k}") for c in ("block", "least", "most")])
-                for k in "xy")
-        work = x.join(y, "signature").where(
-            "block_x <= block_y and not (least_x = most_y and most_x = least_y)").select(
-            "signature", F.col("block_x").alias("low"), F.col("block_y").alias("high"))
-        halves = work.select("*", F.explode(F.array_distinct(F.array("low", "high"))).alias("block"))
-        bundles = max(1, -(-rows.count() // BUNDLE))
-        number = F.pmod(F.xxhash64("signature", "low", "high"), F.lit(bundles)).alias("bundle")
-        # A class is in many tiles, so its rows carry the short bitmap; pairs meet the full one later.
-        shorts = self.bitmaps(rows.select("class").distinct(), "short")
-        units = halves.join(rows, ["signature", "block"]).select("*", number).join(shorts, "class")
-        found = units.groupBy("bundle").applyInPandas(
-            _tile_pairs(self.t), "a long, b long, at_a long, at_b long, score double")
-        return found.groupBy("a", "b").agg(
-            *[F.first(c).alias(c) for c in ("at_a", "at_b", "score")]).join(tried, ["a", "b"], "left_anti")
+        tiles = self.tiles()
+        ranks = written(tiles.groupBy("alias").agg(F.sum("n").alias("rank")), "ranks")
+        ranked = tiles.join(small_side(ranks, ranks.count(), 24), "alias")
+        leaders = written(ranked.groupBy("signature").agg(
+            F.max(F.struct("rank", "alias")).alias("top")).select(
+            "signature", F.col("top.alias").alias("gathering")), "leaders")
+        met = written(tiles.join(small_side(leaders, leaders.count(), 24), "signature")
+                      .select("gathering", "alias").distinct(), "met")
+        held = met.select("alias").distinct()
+        classes = written(self.classes.join(held, "alias", "left_semi"), "held")
+        n_classes = classes.count()
+        self.sets = self.class_sets(classes.select("row"), n_classes)
+        return written(met.join(small_side(classes.select("alias", "class", "n_shingles"), n_classes, 56), "alias")
+                       .select("gathering", "class", "n_shingles",
+                               (F.col("alias") == F.col("gathering")).alias("leads")), "gatherings")
+
+    def class_sets(self, chosen: DataFrame, n_chosen: int) -> DataFrame:
+        """(class, shingles) of the classes that the chosen rows (id, key) stand for."""
+        at = chosen.select(F.col("row.id").alias("at"), F.col("row.key").alias("at_key"))
+        texts = self.rows.join(small_side(at, n_chosen, 32),
+                               F.col("id").eqNullSafe(F.col("at")) & (F.col("key") == F.col("at_key")), "left_semi")
+        sets = texts.select("text").mapInArrow(_class_sets(self.n), "class binary, shingles binary")
+        return written(sets.dropDuplicates(["class"]), "sets")
+
+    def linked(self, units: DataFrame) -> DataFrame:
+        """Edges (a, b) between components, of rows (gathering, low, high, block, leads, class, component)."""
+        held = units.join(self.sets, "class")
+        dealt = held.repartition("gathering", "low", "high").sortWithinPartitions("gathering", "low", "high")
+        return dealt.mapInArrow(_unit_links(self.t), "a binary, b binary")
 
     def class_components(self) -> DataFrame:
         """(class, component) for classes that link to others."""
-        tiles = written(self.tiles(), "tiles")
-        places, tried = None, None
-        for _ in range(STAR_ROUNDS):  # copies connect to the text they are copies of
-            pairs = written(self.stars(tiles, places, tried), "stars")
-            places = self.merged(places, self.joined(pairs, written(self.reachable(
-                pairs.select("a", "b")), "reachable")))
-            tried = pairs.select("a", "b") if tried is None else tried.unionByName(pairs.select("a", "b"))
-        # What may still link: for each component the likeliest pair first, then all that is left.
-        left = written(self.apart(tiles, places, tried.distinct()), "apart")
-        left = written(left.join(self.reachable(left.select("a", "b")), ["a", "b"]), "left")
-        for last in (False, True):
-            pairs = left
-            if not last:
-                ends = left.select("*", F.explode(F.array("at_a", "at_b")).alias("end"))
-                pairs = written(ends.groupBy("end").agg(F.max(F.struct(
-                    "score", "a", "b", "at_a", "at_b")).alias("best")).select(
-                    "best.a", "best.b", "best.at_a", "best.at_b").distinct(), "likeliest")
-            places = self.merged(places, self.joined(pairs, pairs.select("a", "b")))
-            if not last:
-                rest = left.join(pairs.select("a", "b"), ["a", "b"], "left_anti")
-                now_a, now_b = (places.select(F.col("class").alias(c), F.col("component").alias(f"now_{c}"))
-                                for c in "ab")
-                rest = rest.join(now_a, "a", "left").join(now_b, "b", "left").select(
-                    "a", "b", F.coalesce("now_a", "at_a").alias("at_a"),
-                    F.coalesce("now_b", "at_b").alias("at_b"))
-                left = written(rest.where("at_a != at_b"), "left")
+        members = self.gatherings()
+        blocks = written(members.groupBy("gathering").agg(
+            F.count("*").alias("n"), F.sum("n_shingles").alias("s")).select("gathering", F.greatest(
+                F.ceil(F.col("n") / BLOCK_CLASSES), F.ceil(F.col("s") / BLOCK_SHINGLES)).cast("int").alias("blocks")),
+            "blocks")
+        n_gatherings, n_large = blocks.agg(F.count("*"), F.count_if(F.col("blocks") > 1)).first()
+        dealt = members.join(small_side(blocks, n_gatherings, 24), "gathering").withColumn(
+            "block", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int"))
+        # Every block also has the leader, that copies connect to.
+        everywhere = F.when(F.col("leads"), F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.array("block"))
+        own = dealt.select("gathering", "class", "leads", F.explode(everywhere).alias("block"),
+                           F.col("class").alias("component"))
+        places = connected(self.linked(own.select(
+            "gathering", F.col("block").alias("low"), F.col("block").alias("high"), "block", "leads", "class",
+            "component"))).withColumnRenamed("node", "class")
+        places = self.across(dealt.where("blocks > 1"), places) if n_large else places
+        removed(self.sets)  # the largest table in between, read for the last time
         return places
 
-    def joined(self, pairs: DataFrame, checked: DataFrame) -> DataFrame:
-        """Links among the checked pairs, as edges between their components."""
-        return self.links(checked).join(pairs, ["a", "b"]).select(
-            F.col("at_a").alias("a"), F.col("at_b").alias("b"))
-
+    def across(self, dealt: DataFrame, places: DataFrame) -> DataFrame:
+        """``places`` after comparing the blocks of large gatherings with each other.
 
-def _classes_of(pairs: DataFrame) -> DataFrame:
-    return pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct()
-
-
-def _placed(tiles: DataFrame, places: DataFrame | None) -> DataFrame:
-    """Tile rows with the component of their class, at first the class itself."""
-    if places is None:
-        return tiles.withColumn("component", F.col("class"))
-    return tiles.join(places, "class", "left").withColumn("component", F.coalesce("component", "class"))
+        Only pairs of blocks that hold several components are units of work.
+        """
+        rows = written(dealt.join(places, "class", "left").withColumn(
+            "component", F.coalesce("component", "class")), "large")
+        blocks = rows.groupBy("gathering", "block").agg(
+            F.min("component").alias("least"), F.max("component").alias("most"))
+        x, y = (blocks.select("gathering", *[F.col(c).alias(f"{c}_{k}") for c in ("block", "least", "most")])
+                for k in "xy")
+        work = x.join(y, "gathering").where(
+            "block_x < block_y and not (least_x = most_y and most_x = least_y)").select(
+            "gathering", F.col("block_x").alias("low"), F.col("block_y").alias("high"))
+        halves = work.select("*", F.explode(F.array("low", "high")).alias("block"))
+        edges = self.linked(rows.join(halves, ["gathering", "block"]).select(
+            "gathering", "low", "high", "block", "leads", "class", "component"))
+        moved = written(connected(edges), "moved")
+        fresh = moved.select(F.col("node").alias("class"), F.col("node").alias("component"))
+        everywhere = places.unionByName(fresh.join(places.select("class"), "class", "left_anti"))
+        return written(everywhere.join(
+            moved.select(F.col("node").alias("component"), F.col("component").alias("whole")),
+            "component", "left").select("class", F.coalesce("whole", "component").alias("component")), "places")
 
 
 def similar_groups(docs: DataFrame, t: Threshold = Threshold(85, 100), n: int = 4,
@@ -433,15 +409,18 @@ def similar_groups(docs: DataFrame, t: Threshold = Threshold(85, 100), n: int =
     """
     join = Join(docs, t, n, id_col, text_col)
     places = join.class_components()
-    named = join.classes.select("class", "least_id").join(places, "class", "left").withColumn(
-        "component", F.coalesce("component", "class"))
+    # A class of one row that links to no other keeps its row's id and needs no lookup.
+    named = join.classes.select("class", "least_id", "n_rows").join(places, "class", "left").where(
+        "n_rows > 1 or component is not null").withColumn("component", F.coalesce("component", "class"))
+    named = written(named, "named")
     least = named.groupBy("component").agg(F.min("least_id").alias("component_id"))
-    groups = named.join(least, "component").select("class", "component", "component_id")
-    return (join.described.select("id", "key", "n_shingles", "class")
-            .join(groups, "class", "left")
-            .select(F.col("id").alias(id_col), "n_shingles",
-                    F.when(F.col("class").isNull(), F.col("id")).otherwise(F.col("component_id"))
-                    .alias("component_id"), "class", "component", F.col("key").alias("text_key")))
+    groups = written(named.join(least, "component").select("class", "component", "component_id"), "groups")
+    found = (join.described.select("id", "key", "n_shingles", "class")
+             .join(small_side(groups, groups.count(), 80), "class", "left"))
+    return found.select(F.col("id").alias(id_col), "n_shingles",
+                        F.when(F.col("component").isNull(), F.col("id")).otherwise(F.col("component_id"))
+                        .alias("component_id"), "class", F.coalesce("component", "class").alias("component"),
+                        F.col("key").alias("text_key"))
 
 
 def one_per_group(docs: DataFrame, t: Threshold = Threshold(80, 100), n: int = 5,
