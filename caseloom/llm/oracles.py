@@ -5,7 +5,7 @@ Classifiers, sketches and tokenizers have no SQL form; they are tested against b
 
 from __future__ import annotations
 
-from caseloom.llm import chat, decontaminate, licences, mixing, repeats, secrets
+from caseloom.llm import chat, decontaminate, licences, mixing, secrets
 
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _LOWERED = f"translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}')"
@@ -103,12 +103,17 @@ WITH d AS (SELECT doc_id, text, string_split(coalesce(text, ''), chr(10)) AS us
  u AS (SELECT doc_id, i, us[i] AS u, CAST(coalesce(list_sum(list_transform(us[1:i - 1], lambda x: length(x) + 1)), 0) AS BIGINT) AS start
        FROM (SELECT *, unnest(range(1, len(us) + 1)) AS i FROM d)),
  k AS (SELECT *, {_NORMAL} AS k FROM u),
- r AS (SELECT *, len(string_split(k, ' ')) >= {repeats.LEAST_WORDS}
-         AND row_number() OVER (PARTITION BY k ORDER BY doc_id, start) > 1 AS gone FROM k),
- s AS (SELECT doc_id, count(*) FILTER (gone) AS n_removed,
+ r AS (SELECT *, k != '' AND row_number() OVER (PARTITION BY k ORDER BY doc_id, start) > 1 AS gone,
+         CASE WHEN k != '' THEN len(string_split(k, ' ')) ELSE 0 END AS words FROM k),
+ b AS (SELECT *, sum(CASE WHEN gone OR k = '' THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY i) AS kept_before FROM r),
+ m AS (SELECT doc_id, max(words) AS longest_removed FROM (
+   SELECT doc_id, kept_before, CAST(sum(words) AS BIGINT) AS words FROM b WHERE gone GROUP BY ALL) GROUP BY 1),
+ s AS (SELECT doc_id, count(*) FILTER (gone) AS n_removed, CAST(coalesce(sum(words) FILTER (gone), 0) AS BIGINT) AS removed_words,
          coalesce(string_agg(start || ':' || (start + length(u)), ',' ORDER BY i) FILTER (gone), '') AS spans,
          coalesce(string_agg(u, chr(10) ORDER BY i) FILTER (NOT gone), '') AS kept FROM r GROUP BY 1)
-SELECT doc_id, n_removed, spans, CASE WHEN text IS NOT NULL THEN kept END AS text FROM s JOIN d USING (doc_id)"""
+SELECT doc_id, n_removed, spans, CASE WHEN text IS NOT NULL THEN kept END AS text, removed_words,
+       coalesce(longest_removed, 0) AS longest_removed, coalesce(longest_removed, 0) >= 20 AS repeats_passage
+FROM s JOIN d USING (doc_id) LEFT JOIN m USING (doc_id)"""
 
 _KNOWN = ", ".join(f"({_text(text)}, '{name}')" for name, texts in licences.SENTENCES.items() for text in texts)
 _RULE_TEXTS = ["".join(f",{s}," for s in rule) for _, rule in licences.RULES]

@@ -13,6 +13,8 @@ from caseloom.llm import (
     shards, spelling, tokencounts, toxicity)
 
 TOKENIZER = "byte_bpe_50k.json"
+#: Words of removed lines in a row that count as a repeated passage and not as a repeated phrase.
+PASSAGE_WORDS = 20
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -93,9 +95,10 @@ def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_repeated_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without later occurrences of lines that have a word, and where they were."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    found = repeats.deduplicated(docs, least_words=1)
+    found = repeats.deduplicated(docs, counted=True)
     return found.select("doc_id", F.size("spans").cast("long").alias("n_removed"),
-                        _spans("spans").alias("spans"), "text")
+                        _spans("spans").alias("spans"), "text", "removed_words", "longest_removed",
+                        (F.col("longest_removed") >= PASSAGE_WORDS).alias("repeats_passage"))
 
 
 def op9_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -15,6 +15,7 @@ import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from caseloom.llm.common import small_side, written
 
@@ -22,8 +23,6 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # What ends a unit.
 BREAKS = {"line": "\n", "paragraph": "\n\n"}
-#: Units of fewer words stay where the caller names no other minimum; 1 takes every unit that has a word.
-LEAST_WORDS = 6
 UNIT = "id long, key long, start long, end long, digest binary"
 
 
@@ -56,14 +55,14 @@ def _units(unit: str, least_words: int):
     return run
 
 
-def repeated_units(docs: DataFrame, unit: str = "line", least_words: int = LEAST_WORDS,
+def repeated_units(docs: DataFrame, unit: str = "line", least_words: int = 1,
                    id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Later occurrences of units: id, key, start and end in the original text, and digest.
 
     Units compare by their lower-cased words. The earliest occurrence is the one in the
     smallest id (rows without an id last, then by text hash), and there the first. Rows with
-    equal id and text count as one document. Units of fewer than ``least_words`` words are never
-    repeats. Null and empty texts have no units.
+    equal id and text count as one document. Every unit that has a word counts, unless the caller
+    asks for more words. Null and empty texts have no units.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("key"),
                        F.col(text_col).cast("string").alias("text"))
@@ -75,35 +74,54 @@ def repeated_units(docs: DataFrame, unit: str = "line", least_words: int = LEAST
             .where(rank != F.col("first")).drop("first").distinct())
 
 
-def _cut(unit: str, text_col: str, spans_col: str):
+def _cut(unit: str, text_col: str, spans_col: str, counted: bool):
     mark = BREAKS[unit]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at = batch.schema.names.index(text_col)
             texts = batch.column(text_col).to_pylist()
+            words, longest = [0] * len(texts), [0] * len(texts)
             for row, spans in enumerate(batch.column(spans_col).to_pylist()):
                 if spans:
                     gone = {s["start"] for s in spans}
-                    text = texts[row]
-                    texts[row] = mark.join(text[a:b] for a, b in unit_bounds(text, unit) if a not in gone)
-            yield batch.set_column(at, text_col, pa.array(texts, pa.string()))
+                    text, kept, unbroken = texts[row], [], 0
+                    for a, b in unit_bounds(text, unit):
+                        if a in gone:
+                            n = len(text[a:b].split())
+                            words[row], unbroken = words[row] + n, unbroken + n
+                            longest[row] = max(longest[row], unbroken)
+                        else:
+                            kept.append(text[a:b])
+                            unbroken = unbroken if text[a:b].isspace() or a == b else 0
+                    texts[row] = mark.join(kept)
+            batch = batch.set_column(at, text_col, pa.array(texts, pa.string()))
+            if counted:
+                batch = batch.append_column("removed_words", pa.array(words, pa.int64()))
+                batch = batch.append_column("longest_removed", pa.array(longest, pa.int64()))
+            yield batch
     return run
 
 
-def deduplicated(docs: DataFrame, unit: str = "line", least_words: int = LEAST_WORDS,
-                 id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def deduplicated(docs: DataFrame, unit: str = "line", least_words: int = 1, id_col: str = "doc_id",
+                 text_col: str = "text", counted: bool = False) -> DataFrame:
     """All rows and columns of ``docs`` without later occurrences, and the removed ``spans``.
 
     ``spans`` are (start, end) in the original text, in order, empty where nothing went. The
-    breaks of removed units go with them. A column of that name is replaced.
+    breaks of removed units go with them. With ``counted`` also ``removed_words`` and
+    ``longest_removed``: the words of all removed units, and of the longest run of removed units
+    with no kept word between them. Columns of these names are replaced.
     """
     found = repeated_units(docs, unit, least_words, id_col, text_col)
-    spans = written(found.groupBy(F.col("id").alias("__id"), F.col("key").alias("__key")).agg(
-        F.array_sort(F.collect_list(F.struct("start", "end"))).alias("spans")), "spans")
+    spans = found.groupBy(F.col("id").alias("__id"), F.col("key").alias("__key")).agg(
+        F.array_sort(F.collect_list(F.struct("start", "end"))).alias("spans"))
+    spans = written(spans, "spans")
     same = (F.col(id_col).cast("long").eqNullSafe(F.col("__id"))
             & (F.xxhash64(text_col) == F.col("__key")))
     none = F.array().cast(spans.schema["spans"].dataType)
-    joined = docs.drop("spans").join(small_side(spans, spans.count(), 256), same, "left").drop("__id", "__key")
+    n_bytes = spans.agg(F.sum(F.size("spans") * 16 + 48)).first()[0] or 0
+    added = ("spans", "removed_words", "longest_removed") if counted else ("spans",)
+    joined = docs.drop(*added).join(small_side(spans, n_bytes, 1), same, "left").drop("__id", "__key")
     joined = joined.withColumn("spans", F.coalesce("spans", none))
-    return joined.mapInArrow(_cut(unit, text_col, "spans"), joined.schema)
+    fields = T.StructType(joined.schema.fields + [T.StructField(c, T.LongType()) for c in added[1:]])
+    return joined.mapInArrow(_cut(unit, text_col, "spans", counted), fields)

@@ -186,7 +186,7 @@ def test_later_lines_go_and_offsets_stay(spark):
     docs = spark.createDataFrame([
         (3, f"é first\n{LINE}\nlast"), (1, f"{LINE.upper()}  \nshort\nshort\n{LINE}"), (2, "short\n\nother"),
         (4, LINE), (4, LINE), (None, LINE)], "doc_id long, text string")
-    found = repeats.deduplicated(docs)
+    found = repeats.deduplicated(docs, least_words=6)
     rows = {r["doc_id"]: r for r in found.collect()}
     assert rows[1]["text"] == f"{LINE.upper()}  \nshort\nshort"
     assert rows[3]["text"] == "é first\nlast" and [tuple(s) for s in rows[3]["spans"]] == [(8, 8 + len(LINE))]
@@ -200,10 +200,18 @@ def test_later_lines_go_and_offsets_stay(spark):
 def test_short_lines_are_repeats_too(spark):
     docs = spark.createDataFrame([(1, "Yes\n\nAll rights reserved.\nyes"), (2, "all  rights reserved.\n\n \nnew")],
                                  "doc_id long, text string")
-    left = {r["doc_id"]: r["text"] for r in repeats.deduplicated(docs, least_words=1).collect()}
+    left = {r["doc_id"]: r["text"] for r in repeats.deduplicated(docs).collect()}
     assert left == {1: "Yes\n\nAll rights reserved.", 2: "\n \nnew"}
 
 
+def test_removed_words_and_their_longest_run(spark):
+    docs = spark.createDataFrame([(1, "a b\nc d e\nf"), (2, "x\nA B\n \n\nC d E\nnew\nf"), (3, None)],
+                                 "doc_id long, text string")
+    found = {r["doc_id"]: (r["removed_words"], r["longest_removed"])
+             for r in repeats.deduplicated(docs, counted=True).collect()}
+    assert found == {1: (0, 0), 2: (6, 5), 3: (0, 0)}
+
+
 def test_repeated_lines_of_odd_tables(odd, none):
     found = repeats.deduplicated(odd)
     assert found.count() == odd.count() and set(found.columns) == set(odd.columns)
