@@ -550,6 +550,17 @@ def _merge(wh, sf_dir):
     return tables.read_table(wh.spark, f"{base}/v2", current.schema)
 
 
+@register("merge_partitions")
+def _merge_partitions(wh, sf_dir):
+    """The same merge in place, on a table stored by year: only the years updated are rewritten."""
+    current = summaries.monthly_by_region(wh.buckets(), state_only=True).filter(F.col("year") <= YEAR)
+    updates = summaries.monthly_by_region(wh.buckets(), state_only=False).filter(F.col("year") >= YEAR)
+    path = wh.path("merge_by_year")
+    tables.write_table(current, path, ["year"])
+    tables.merge_partitions(updates, ["disease", "region", "year", "month"], path, current.schema, ["year"])
+    return tables.read_table(wh.spark, path, current.schema)
+
+
 # --- population and expectation ---------------------------------------------------------
 
 @register("population_interpolated")

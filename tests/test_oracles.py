@@ -1,13 +1,16 @@
 import pytest
 
 import __spark_entry__ as entry
+from caseloom.plans.oracles import ORACLES
+from caseloom.plans.registry import all_queries
 from tests.oracle_check import compare
 
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+QUERIES = all_queries()
 
 
 def test_every_query_has_sql():
     assert set(ORACLES) == set(QUERIES)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
 
 
 def test_entry(spark):
