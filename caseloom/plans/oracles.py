@@ -393,6 +393,12 @@ ORACLES["mv_yearly_disease_city"] = _sql("t", f"""
 SELECT disease AS disease_name, city AS city_name, state AS state_code, year, {_total()} AS total_cases,
        {_MEAN8} AS avg_incidence_rate
 FROM t WHERE loc_type = 'CITY' GROUP BY 1, 2, 3, 4""")
+for _name in ("mv_monthly_disease_state", "mv_yearly_disease_region", "mv_decade_disease_national",
+              "mv_yearly_disease_city"):
+    ORACLES[f"{_name}_from_states"] = ORACLES[_name]
+ORACLES["distinct_estimates"] = _sql("t", """
+SELECT disease AS disease_name, decade, count(DISTINCT state) AS states_reporting, true AS within_bound
+FROM t GROUP BY 1, 2""")
 _BY_REGION = f"""
 SELECT disease, region, year, month, {_total('total_cases')} AS total_cases,
        {_BUCKET_RATE} AS avg_incidence_rate, count(DISTINCT state) AS states_reporting
@@ -774,6 +780,20 @@ SELECT strftime(s, '%Y-%m-%d %H:%M:%S') AS window_start,
        strftime(s + INTERVAL 10 SECOND, '%Y-%m-%d %H:%M:%S') AS window_end,
        count(*) AS events, round(count(*) / 10e0, 1) AS rate
 FROM w GROUP BY s"""
+ORACLES["stream_event_rate_panes"] = ORACLES["stream_event_rate"]
+ORACLES["stream_event_rate_closed"] = f"""
+SELECT * FROM ({ORACLES["stream_event_rate"]})
+WHERE window_end <= (SELECT strftime(max(ts), '%Y-%m-%d %H:%M:%S') FROM events)"""
+ORACLES["stream_closed_weeks"] = _sql("ev", f"""
+, v AS (SELECT *, least(4, (dayofmonth(ts) - 1) // 6 + CASE WHEN event_id % 10 = 0 THEN 2 ELSE 0 END) AS delivery,
+              make_date(CAST(epi_week // 100 AS INT), 1, 1) + CAST((epi_week % 100 - 1) * 7 AS INT) AS starts
+       FROM ev WHERE cases >= 0 AND disease IS NOT NULL),
+ m AS (SELECT v.*, (SELECT max(o.starts) FROM v o WHERE o.delivery < v.delivery) - 7 AS closed FROM v),
+ l AS (SELECT *, coalesce(starts <= closed, false) AS late FROM m)
+SELECT disease, epi_week, CAST(sum(cases) FILTER (NOT late) AS BIGINT) AS national_cases,
+       count(*) FILTER (NOT late) AS states_reporting,
+       round(avg(incidence_rate) FILTER (NOT late), 6) AS avg_national_incidence, count(*) FILTER (late) AS late_events
+FROM l WHERE starts <= (SELECT max(starts) - 7 FROM v) GROUP BY 1, 2 HAVING count(*) FILTER (NOT late) > 0""")
 ORACLES["stream_latest_events"] = _sql("ev", """
 SELECT event_id, disease, state, epi_week, cases, incidence_rate
 FROM ev ORDER BY ts DESC, event_id DESC LIMIT 50""")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from caseloom import schemas
 from caseloom.functions import epiweek, guards, nested, rounding, text
 from caseloom.operators import (
-    clean, graph, olap, population, quality, reconcile, summaries)
+    clean, graph, olap, partials, population, quality, reconcile, summaries)
 from caseloom.plans import catalog, graph_queries
 from caseloom.plans.warehouse import Sources, Warehouse, open_warehouse
 from caseloom.sources import binding, events, observations, tables
@@ -158,6 +158,33 @@ for _name in ("mv_monthly_disease_state", "mv_yearly_disease_region", "mv_decade
     _summary(_name)
 
 
+def _summary_from_states(name: str) -> None:
+    def answer(wh: Warehouse, sf_dir: str) -> DataFrame:
+        """The same summary from stored partial states, two decades of which were refreshed alone."""
+        wh.state_table(name)
+        wh.refresh_decades([1990, 1880])
+        df = wh.state_table(name)
+        if "decade" not in wh.summary_builders()[name]().columns:
+            df = df.drop("decade")
+        decimals = [f.name for f in df.schema if f.dataType.typeName() == "decimal"]
+        return df.withColumns({c: F.round(F.col(c), 8).cast("double") for c in decimals})
+    register(f"{name}_from_states")(answer)
+
+
+for _name in partials.FROM_STATES:
+    _summary_from_states(_name)
+
+
+@register("distinct_estimates")
+def _distinct_estimates(wh, sf_dir):
+    """Exact distinct states per disease and decade, and whether merged sketches come within 5 percent."""
+    exact = wh.summary_builders()["mv_decade_disease_national"]().select("disease_name", "decade", "states_reporting")
+    estimates = partials.estimated(wh.state_table("place_sketches"), "disease_name", "decade")
+    near = F.abs(F.col("estimate") - F.col("states_reporting")) <= 0.05 * F.col("states_reporting")
+    return exact.join(estimates, ["disease_name", "decade"], "left").select(
+        "disease_name", "decade", "states_reporting", F.coalesce(near, F.lit(False)).alias("within_bound"))
+
+
 @register("summary_monthly_by_region_states")
 def _region_states(wh, sf_dir):
     return summaries.monthly_by_region(wh.buckets(), state_only=True)
@@ -794,6 +821,54 @@ def _national_bounded(wh, sf_dir):
         "avg_national_incidence", F.round("avg_national_incidence", 6))
 
 
+@register("stream_closed_weeks")
+def _closed_weeks(wh, sf_dir):
+    """Totals of closed weeks, each emitted once, and how many late events came after, over five deliveries.
+
+    Events are delivered every six days; each tenth comes two deliveries late.
+    """
+    folder = _run_folder(wh, "closed_weeks")
+    rows = binding.event_rows(wh.spark, sf_dir)
+    sixth = F.floor((F.dayofmonth("timestamp") - 1) / 6) + F.when(F.col("event_id") % 10 == 0, 2).otherwise(0)
+    rows = rows.withColumn("delivery", F.least(sixth, F.lit(4)))
+    schema = None
+    for delivery in range(5):
+        events.publish_files(events.as_messages(rows.filter(F.col("delivery") == delivery).drop("delivery")),
+                             f"{folder}/topic")
+        valid = stream_queries.validated(events.parsed_events(events.file_topic(wh.spark, f"{folder}/topic")))
+        weeks = stream_queries.national_totals(valid, late_weeks=1)
+        sinks.finish(sinks.append_rows(weeks, f"{folder}/weeks", f"{folder}/checkpoint"))
+        timed = stream_queries.with_week_start(valid)
+        sinks.finish(sinks.record_late(timed, "week_start", 7 * 86_400, f"{folder}/late", f"{folder}/late_checkpoint"))
+        schema = weeks.schema, timed.schema
+    late = sinks.late_rows(wh.spark, f"{folder}/late", schema[1]).groupBy("disease", "epi_week").agg(
+        F.count("*").alias("late_events"))
+    weeks = wh.spark.read.schema(schema[0]).parquet(f"{folder}/weeks").drop("week_start")
+    return weeks.join(late, ["disease", "epi_week"], "left").withColumns({
+        "late_events": F.coalesce("late_events", F.lit(0)),
+        "avg_national_incidence": F.round("avg_national_incidence", 6)})
+
+
+@register("stream_event_rate_panes")
+def _rate_panes(wh, sf_dir):
+    """The rate of every window from one stored count per second: no event is copied per window."""
+    panes = stream_queries.pane_counts(_event_stream(wh, sf_dir, max_files=1))
+    seconds = _state_of(wh, panes, ["pane_start"], "rate_panes")
+    return _as_texts(stream_queries.rates_of_panes(seconds))
+
+
+@register("stream_event_rate_closed")
+def _rate_closed(wh, sf_dir):
+    """Rates of windows that have closed, by two chained aggregations in append mode."""
+    rates = stream_queries.closed_event_rates(_event_stream(wh, sf_dir), lateness="0 seconds")
+    return _as_texts(_appended(wh, rates, "rate_closed"))
+
+
+def _as_texts(rates: DataFrame) -> DataFrame:
+    return rates.withColumns({
+        c: F.date_format(c, "yyyy-MM-dd HH:mm:ss") for c in ("window_start", "window_end")})
+
+
 @register("stream_event_rate")
 def _rate(wh, sf_dir):
     rates = stream_queries.event_rates(_event_stream(wh, sf_dir, max_files=1))

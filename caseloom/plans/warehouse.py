@@ -9,16 +9,17 @@ from __future__ import annotations
 import hashlib
 import threading
 import time
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from caseloom import schemas
-from caseloom.operators import bucket, graph, quality, star, summaries
+from caseloom.operators import bucket, graph, partials, quality, star, summaries
 from caseloom.operators.models import Buckets, Graph, Star
 from caseloom.session import scratch_root
-from caseloom.sources.tables import read_table, table_exists, write_table
+from caseloom.sources.tables import read_table, refresh_partitions, table_exists, write_table
 
 # Physical layout (schema, partition columns, clustering columns) in the order of dependence.
 LAYOUT = {
@@ -63,6 +64,7 @@ class Warehouse:
     _opened: Sources | None = None
     _star: Star | None = None
     _lock: threading.RLock = field(default_factory=threading.RLock)
+    _state_schemas: dict[str, T.StructType] = field(default_factory=dict)
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -220,6 +222,43 @@ class Warehouse:
             outcome, "table_name string, status string, row_count long, "
                      "execution_time_ms double, error string")
 
+    def _state_builders(self, decades: Sequence[int] | None) -> dict[str, Callable[[], DataFrame]]:
+        """Tables kept per decade, in the order of dependence."""
+        def kept(name: str) -> DataFrame:
+            schema = self._state_schemas["place_months"]
+            return partials._in_decades(read_table(self.spark, f"{self.root}/states/place_months", schema), decades)
+
+        def summary(build):
+            return lambda: build(kept("place_months"), self.star())
+        return {"place_months": lambda: partials.place_months(self.star(), decades),
+                "place_sketches": lambda: partials.place_sketches(kept("place_months"), self.star()),
+                **{name: summary(build) for name, build in partials.FROM_STATES.items()}}
+
+    def refresh_decades(self, decades: Sequence[int] | None = None) -> None:
+        """Brings the partial states and the summaries made from them up to date.
+
+        With ``decades`` only those partitions of the fact, of the states and of the summaries
+        are read and replaced; without, or before the first refresh, everything is built. A
+        refresh that fails may be repeated.
+        """
+        with self._lock:  # the fact's files may have been replaced since it was opened
+            self._frames.pop("fact", None)
+            self._star = None
+        for name, build in self._state_builders(decades).items():
+            path, df = f"{self.root}/states/{name}", build()
+            self._state_schemas[name] = df.schema
+            if decades is None or not table_exists(self.spark, path):
+                write_table(self._state_builders(None)[name](), path, ["decade"])
+            else:
+                refresh_partitions(df, path, df.schema, ["decade"], [{"decade": d} for d in decades])
+
+    def state_table(self, name: str) -> DataFrame:
+        """A table kept by ``refresh_decades``: partial states, sketches, or a summary with its decade."""
+        with self._lock:
+            if name not in self._state_schemas or not table_exists(self.spark, f"{self.root}/states/{name}"):
+                self.refresh_decades()
+        return read_table(self.spark, f"{self.root}/states/{name}", self._state_schemas[name])
+
 
 _open: dict[tuple[str, str], Warehouse] = {}
 _open_lock = threading.Lock()

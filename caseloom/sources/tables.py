@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -140,7 +140,7 @@ def merge_replace(updates: DataFrame, keys: Sequence[str], current: str, staged:
         write_table(updates, staged)
 
 
-def _one_of(partitions: Sequence[Row], partition_by: Sequence[str]) -> Column:
+def _one_of(partitions: Sequence[Mapping | Row], partition_by: Sequence[str]) -> Column:
     """True for rows in one of the partitions; only literals, so the scan is pruned by it."""
     found = F.lit(False)
     for values in partitions:
@@ -186,17 +186,27 @@ def merge_partitions(updates: DataFrame, keys: Sequence[str], path: str, schema:
     if not partitions:
         return 0
     held = target.filter(_one_of(partitions, partition_by))
-    rows = merged(held, updates, keys)
-    left = set(rows.select(*partition_by).distinct().collect())
-    emptied = [p for p in partitions if p not in left]
+    refresh_partitions(merged(held, updates, keys), path, schema, partition_by, partitions, cluster_by)
+    return len(partitions)
+
+
+def refresh_partitions(df: DataFrame, path: str, schema: T.StructType, partition_by: Sequence[str],
+                       partitions: Sequence[Mapping], cluster_by: Sequence[str] = ()) -> None:
+    """Replaces whole partitions, named by their values, by the rows of ``df``, which are all in them.
+
+    A partition that gets no row ends up empty.
+    """
+    spark = df.sparkSession
+    left = set(df.select(*partition_by).distinct().collect())
+    emptied = [p for p in partitions if tuple(p[c] for c in partition_by) not in left]
     folders = []
     if emptied:  # what loses its last row is not overwritten, so its folder goes
         folder = F.regexp_replace(F.col("_metadata.file_path"), "/[^/]*$", "").alias("folder")
-        folders = [r["folder"] for r in target.filter(_one_of(emptied, partition_by)).select(folder).distinct().collect()]
-    replace_partitions(rows, path, partition_by, cluster_by)
+        old = read_table(spark, path, schema).filter(_one_of(emptied, partition_by))
+        folders = [r["folder"] for r in old.select(folder).distinct().collect()]
+    replace_partitions(df, path, partition_by, cluster_by)
     for folder in folders:  # an encoded URI, unlike the paths that callers give
         jvm = spark.sparkContext._jvm
         location = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(folder))
         location.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(location, True)
     spark.catalog.refreshByPath(path)
-    return len(partitions)

@@ -74,6 +74,40 @@ def current_state(spark: SparkSession, path: str, schema: T.StructType,
     return changes.groupBy(*keys).agg(newest).select(*keys, "newest.*")
 
 
+def record_late(stream: DataFrame, time: str, delay_seconds: int, path: str, checkpoint: str,
+                **trigger) -> StreamingQuery:
+    """Writes rows that come after their time was closed to a table of their own.
+
+    A row is late when its time is not after the newest time of earlier micro-batches less
+    the delay: the rule by which a watermark of that delay drops it from a state. Each batch
+    leaves the newest time so far beside its late rows, so a repeated batch decides the same.
+    """
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        earlier = [v for v in versions(spark, f"{path}/marks") if v < batch_id]
+        marks = spark.read.schema("newest long").parquet(f"{path}/marks/{earlier[-1]}") if earlier else None
+        before = marks.first()["newest"] if marks else None
+        at = F.unix_micros(F.col(time))
+        late = F.lit(False) if before is None else at <= before - delay_seconds * 1_000_000
+        batch.filter(late).write.mode("overwrite").parquet(f"{path}/changes/batch_id={batch_id}")
+        newest = F.greatest(F.max(at), F.lit(before).cast("long")).alias("newest")
+        batch.agg(newest).write.mode("overwrite").parquet(f"{path}/marks/{batch_id}")
+        for version in earlier[:-1]:
+            remove_table(spark, f"{path}/marks/{version}")
+
+    return (stream.writeStream.outputMode("append").foreachBatch(write)
+            .option("checkpointLocation", checkpoint)
+            .trigger(**(trigger or {"availableNow": True})).start())
+
+
+def late_rows(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """All late rows of committed batches."""
+    batches = _committed_changes(spark, path)
+    if not batches:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(*[f"{path}/changes/batch_id={i}" for i in batches])
+
+
 def keep_latest(stream: DataFrame, order: Sequence[str], n: int, path: str, checkpoint: str,
                 **trigger) -> StreamingQuery:
     """Keeps the newest ``n`` rows.

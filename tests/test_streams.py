@@ -167,3 +167,64 @@ def test_queries_also_run_on_batches(spark):
     batch = rows(spark, FIRST + SECOND)
     assert queries.alerts(batch).count() == 5
     assert queries.event_rates(batch).agg(F.sum("events")).first()[0] == 80
+
+
+def test_closed_weeks_are_emitted_once_and_leave_the_state(topic, spark, tmp_path):
+    out, late = str(tmp_path / "out"), str(tmp_path / "late")
+    held, emitted = [], []
+    for data in ([event(1, "FLU", 202401, 5, 1.0), event(2, "FLU", 202402, 1, 1.0)],
+                 [event(3, "FLU", 202405, 5, 1.0), event(4, "POX", 202405, 5, 1.0), event(5, "FLU", 202402, 2, 1.0)],
+                 [event(6, "FLU", 202402, 7, 1.0), event(7, "FLU", 202406, 1, 1.0), event(8, "FLU", 202401, 1, 1.0)],
+                 [event(9, "FLU", 202410, 1, 1.0), event(10, "FLU", 202405, 9, 1.0)]):
+        topic.publish(data)
+        valid = queries.validated(topic.stream(max_files=None))
+        weeks = queries.national_totals(valid, late_weeks=2)
+        query = sinks.finish(sinks.append_rows(weeks, out, out + "-cp"))
+        progress = [o for p in query.recentProgress for o in p["stateOperators"]]
+        held.append(progress[-1]["numRowsTotal"])
+        emitted.append(spark.read.schema(weeks.schema).parquet(out).count())
+        timed = queries.with_week_start(valid)
+        sinks.finish(sinks.record_late(timed, "week_start", 14 * 86_400, late, late + "-cp"))
+    got = {(r.disease, r.epi_week): (r.national_cases, r.states_reporting)
+           for r in spark.read.schema(weeks.schema).parquet(out).collect()}
+    # Weeks 1 and 2 close with week 5; the events of both that come later are late. Week 10 closes the rest.
+    assert got == {("FLU", 202401): (5, 1), ("FLU", 202402): (3, 2), ("FLU", 202405): (14, 2),
+                   ("POX", 202405): (5, 1), ("FLU", 202406): (1, 1)}
+    assert emitted == [0, 2, 2, 5] and held == [2, 2, 3, 1]
+    assert sorted(r.event_id for r in sinks.late_rows(spark, late, timed.schema).collect()) == [6, 8]
+    assert sinks.late_rows(spark, str(tmp_path / "none"), timed.schema).isEmpty()
+
+
+def test_repeated_batch_has_the_same_late_rows(topic, spark, tmp_path):
+    for data in ([event(1, "FLU", 202410, 5, 1.0)], [event(2, "FLU", 202401, 1, 1.0)], [event(3, "FLU", 202409, 1, 1.0)]):
+        topic.publish(data)
+    timed = queries.with_week_start(topic.stream())
+    for checkpoint in ("a", "b"):
+        sinks.finish(sinks.record_late(timed, "week_start", 14 * 86_400, str(tmp_path / "late"), str(tmp_path / checkpoint)))
+    late = sinks.late_rows(spark, str(tmp_path / "late"), timed.schema)
+    assert [r.event_id for r in late.collect()] == [2]
+
+
+def test_panes_give_the_rates_of_events(topic, spark, tmp_path):
+    for data in (SECOND, FIRST, [event(9, "FLU", 202402, 1, 1.0, 20)]):
+        topic.publish(data)
+    out = str(tmp_path / "panes")
+    panes = queries.pane_counts(topic.stream())
+    sinks.finish(sinks.record_changes(panes, out, out + "-cp"))
+    stored = sinks.current_state(spark, out, panes.schema, ["pane_start"])
+    batch = rows(spark, FIRST + SECOND + [event(9, "FLU", 202402, 1, 1.0, 20)])
+    want = sorted(map(tuple, queries.event_rates(batch).collect()))
+    assert sorted(map(tuple, queries.rates_of_panes(stored).collect())) == want
+    assert sorted(map(tuple, queries.rates_of_panes(queries.pane_counts(batch)).collect())) == want
+    plan = queries.rates_of_panes(queries.pane_counts(batch))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Expand") == 1 and plan.index("Expand") < plan.rindex("Aggregate")  # above the first one
+
+
+def test_closed_rates_of_chained_aggregations(topic, spark, tmp_path):
+    topic.publish(FIRST + SECOND)
+    out = str(tmp_path / "out")
+    closed = queries.closed_event_rates(topic.stream(max_files=None), lateness="5 seconds")
+    sinks.finish(sinks.append_rows(closed, out, out + "-cp"))
+    end = max(r[7] for r in FIRST + SECOND) - datetime.timedelta(seconds=5)
+    want = {tuple(r) for r in queries.event_rates(rows(spark, FIRST + SECOND)).collect() if r.window_end <= end}
+    assert want and {tuple(r) for r in spark.read.schema(closed.schema).parquet(out).collect()} == want
