@@ -24,7 +24,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def op1_preference_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Prompt and masked completions of every conversation against its sibling's last reply."""
     pairs = chat.sibling_pairs(_table(spark, sf_dir, "conversations"))
-    return chat.preference_records(pairs).select(
+    return chat.preference_records(pairs, dealt_by=["siblings"]).select(
         "pair_id", "prompt_turns", "prompt", "chosen", _spans("chosen_mask"),
         "rejected", _spans("rejected_mask"))
 

@@ -182,3 +182,35 @@ def test_sibling_pairs(spark):
     got = {r["pair_id"]: r for r in chat.preference_records(chat.sibling_pairs(table)).collect()}
     assert "b" in got[2]["rejected"] and "a" in got[2]["chosen"] and got[2]["prompt_turns"] == 1
     assert got[5]["rejected"] == "" and got[7]["prompt_turns"] == 1 and got[7]["chosen"] == ""
+
+
+def test_texts_are_shuffled_once(spark):
+    table = spark.createDataFrame([(2, 0, "user", "q")], "conv_id long, turn long, role string, text string")
+    for records in (chat.preference_records(chat.sibling_pairs(table), ["siblings"]),
+                    chat.preference_records(spark.createDataFrame(turns("chosen", ("user", "hi")), TURN))):
+        assert records._jdf.queryExecution().executedPlan().toString().count("Exchange hash") == 1
+
+
+def test_no_and_very_many_turns(spark):
+    table = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
+    assert chat.preference_records(chat.sibling_pairs(table), ["siblings"]).count() == 0
+    assert chat.preference_records(spark.createDataFrame([], TURN)).count() == 0
+    n = 100_000
+    role = F.when(F.col("id") % 2 == 0, "user").otherwise("assistant")
+    long = spark.range(n).select(F.lit(1).cast("long").alias("pair_id"), F.explode(F.array(F.lit("chosen"), F.lit("rejected")))
+                                 .alias("side"), F.col("id").cast("int").alias("turn"), role.alias("role"),
+                                 F.concat(F.lit("t"), F.col("id")).alias("text"))
+    changed = long.withColumn("text", F.when((F.col("side") == "rejected") & (F.col("turn") == n // 2), "other")
+                              .otherwise(F.col("text")))
+    got = chat.preference_records(changed).first()
+    assert got["prompt_turns"] == n // 2 and len(got["chosen_mask"]) == n // 4
+    start, end = got["chosen_mask"][-1]
+    assert got["chosen"][start:end] == f"t{n - 1}" + chat.END and end == len(got["chosen"])
+
+
+def test_replies_of_null_and_repeated_turns(spark):
+    rows = [(2, None, "assistant", "a"), (2, None, "user", None), (3, 1, "assistant", None), (3, 1, "assistant", None),
+            (None, 1, "user", "lost")]
+    table = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = {r["pair_id"]: r for r in chat.preference_records(chat.sibling_pairs(table), ["siblings"]).collect()}
+    assert set(got) == {2, 3} and got[3]["chosen"].endswith("\n<|end|>\n") and "a<|end|>" in got[3]["rejected"]
