@@ -115,18 +115,33 @@ SELECT doc_id, n_removed, spans, CASE WHEN text IS NOT NULL THEN kept END AS tex
        coalesce(longest_removed, 0) AS longest_removed, coalesce(longest_removed, 0) >= 20 AS repeats_passage
 FROM s JOIN d USING (doc_id) LEFT JOIN m USING (doc_id)"""
 
-_KNOWN = ", ".join(f"({_text(text)}, '{name}')" for name, texts in licences.SENTENCES.items() for text in texts)
+_KNOWN = ", ".join(f"({_text(head)}, {_text(tail)}, '{name}')" for head, tail, name in licences.known_sentences(licences.SENTENCES))
 _RULE_TEXTS = ["".join(f",{s}," for s in rule) for _, rule in licences.RULES]
 _NAMES = " ".join(f"WHEN '{text}' THEN '{name}'" for text, (name, _) in zip(_RULE_TEXTS, licences.RULES))
 _TAKEN = f"regexp_extract_all(sequence, '{'|'.join(_RULE_TEXTS)}')"
 ORACLES["op9_licence_scan"] = f"""
-WITH k(sentence, known) AS (VALUES {_KNOWN}),
- d AS (SELECT doc_id, string_split_regex(coalesce(text, ''), {_text(licences.SENTENCE_END)}) AS ps FROM documents),
- p AS (SELECT doc_id, i, trim(regexp_replace(lower(ps[i]), '[^a-z0-9]+', ' ', 'g')) AS sentence
+WITH RECURSIVE k(head, tail, name) AS (VALUES {_KNOWN}),
+ y AS (SELECT *, array_to_string(string_split(head, ' ')[1:3], ' ') AS key FROM k),
+ d AS (SELECT doc_id, list_filter(list_transform(string_split_regex(coalesce(text, ''), {_text(licences.SENTENCE_END)}),
+     lambda x: CASE WHEN NOT regexp_matches(lower(x), '[a-z0-9]') AND regexp_matches(x, '[\\p{{L}}\\p{{N}}]') THEN '~'
+                    ELSE trim(regexp_replace(lower(x), '[^a-z0-9]+', ' ', 'g')) END),
+     lambda x: x != '') AS ps FROM documents),
+ v AS (SELECT doc_id, ps, i, unnest([ps[i], regexp_replace(ps[i], '^{licences.ENTRY} ', '')]) AS first, unnest([0, 1]) AS bare
        FROM (SELECT *, unnest(range(1, len(ps) + 1)) AS i FROM d)),
- f AS (SELECT doc_id, i, known, i - lag(i) OVER (PARTITION BY doc_id ORDER BY i) AS step FROM p JOIN k USING (sentence)),
- s AS (SELECT doc_id, count(*) AS n, string_agg(CASE WHEN step > 1 THEN ',' ELSE '' END || ',' || known || ',', '' ORDER BY i) AS q
-       FROM f GROUP BY 1),
+ c AS (SELECT * FROM v SEMI JOIN y ON y.key = array_to_string(string_split(concat_ws(' ', first, ps[i + 1], ps[i + 2]), ' ')[1:3], ' ')
+       QUALIFY row_number() OVER (PARTITION BY doc_id, i ORDER BY bare) = 1),
+ r AS (SELECT doc_id, i, j, array_to_string(list_concat([first], ps[i + 1:j]), ' ') AS run
+       FROM (SELECT *, unnest(range(i, least(len(ps), i + 150) + 1)) AS j FROM c)),
+ f AS (SELECT doc_id, i, name, min(j) AS j FROM r JOIN k ON CASE WHEN tail = '' THEN run = head ELSE
+         starts_with(run, head) AND ends_with(run, tail) AND length(run) - length(head) - length(tail) < {licences.STAR_CHARS} END
+       GROUP BY ALL),
+ b AS (SELECT * FROM f QUALIFY row_number() OVER (PARTITION BY doc_id, i ORDER BY j DESC, name DESC) = 1),
+ g AS (SELECT * FROM (SELECT doc_id, i, j, name, 0 AS before FROM b QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY i) = 1)
+       UNION ALL
+       SELECT * FROM (SELECT b.doc_id, b.i, b.j, b.name, g.j AS before FROM g JOIN b ON b.doc_id = g.doc_id AND b.i > g.j
+                      QUALIFY row_number() OVER (PARTITION BY b.doc_id ORDER BY b.i) = 1)),
+ s AS (SELECT doc_id, count(*) AS n, string_agg(CASE WHEN before > 0 AND len(list_filter(ps[before + 1:i - 1], lambda x: NOT regexp_full_match(x, '{licences.ENTRY}'))) > 0 THEN ',' ELSE '' END || ',' || name || ',', '' ORDER BY i) AS q
+       FROM g JOIN d USING (doc_id) GROUP BY 1),
  o AS (SELECT doc_id, coalesce(n, 0) AS n_sentences, coalesce(q, '') AS sequence FROM d LEFT JOIN s USING (doc_id))
 SELECT *, array_to_string(list_transform({_TAKEN}, lambda x: CASE x {_NAMES} END), ',') AS licences FROM o"""
 

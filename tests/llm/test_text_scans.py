@@ -179,6 +179,48 @@ def test_wrapped_notices_are_recognised(spark):
         assert found[i] == (sequence, names, len(re.findall("[a-z0-9-]+", sequence))), text
 
 
+BSD_NAME = """
+3. Neither the name of the copyright holder nor the names of its contributors
+   may be used to endorse or promote products derived from this software without
+   specific prior written permission.
+"""
+ISC = """Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies."""
+
+
+def test_more_licences(spark):
+    agpl = GPL.replace("GNU General Public License as", "GNU Affero General Public License as")
+    lgpl = GPL.replace("GNU General Public License as", "GNU Lesser General Public License as").replace(
+        "This program", "This library").replace("version 3", "version 2.1")
+    wanted = [
+        (BSD + BSD_NAME, ["all-rights-reserved", "BSD-3-Clause"]),
+        (BSD + BSD_NAME.replace("the copyright holder", "ACME Research and Sons, Inc."), ["all-rights-reserved", "BSD-3-Clause"]),
+        (BSD + BSD_NAME.replace("the copyright holder", "x" * 200), ["all-rights-reserved", "BSD-2-Clause"]),
+        (" ".join((BSD + BSD_NAME).split()), ["all-rights-reserved", "BSD-3-Clause"]),
+        (ISC, ["ISC"]), (agpl, ["AGPL-3.0-or-later"]), (lgpl, ["LGPL-2.1-or-later"]),
+        (GPL.replace("version 3", "version 2"), ["GPL-2.0-or-later"]),
+        ("This is free and unencumbered software released into the public domain.", ["Unlicense"]),
+        ("# SPDX-License-Identifier: Apache-2.0\ncode", ["Apache-2.0"]),
+        ("// SPDX-License-Identifier: GPL-2.0-or-later\n", ["GPL-2.0-or-later"]),
+        ("This work is licensed under a Creative Commons Attribution-ShareAlike 4.0\nInternational License.", ["CC-BY-SA-4.0"]),
+        ("To the extent possible under law, A. Person has waived all copyright\nand related or neighboring rights to this work.",
+         ["CC0-1.0"])]
+    docs = spark.createDataFrame([(i, w[0]) for i, w in enumerate(wanted)], "doc_id long, text string")
+    found = {r["doc_id"]: r["licences"] for r in licences.licences(docs).collect()}
+    for i, (text, names) in enumerate(wanted):
+        assert found[i] == names, text
+
+
+def test_licence_tables_of_any_size(spark):
+    many = {f"s{i}": [f"known sentence of number {i} that is looked up", f"the number is {i} * ends here"] for i in range(2_000)}
+    rules = (("pair", ("s7", "s9")), ("one", ("s7",)))
+    texts = ["Known sentence of number 7\nthat is looked up. The number is 9 whatever it may be, ends here.", "the number is 7 or so ends here"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r["doc_id"]: (r["sequence"], r["licences"]) for r in licences.licences(docs, many, rules).collect()}
+    assert found == {0: (",s7,,s9,", ["pair"]), 1: (",s7,", ["one"])}
+
+
 LINE = "This line has more than six words in it"
 
 
