@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from caseloom.functions import guards, rounding
+from caseloom.functions import guards, moments, rounding
 from caseloom.functions.epiweek import month_name_of
 from caseloom.operators.models import Buckets
 from caseloom.plans.star_queries import first_years_ranked, window_total
@@ -129,7 +129,8 @@ def q09_bucket(buckets: Buckets, threshold: float = 2.0, k: int = 50) -> DataFra
                        F.col(YEAR).alias("year"))
               .agg(F.sum(F.col(CASES)).alias("state_total")))
     nation = Window.partitionBy("disease_name", "year")
-    mean, std = F.avg("state_total").over(nation), F.stddev_pop("state_total").over(nation)
+    total = F.col("state_total")
+    mean, std = moments.mean(total, nation), moments.deviation(total, nation, sample=False)
     # The order is by the unrounded score; beyond nine digits it is floating-point noise.
     return (totals.withColumns({"mean": mean, "std": std}).filter(F.col("std") > 0)
             .withColumn("z", (F.col("state_total") - F.col("mean")) / F.col("std"))

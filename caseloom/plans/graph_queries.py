@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from caseloom.functions import guards, nested, rounding
+from caseloom.functions import guards, moments, nested, rounding
 from caseloom.functions.epiweek import month_index
 from caseloom.operators.models import Graph
 from caseloom.plans.star_queries import window_total
@@ -118,7 +118,8 @@ def q09_graph(graph: Graph, threshold: float = 2.0, k: int = 50) -> DataFrame:
               .groupBy(F.col("disease").alias("disease_name"), "state_name", "year")
               .agg(F.sum("total_cases").alias("state_total")))
     nation = Window.partitionBy("disease_name", "year")
-    mean, std = F.avg("state_total").over(nation), F.stddev_samp("state_total").over(nation)
+    total = F.col("state_total")
+    mean, std = moments.mean(total, nation), moments.deviation(total, nation)
     return (totals.withColumns({"mean": mean, "std": std}).filter(F.col("std") > 0)
             .withColumn("z", (F.col("state_total") - F.col("mean")) / F.col("std"))
             .filter(F.col("z") > threshold)

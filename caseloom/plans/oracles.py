@@ -412,6 +412,9 @@ WITH c AS ({_BY_REGION.format(where="WHERE loc_type = 'STATE' AND year <= 1998")
 SELECT * FROM u UNION ALL
 SELECT * FROM c WHERE NOT EXISTS (SELECT 1 FROM u WHERE u.disease = c.disease AND u.region = c.region
                                   AND u.year = c.year AND u.month = c.month)""")
+ORACLES["week_ranks"] = _sql("t", """
+SELECT disease, state, loc, loc_type, epi_week, cases, rank() OVER (ORDER BY cases DESC) AS case_rank,
+       row_number() OVER (ORDER BY cases DESC, disease, state, loc, loc_type, epi_week) AS place FROM t""")
 ORACLES["merge_partitions"] = ORACLES["merge_replace"]
 ORACLES["summary_decade_national"] = _sql("bku", f"""
 SELECT disease, decade, {_total('total_cases')} AS total_cases, {_BUCKET_RATE} AS avg_incidence_rate,

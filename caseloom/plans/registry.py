@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from caseloom import schemas
 from caseloom.functions import epiweek, guards, nested, rounding, text
 from caseloom.operators import (
-    clean, graph, olap, partials, population, quality, reconcile, summaries)
+    clean, graph, olap, partials, population, quality, ranking, reconcile, summaries)
 from caseloom.plans import catalog, graph_queries
 from caseloom.plans.warehouse import Sources, Warehouse, open_warehouse
 from caseloom.sources import binding, events, observations, tables
@@ -577,6 +577,15 @@ def _merge(wh, sf_dir):
     return tables.read_table(wh.spark, f"{base}/v2", current.schema)
 
 
+@register("week_ranks")
+def _week_ranks(wh, sf_dir):
+    """Every reported week by its cases: RANK with its heavy ties, and the place in a total order."""
+    weeks = wh.table("observations").select("disease", "state", "loc", "loc_type", "epi_week", "cases")
+    names = [F.col(c).asc() for c in ("disease", "state", "loc", "loc_type", "epi_week")]
+    ranked = ranking.ranks(weeks, ["cases"], descending=True, name="case_rank")
+    return ranking.ordinals(ranked, [F.col("cases").desc(), *names], name="place")
+
+
 @register("merge_partitions")
 def _merge_partitions(wh, sf_dir):
     """The same merge in place, on a table stored by year: only the years updated are rewritten."""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from caseloom.functions import guards, rounding
+from caseloom.functions import guards, moments, rounding
 from caseloom.operators.models import Star
 
 
@@ -72,12 +72,6 @@ def _state_years(star: Star) -> DataFrame:
             .groupBy("state_name", "year", "disease_name").agg(_cases()))
 
 
-def correlation(x: str, y: str):
-    """Pearson correlation; null when either side is constant."""
-    spread = F.stddev_pop(x) * F.stddev_pop(y)
-    return F.covar_pop(x, y) / F.nullif(spread, F.lit(0.0))
-
-
 def q06_star(star: Star, floor: int = 100, min_pairs: int = 10) -> DataFrame:
     """Disease pairs in the same state and year, with the correlation of their totals.
 
@@ -86,13 +80,13 @@ def q06_star(star: Star, floor: int = 100, min_pairs: int = 10) -> DataFrame:
     """
     busy = _state_years(star).filter(F.col("total_cases") > floor)
     a = busy.select("state_name", "year", F.col("disease_name").alias("disease_a"),
-                    F.col("total_cases").cast("double").alias("cases_a"))
+                    F.col("total_cases").alias("cases_a"))
     b = busy.select("state_name", "year", F.col("disease_name").alias("disease_b"),
-                    F.col("total_cases").cast("double").alias("cases_b"))
+                    F.col("total_cases").alias("cases_b"))
     return (a.join(b, ["state_name", "year"]).filter(F.col("disease_a") < F.col("disease_b"))
             .groupBy("disease_a", "disease_b")
             .agg(F.count("*").alias("co_occurrence_count"),
-                 rounding.half_up(correlation("cases_a", "cases_b"), 3).alias("correlation"))
+                 rounding.half_up(moments.correlation(F.col("cases_a"), F.col("cases_b")), 3).alias("correlation"))
             .filter(F.col("co_occurrence_count") > min_pairs)
             .orderBy(F.desc_nulls_first("correlation"), "disease_a", "disease_b"))
 
@@ -152,7 +146,8 @@ def q09_star(star: Star, threshold: float = 2.0, k: int = 50) -> DataFrame:
     """State-years more than ``threshold`` sample deviations above the national mean."""
     totals = _state_years(star).withColumnRenamed("total_cases", "state_total")
     nation = Window.partitionBy("disease_name", "year")
-    mean, std = F.avg("state_total").over(nation), F.stddev_samp("state_total").over(nation)
+    total = F.col("state_total")
+    mean, std = moments.mean(total, nation), moments.deviation(total, nation)
     return (totals.withColumns({"mean": mean, "std": std}).filter(F.col("std") > 0)
             .withColumn("z", (F.col("state_total") - F.col("mean")) / F.col("std"))
             .filter(F.col("z") > threshold)
