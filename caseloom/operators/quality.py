@@ -156,6 +156,7 @@ UNIQUE_KEYS = {
     "dim_time": ["epi_week"],
     "dim_location": ["city_name", "state_code", "loc_type"],
     "dim_disease": ["disease_name"],
+    "fact": ["incidence_key"],
     "mv_monthly_disease_state": ["disease_name", "state_name", "year", "month"],
 }
 REQUIRED_COLUMNS = {

@@ -10,7 +10,7 @@ from caseloom.functions.epiweek import decade_of, with_time_fields, year_of
 from caseloom.functions.text import true_text
 
 
-def dense_keys(df: DataFrame, key: str, group: list[str], order: list[str]) -> DataFrame:
+def dense_keys(df: DataFrame, key: str, group: list[str], order: list[str], kind: str = "int") -> DataFrame:
     """Numbers rows 1..n in the order (group, order) without one global sort.
 
     Rows are numbered inside their group and shifted by the size of all earlier groups;
@@ -28,7 +28,7 @@ def dense_keys(df: DataFrame, key: str, group: list[str], order: list[str]) -> D
         same = term if same is None else same & term
     inside = Window.partitionBy(*group).orderBy(*[F.col(c).asc_nulls_first() for c in order])
     return (df.withColumn("_place", F.row_number().over(inside)).join(offsets, same)
-            .withColumn(key, (F.col("_place") + F.col("_offset")).cast("int"))
+            .withColumn(key, (F.col("_place") + F.col("_offset")).cast(kind))
             .drop("_place", "_offset", *[f"_g_{c}" for c in group]))
 
 
@@ -90,8 +90,9 @@ def build_fact(obs: DataFrame, dim_time: DataFrame, dim_location: DataFrame,
     """One row per observation whose week, place and disease are all known.
 
     Population is looked up by (state, decade) and stays null on city rows. ``loc_type``
-    and ``decade`` are the partition columns of the stored table. The key is a hash of the
-    row, so a repeated task gives its rows the same keys again.
+    and ``decade`` are the partition columns of the stored table. The key numbers the rows of
+    a week and disease, shifted by the size of all earlier groups, so it is unique also where
+    observations repeat; only rows equal in every column could swap keys if a task is repeated.
     """
     weeks = dim_time.select("epi_week", "time_key")
     kinds = dim_disease.select(F.col("disease_name").alias("disease"), "disease_key")
@@ -99,10 +100,10 @@ def build_fact(obs: DataFrame, dim_time: DataFrame, dim_location: DataFrame,
     rows = (_located(obs, dim_location).join(weeks, "epi_week").join(kinds, "disease")
             .withColumn("decade", decade_of(year_of(F.col("epi_week"))))
             .join(people, ["state", "decade"], "left"))
-    return conform(rows.select(
-        F.xxhash64("time_key", "location_key", "disease_key", "cases", "incidence_per_100000")
-        .alias("incidence_key"), "time_key", "location_key",
-        "disease_key", F.col("cases").alias("case_count"),
+    keyed = dense_keys(rows, "incidence_key", ["time_key", "disease_key"],
+                       ["location_key", "cases", "incidence_per_100000"], "long")
+    return conform(keyed.select(
+        "incidence_key", "time_key", "location_key", "disease_key", F.col("cases").alias("case_count"),
         F.col("incidence_per_100000").cast(schemas.RATE).alias("incidence_rate"),
         F.when(F.col("loc_type") == "STATE", F.col("population")).alias("population"),
         year_of(F.col("epi_week")).alias("year"), "loc_type", "decade"), schemas.FACT)

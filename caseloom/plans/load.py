@@ -25,23 +25,26 @@ class QualityError(ValueError):
     """The raw data fails a check that must hold before a load."""
 
 
-def read_sources(spark: SparkSession, path: str, reference: ReferencePaths) -> Sources:
+def read_sources(spark: SparkSession, path: str, reference: ReferencePaths,
+                 layout: files.Layout | None = None) -> Sources:
     """Cleaned observations and the reference tables of one data set."""
     return Sources(
-        clean.clean_observations(files.scan_observations(spark, path)),
+        clean.clean_observations(files.scan_observations(spark, path, layout)),
         files.scan_regions(spark, reference.regions),
         files.scan_diseases(spark, reference.diseases),
         files.scan_populations(spark, reference.populations),
         files.scan_borders(spark, reference.borders))
 
 
-def check_raw(spark: SparkSession, path: str, reference: ReferencePaths) -> DataFrame:
+def check_raw(spark: SparkSession, path: str, reference: ReferencePaths,
+              layout: files.Layout | None = None) -> DataFrame:
     """The one-row quality report; raises when a file lacks columns or the score is too low."""
-    missing = files.missing_by_file(spark, path)
+    layout = layout or files.scan_layout(spark, path)
+    missing = files.missing_by_file(spark, path, layout=layout)
     if missing:
         raise QualityError(f"missing columns: {missing}")
     report = quality.issue_counts(
-        files.scan_observations(spark, path), files.scan_regions(spark, reference.regions),
+        files.scan_observations(spark, path, layout), files.scan_regions(spark, reference.regions),
         files.scan_diseases(spark, reference.diseases))
     verdict = report.first()
     if not verdict["passed"]:
@@ -60,12 +63,13 @@ def load_files(spark: SparkSession, folder: str, reference: ReferencePaths, root
     and one per reason for which cleaning drops rows (status ``dropped``).
     """
     path = files.resolve_active(spark, folder, active, fallbacks)
+    layout = files.scan_layout(spark, path)
     if check:
-        check_raw(spark, path, reference)
-    warehouse = Warehouse(spark, root, lambda: read_sources(spark, path, reference))
+        check_raw(spark, path, reference, layout)
+    warehouse = Warehouse(spark, root, lambda: read_sources(spark, path, reference, layout))
     label = files.source_label(F.lit(path))
     status = warehouse.load(full_refresh)
-    dropped = clean.dropped_rows(files.scan_observations(spark, path)).drop("rows_read")
+    dropped = clean.dropped_rows(files.scan_observations(spark, path, layout)).drop("rows_read")
     reasons = dropped.unpivot([], dropped.columns, "table_name", "row_count").select(
         "table_name", F.lit("dropped").alias("status"), "row_count",
         F.lit(0.0).alias("execution_time_ms"))

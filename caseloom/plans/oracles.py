@@ -513,6 +513,8 @@ WITH v AS (
  UNION ALL SELECT 'City', (SELECT count(*) FROM (SELECT state, city FROM
      (SELECT DISTINCT state, loc, city FROM t WHERE loc_type = 'CITY') x GROUP BY ALL HAVING count(*) > 1) d))
 SELECT table_name, CAST(v AS BIGINT) AS violations FROM v""")
+ORACLES["quality_fact_keys"] = _sql("t", """
+SELECT count(*) AS row_count, count(*) AS key_count, CAST(1 AS BIGINT) AS first_key, count(*) AS last_key FROM t""")
 ORACLES["quality_orphans"] = _sql("t dz rg", """
 SELECT 'time_key' AS key_name, (SELECT count(*) FROM t WHERE epi_week IS NULL) AS violations
 UNION ALL SELECT 'location_key', (SELECT count(*) FROM t WHERE state NOT IN (SELECT state FROM rg))

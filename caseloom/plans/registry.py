@@ -352,10 +352,18 @@ def _unique(wh, sf_dir):
               **wh.full_graph().nodes}
     return reconcile.profile({"unique": {
         name: quality.duplicate_keys(frames[name], keys)
-        for name, keys in {**quality.UNIQUE_KEYS, **quality.NODE_KEYS}.items()}}).select(
+        for name, keys in {**quality.UNIQUE_KEYS, **quality.NODE_KEYS}.items() if name in frames}}).select(
             F.col("name").alias("table_name"), F.col("row_count").alias("violations"))
 
 
+@register("quality_fact_keys")
+def _fact_keys(wh, sf_dir):
+    """Rows of the fact, distinct keys, and the first and last key: 1 to the number of rows."""
+    return wh.table("fact").agg(
+        F.count("*").alias("row_count"), F.count_distinct("incidence_key").alias("key_count"),
+        F.min("incidence_key").alias("first_key"), F.max("incidence_key").alias("last_key"))
+
+
 @register("quality_orphans")
 def _orphans(wh, sf_dir):
     """Fact rows per foreign key that miss their dimension row; all must be 0."""

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import csv
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
+from urllib.parse import urlparse
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,42 +26,65 @@ def csv_files(spark: SparkSession, path: str | list[str]) -> list[str]:
     return sorted(spark.read.text(path).inputFiles())
 
 
-def scan_headers(spark: SparkSession, path: str | list[str]) -> dict[str, list[str]]:
-    """Column names in the first line of every file; an empty file has none."""
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    headers = {}
+@dataclass(frozen=True)
+class Layout:
+    """What the first look at the files tells: their headers, and which hold line breaks in cells."""
+
+    headers: Mapping[str, list[str]]
+    wrapped: frozenset[str]
+
+
+def scan_layout(spark: SparkSession, path: str | list[str]) -> Layout:
+    """Headers and line breaks of all files by one distributed pass over their lines.
+
+    A line with an odd number of quotes leaves a cell open, so the next line belongs to it.
+    One row per file reaches the driver, as its name does.
+    """
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"), "value", (quotes % 2 == 1).alias("open"),
+        F.struct(F.col("_metadata.file_block_start").alias("block"),
+                 F.monotonically_increasing_id().alias("line")).alias("place"))
+    found = lines.groupBy("file").agg(
+        F.min_by("value", "place").alias("first"), F.max("open").alias("open")).collect()
+    by_path = {urlparse(r["file"]).path: r for r in found}
+    headers, wrapped = {}, set()
     for name in csv_files(spark, path):
-        location = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(name))
-        stream = location.getFileSystem(conf).open(location)
-        try:
-            reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
-            first = reader.readLine()
-        finally:
-            stream.close()
-        cells = next(csv.reader([first or ""]), [])
+        row = by_path.get(urlparse(name).path)
+        cells = next(csv.reader([row["first"] if row else ""]), [])
         headers[name] = [cell.strip().removeprefix("\ufeff") for cell in cells]
-    return headers
+        if row and row["open"]:
+            wrapped.add(name)
+    return Layout(headers, frozenset(wrapped))
+
+
+def scan_headers(spark: SparkSession, path: str | list[str]) -> dict[str, list[str]]:
+    """Column names in the first line of every file; an empty file has none."""
+    return dict(scan_layout(spark, path).headers)
 
 
-def scan_csv(spark: SparkSession, path: str | list[str], schema: T.StructType) -> DataFrame:
+def scan_csv(spark: SparkSession, path: str | list[str], schema: T.StructType,
+             layout: Layout | None = None) -> DataFrame:
     """Columns of a schema by their names, whatever the order in each file.
 
     Files may hold further columns, quotes are doubled inside quoted cells, and quoted cells
-    may hold line breaks, so each file is one task. A file without one of the columns gives
-    nulls there; ``missing_by_file`` tells which. Files with equal headers are read together.
+    may hold line breaks. Only a file that has such cells is one task, all others are split.
+    A file without one of the columns gives nulls there; ``missing_by_file`` tells which. Files
+    with equal headers are read together. ``layout`` saves another look at the files.
     """
-    groups: dict[tuple[str, ...], list[str]] = {}
-    for name, header in scan_headers(spark, path).items():
+    layout = layout or scan_layout(spark, path)
+    groups: dict[tuple[tuple[str, ...], bool], list[str]] = {}
+    for name, header in layout.headers.items():
         if header:
-            groups.setdefault(tuple(header), []).append(name)
+            groups.setdefault((tuple(header), name in layout.wrapped), []).append(name)
     parts = None
-    for header, names in groups.items():
+    for (header, wrapped), names in groups.items():
         # Columns that are not asked for keep a place and nothing else.
         fields = [schema[c] if c in schema.fieldNames() and header.index(c) == place
                   else T.StructField(f"_unused_{place}", T.StringType())
                   for place, c in enumerate(header)]
         read = (spark.read.schema(T.StructType(fields)).option("header", True)
-                .option("escape", '"').option("multiLine", True).csv(names))
+                .option("escape", '"').option("multiLine", wrapped).csv(names))
         part = read.select(*[F.col(f.name) if f.name in read.columns
                              else F.lit(None).cast(f.dataType).alias(f.name) for f in schema],
                            F.col("_metadata.file_path").alias(FILE))
@@ -70,16 +95,17 @@ def scan_csv(spark: SparkSession, path: str | list[str], schema: T.StructType) -
 
 
 def missing_by_file(spark: SparkSession, path: str | list[str],
-                    required: Sequence[str] = schemas.RAW_COLUMNS) -> dict[str, list[str]]:
+                    required: Sequence[str] = schemas.RAW_COLUMNS,
+                    layout: Layout | None = None) -> dict[str, list[str]]:
     """Required columns that a file lacks, for the files that lack any."""
-    lacking = {name: sorted(set(required) - set(header))
-               for name, header in scan_headers(spark, path).items()}
+    headers = (layout or scan_layout(spark, path)).headers
+    lacking = {name: sorted(set(required) - set(header)) for name, header in headers.items()}
     return {name: columns for name, columns in lacking.items() if columns}
 
 
-def scan_observations(spark: SparkSession, path: str | list[str]) -> DataFrame:
+def scan_observations(spark: SparkSession, path: str | list[str], layout: Layout | None = None) -> DataFrame:
     """Raw observations as the texts in the cells; only empty cells are null."""
-    return scan_csv(spark, path, schemas.RAW).drop(FILE)
+    return scan_csv(spark, path, schemas.RAW, layout).drop(FILE)
 
 
 def source_label(file_name: Column) -> Column:

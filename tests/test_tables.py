@@ -5,7 +5,7 @@ import pathlib
 import pytest
 from pyspark.sql import functions as F
 
-from caseloom.sources import tables
+from caseloom.sources import observations, tables
 
 SCHEMA = "part string, k long, v long"
 
@@ -90,3 +90,33 @@ def test_an_interrupted_refresh_is_undone(spark, hundred):
     pathlib.Path(path).rename(f"{path}.old")
     assert tables.table_exists(spark, path) and rows_in(spark, path, schema) == old
     assert not tables.table_exists(spark, f"{path}-none")
+
+
+def test_only_files_with_wrapped_cells_are_read_whole(spark, tmp_path):
+    header = "epi_week,state,loc,loc_type,disease,cases,incidence_per_100000"
+    (tmp_path / "plain.csv").write_text(header + "\n" + "".join(f'2001{k:02},AA,"A ""x"", b",STATE,FLU,{k},1\n' for k in range(10, 30)))
+    (tmp_path / "wrapped é.csv").write_text(f'﻿{header}\n200101,AA,"two\nlines",STATE,FLU,1,1\n')
+    (tmp_path / "empty.csv").write_text("")
+    layout = observations.scan_layout(spark, str(tmp_path))
+    names = {pathlib.PurePath(n).name: h for n, h in layout.headers.items()}
+    assert names.pop("empty.csv") == [] and set(map(tuple, names.values())) == {tuple(header.split(","))}
+    assert ["wrapped" in n for n in layout.wrapped] == [True]
+    rows = observations.scan_observations(spark, str(tmp_path), layout)
+    assert rows.count() == 21 and {r["loc"] for r in rows.select("loc").distinct().collect()} == {'A "x", b', "two\nlines"}
+    size = (tmp_path / "plain.csv").stat().st_size
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(size // 3))
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        split = observations.scan_observations(spark, str(tmp_path / "plain.csv"))
+        assert split.rdd.getNumPartitions() > 1 and split.count() == 20
+        again = observations.scan_layout(spark, str(tmp_path / "plain.csv"))
+        assert [h for h in again.headers.values()] == [header.split(",")] and not again.wrapped
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_equal_observations_get_keys_of_their_own(spark, small):
+    twice = small.obs.unionByName(small.obs)
+    keys = [r["incidence_key"] for r in small.star(twice).fact.select("incidence_key").collect()]
+    assert sorted(keys) == list(range(1, len(keys) + 1))
