@@ -5,7 +5,7 @@ from __future__ import annotations
 import csv
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
-from urllib.parse import urlparse
+from urllib.parse import unquote, urlparse
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -47,10 +47,10 @@ def scan_layout(spark: SparkSession, path: str | list[str]) -> Layout:
                  F.monotonically_increasing_id().alias("line")).alias("place"))
     found = lines.groupBy("file").agg(
         F.min_by("value", "place").alias("first"), F.max("open").alias("open")).collect()
-    by_path = {urlparse(r["file"]).path: r for r in found}
+    by_path = {unquote(urlparse(r["file"]).path): r for r in found}
     headers, wrapped = {}, set()
     for name in csv_files(spark, path):
-        row = by_path.get(urlparse(name).path)
+        row = by_path.get(unquote(urlparse(name).path))
         cells = next(csv.reader([row["first"] if row else ""]), [])
         headers[name] = [cell.strip().removeprefix("\ufeff") for cell in cells]
         if row and row["open"]:
@@ -84,7 +84,7 @@ def scan_csv(spark: SparkSession, path: str | list[str], schema: T.StructType,
                   else T.StructField(f"_unused_{place}", T.StringType())
                   for place, c in enumerate(header)]
         read = (spark.read.schema(T.StructType(fields)).option("header", True)
-                .option("escape", '"').option("multiLine", wrapped).csv(names))
+                .option("escape", '"').option("multiLine", wrapped).csv([unquote(n) for n in names]))
         part = read.select(*[F.col(f.name) if f.name in read.columns
                              else F.lit(None).cast(f.dataType).alias(f.name) for f in schema],
                            F.col("_metadata.file_path").alias(FILE))
