@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import importlib
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 from caseloom.llm import (
     chat, decontaminate, fingerprint, jaccard, licences, mixing, oracles, repeats, resample, secrets,
     shards, spelling, tokencounts, toxicity)
+from caseloom.llm.common import shared_root
 
 TOKENIZER = "byte_bpe_50k.json"
 #: Words of removed lines in a row that count as a repeated passage and not as a repeated phrase.
@@ -42,10 +44,11 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Secrets in every document, scanned once per distinct text with an empty ledger."""
+    """Secrets in every document, each distinct text scanned once, by a ledger that starts empty."""
     versions = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    findings = secrets.scan_blobs(secrets.unseen_blobs(versions, ledger=None))
-    found = secrets.located(versions.select("doc_id", "text"), findings)
+    ledger = secrets.Ledger(spark, f"{shared_root(spark)}/ledger-{uuid.uuid4().hex[:12]}")
+    ledger.scan(versions)
+    found = secrets.located(versions, ledger.findings())
     return found.select("doc_id", "n_assign", "n_access", "n_hex",
                         F.sha2("spans", 256).alias("base_sha256"), "spans", "blob")
 

@@ -7,11 +7,14 @@ all paths that ever held the blob. Built-in functions only.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from caseloom.llm.common import small_side, written
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -34,6 +37,8 @@ RULES = (
     Rule("hex", "[0-9a-f]{16,}", 0, 16),
 )
 RULE_VERSION = "base-1"
+FINDING = "blob string, rule_version string, kind string, kind_order int, start long, end long"
+LEDGER = "blob string, rule_version string"
 
 
 def blob_id(text: Column) -> Column:
@@ -104,12 +109,65 @@ def blob_reports(findings: DataFrame) -> DataFrame:
 def located(versions: DataFrame, findings: DataFrame, text_col: str = "text") -> DataFrame:
     """Every version row with its blob, its counts and its spans (empty if it holds none).
 
-    Repeated rows, null and empty texts each keep their row.
+    Repeated rows, null and empty texts each keep their row. Reports exist for blobs with
+    findings only; they are stored, and broadcast while their counted bytes allow it, so a blob
+    that most paths hold is no hot key.
     """
     added = ("blob", "spans", *(f"n_{rule.kind}" for rule in RULES))
     kept = [c for c in versions.columns if c not in added]
     rows = versions.withColumn("blob", blob_id(F.col(text_col))).select(*kept, "blob")
-    joined = rows.join(blob_reports(findings), "blob", "left")
+    reports = written(blob_reports(findings), "reports")
+    n_bytes = reports.agg(F.sum(F.octet_length("spans") + 160)).first()[0] or 0
+    joined = rows.join(small_side(reports, n_bytes, 1), "blob", "left")
     return joined.select(*kept, "blob",
                          *[F.coalesce(F.col(f"n_{rule.kind}"), F.lit(0)).cast("long").alias(f"n_{rule.kind}")
                            for rule in RULES], F.coalesce("spans", F.lit("")).alias("spans"))
+
+
+class Ledger:
+    """Findings and scanned blobs of all runs, below one shared folder.
+
+    A run stores its findings first and then the blobs it has scanned. A run that ends between
+    the two has not happened: its blobs are scanned again and its findings are not read.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str):
+        self.spark, self.folder = spark, folder.rstrip("/")
+
+    def _stored(self, kind: str, schema: str) -> DataFrame:
+        """Rows of all finished runs, with their ``run``."""
+        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/scanned")
+        system = path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        runs = [s.getPath().getName() for s in system.listStatus(path)] if system.exists(path) else []
+        done = [r for r in runs if system.exists(self._under(path, r))]
+        if not done:
+            return self.spark.createDataFrame([], f"{schema}, run string")
+        return (self.spark.read.schema(f"{schema}, run string").option("basePath", f"{self.folder}/{kind}")
+                .parquet(*[f"{self.folder}/{kind}/{r}" for r in sorted(done)]))
+
+    def _under(self, path, run: str):
+        return self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path, f"{run}/_SUCCESS")
+
+    def scanned(self) -> DataFrame:
+        """(blob, rule_version, run) of what has been scanned."""
+        return self._stored("scanned", LEDGER)
+
+    def findings(self, rule_version: str = RULE_VERSION) -> DataFrame:
+        """Findings of the rule version in all blobs scanned so far, each once."""
+        found = self._stored("findings", FINDING).where(F.col("rule_version") == rule_version)
+        return found.drop("run").distinct()
+
+    def scan(self, versions: DataFrame, rules: tuple[Rule, ...] = RULES, rule_version: str = RULE_VERSION,
+             text_col: str = "text") -> int:
+        """Scans the blobs of ``versions`` that the ledger lacks for the rule version; returns how many."""
+        run = f"run={uuid.uuid4().hex[:16]}"
+        seen = self.scanned()
+        ids = versions.select(blob_id(F.col(text_col)).alias("blob")).distinct().join(
+            seen.where(F.col("rule_version") == rule_version).select("blob"), "blob", "left_anti")
+        fresh = written(ids, "fresh-blobs")
+        n = fresh.count()
+        if n:
+            blobs = unseen_blobs(versions, seen, rule_version, text_col)
+            scan_blobs(blobs, rules, rule_version).write.parquet(f"{self.folder}/findings/{run}")
+            ledger_rows(fresh, rule_version).write.parquet(f"{self.folder}/scanned/{run}")
+        return n

@@ -53,6 +53,30 @@ def test_secret_scan_of_odd_tables(odd, none):
     assert secrets.located(none, secrets.scan_blobs(secrets.unseen_blobs(none, None))).count() == 0
 
 
+def test_ledger_scans_only_what_it_lacks(spark, tmp_path, odd, none):
+    docs = spark.createDataFrame(list(enumerate(TRICKY)) + [(50, TRICKY[0])], "doc_id long, text string")
+    ledger = secrets.Ledger(spark, str(tmp_path / "ledger"))
+    assert ledger.findings().count() == 0 and ledger.scan(none) == 0
+    assert ledger.scan(docs.where("doc_id < 4")) == 4
+    assert ledger.scan(docs) == len(set(t or "" for t in TRICKY)) - 4
+
+    def answers():
+        return {r["doc_id"]: r["spans"] for r in secrets.located(docs, ledger.findings()).collect()}
+    wanted = {**{i: wanted_spans(t) for i, t in enumerate(TRICKY)}, 50: wanted_spans(TRICKY[0])}
+    assert answers() == wanted
+    assert ledger.scan(docs) == 0 and answers() == wanted  # a second run scans nothing
+    assert ledger.scan(docs, rule_version="base-2") == len(set(t or "" for t in TRICKY))
+    assert ledger.findings("base-2").count() == ledger.findings().count() > 0
+    assert ledger.scan(odd) > 0 and answers() == wanted
+
+
+def test_an_unfinished_run_is_scanned_again(spark, tmp_path):
+    docs = spark.createDataFrame([(1, TRICKY[0])], "doc_id long, text string")
+    ledger = secrets.Ledger(spark, str(tmp_path / "ledger"))
+    secrets.scan_blobs(secrets.unseen_blobs(docs, None)).write.parquet(f"{ledger.folder}/findings/run=lost")
+    assert ledger.findings().count() == 0 and ledger.scan(docs) == 1 and ledger.findings().count() == 1
+
+
 ITEM = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda"
 
 
