@@ -59,11 +59,12 @@ def contamination(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW_WORDS,
     empty texts have no words. Repeated rows each get a row. An empty benchmark hits nothing.
 
     The set of windows is broadcast while its counted size stays in the bound; beyond it the
-    windows of the documents are shuffled to the set instead.
+    hashes of the documents' windows are shuffled to the set without any text, and words are
+    brought back for the texts that have one of its hashes.
     """
     grams = item_windows(benchmark, n)
     known = grams.groupBy("length").agg(F.count("*").alias("n"), F.sum(
-        F.length("gram") + F.lit(48)).alias("bytes")).orderBy("length").collect()  # n rows at most
+        F.octet_length("gram") + F.lit(48)).alias("bytes")).orderBy("length").collect()  # n rows at most
     lengths = [row["length"] for row in known]
     fits = sum(row["bytes"] for row in known) <= BROADCAST_BYTES
     empty = F.array().cast("array<bigint>")
@@ -88,10 +89,9 @@ def contamination(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW_WORDS,
     start = F.col("place") - begins
     same_words = F.array_join(F.slice("words", F.greatest(start + 1, F.lit(1)), F.col("length")),
                               " ") == F.col("gram")
-    if fits:
-        hit = scanned.join(F.broadcast(grams), (scanned["hash"] == grams["hash"]) & same_words, "left")
-    else:
-        hit = scanned.join(grams, (scanned["hash"] == grams["hash"]) & same_words, "left")
+    if not fits:
+        return _shuffled(docs, scanned, grams, begins, same_words, id_col, text_col)
+    hit = scanned.join(F.broadcast(grams), (scanned["hash"] == grams["hash"]) & same_words, "left")
     hit = hit.where((F.col("place") == 0) | F.col("gram").isNotNull())
     span = F.when(F.col("place") > 0, F.struct(
         start.cast("int").alias("start"), (start + F.col("length")).cast("int").alias("end")))
@@ -107,6 +107,37 @@ def contamination(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW_WORDS,
                            "items", "spans")
 
 
+def _shuffled(docs: DataFrame, scanned: DataFrame, grams: DataFrame, begins: Column, same_words: Column,
+              id_col: str, text_col: str) -> DataFrame:
+    """``contamination`` for a set of windows that is too large to broadcast.
+
+    A shuffled row is an id, a hash of the text, a place and a hash, so what is moved grows with
+    the words. Rows without hits take no part in the join; they are added at the end.
+    """
+    same = F.col(id_col).eqNullSafe(F.col("__id")) & (F.col("text_hash") == F.col("__hash"))
+    slim = scanned.where("place > 0").select(F.col(id_col).alias("__id"), F.col("text_hash").alias("__hash"),
+                                             "place", "hash")
+    met = written(slim.join(grams, "hash").drop("hash"), "met")
+    held = written(met.select("__id", "__hash").distinct(), "held")
+    texts = docs.select(F.col(id_col), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).alias("text"))
+    back = (texts.join(small_side(held, held.count(), 40), same, "left_semi")
+            .select(id_col, "text_hash", words(F.col("text")).alias("words")).dropDuplicates([id_col, "text_hash"]))
+    start = F.col("place") - begins
+    hits = back.join(met, same).where(same_words).select(
+        "__id", "__hash", F.struct(start.cast("int").alias("start"),
+                                   (start + F.col("length")).cast("int").alias("end")).alias("span"),
+        F.col("item").cast("string").alias("item"))
+    found = written(hits.groupBy("__id", "__hash").agg(
+        F.array_sort(F.collect_set("span")).alias("spans"), F.array_sort(F.collect_set("item")).alias("items")), "hits")
+    n_bytes = found.agg(F.sum(F.size("spans") * 16 + F.size("items") * 40 + 64)).first()[0] or 0
+    rows = texts.select(id_col, "text_hash", F.size(words(F.col("text"))).cast("long").alias("n_words"))
+    none = {c: F.array().cast(found.schema[c].dataType) for c in ("items", "spans")}
+    return (rows.join(small_side(found, n_bytes, 1), same, "left")
+            .select(id_col, "text_hash", "n_words",
+                    F.coalesce(_union_length(F.col("spans")), F.lit(0)).alias("n_hit"),
+                    *[F.coalesce(c, none[c]).alias(c) for c in ("items", "spans")]))
+
+
 def without_hit_words(text: Column, spans: Column) -> Column:
     """The text without the words inside the spans; everything between words stays."""
     gaps = F.split(text, ANY_CASE_WORD, -1)
@@ -137,6 +168,7 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame, remove: str = "documen
     if remove == "documents":
         return docs.join(small_side(bad.drop("__spans"), count, 40), same, "left_anti")
     freed = F.when(F.col("__spans").isNotNull(), without_hit_words(F.col(text_col), F.col("__spans")))
-    joined = docs.join(small_side(bad, count, 400), same, "left")
+    n_bytes = bad.agg(F.sum(F.size("__spans") * 16 + 64)).first()[0] or 0
+    joined = docs.join(small_side(bad, n_bytes, 1), same, "left")
     return joined.select(*[F.coalesce(freed, F.col(c)).alias(c) if c == text_col else F.col(c)
                            for c in docs.columns])

@@ -117,6 +117,25 @@ def test_decontamination_of_odd_tables(spark, odd, none):
     assert decontaminate.decontaminated(odd, benchmark.limit(0)).count() == odd.count()
 
 
+def test_contamination_beyond_the_broadcast_bound(spark, odd, none, sf_dir, monkeypatch):
+    docs, items = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "benchmark"))
+    odd_items = spark.createDataFrame([(1, odd.where("doc_id = 5").first()["text"]), (2, "short"), (3, None)],
+                                      "item_id long, text string")
+    cases = [(docs, items), (odd, odd_items), (none, items), (odd, odd_items.limit(0))]
+
+    def answers():
+        return [sorted(map(repr, decontaminate.contamination(d, b).collect())) for d, b in cases]
+    wanted = answers()
+    monkeypatch.setattr(decontaminate, "BROADCAST_BYTES", -1)
+    monkeypatch.setattr("caseloom.llm.common.BROADCAST_BYTES", -1)
+    assert answers() == wanted and any("spans=[Row" in r for r in wanted[1])
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert answers() == wanted
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_licence_rules_are_ordered(spark, odd, none):
     apache = "Licensed under the Apache License, Version 2.0 (the \"License\");"
     texts = [
