@@ -3,11 +3,11 @@
 Documents with equal shingle sets form a class. The shingle universe of a size band is dealt
 by hash into more parts than two linked sets can differ in, so linked classes agree in a whole
 part: the classes that agree in one part of one band form a tile, and only they can link. Tiles
-are gathered by the class that most of their members agree with, and the members of such a
-gathering are compared in units of bounded size: hashed bitmaps bound the overlap of a pair from
-above, pairs that can still reach the threshold are verified on their sorted shingle arrays, and
-pairs that are already connected are not compared. A unit emits the links that connect, at most
-one less than its members, and never a pair that does not link.
+are gathered by the class that most of their members agree with. In each gathering short hashed
+bitmaps bound the overlap of pairs from above, which leaves clusters of classes that may link.
+The members of a cluster are compared in units of bounded size, on wider bitmaps and then on
+their sorted shingle arrays; pairs that are already connected are not compared. A unit emits the
+links that connect, at most one less than its members, and never a pair that does not link.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from caseloom.llm.common import removed, small_side, written
@@ -55,6 +55,9 @@ SPARE_PARTS = 3
 #: Classes and shingles of a block; a unit of work compares one block, or two of one gathering.
 BLOCK_CLASSES = 2_048
 BLOCK_SHINGLES = 2_000_000
+#: Classes of a block when only short bitmaps are compared, and their bits a shingle.
+FILTER_CLASSES = 8_192
+SHORT_BITS = 2
 #: Bytes that the bitmaps of a unit may take.
 BITMAP_BYTES = 64 * 1024 * 1024
 
@@ -67,17 +70,19 @@ def size_bands(limit: int) -> list[int]:
     return bounds
 
 
-def tile_signatures(shingles: np.ndarray, t: Threshold) -> np.ndarray:
-    """Hashes of the (band, part, content) combinations a set stands for.
+def band_signatures(shingles: np.ndarray, t: Threshold) -> list[tuple[np.ndarray, int]]:
+    """For each band a set stands in: hashes of its (band, part, content) combinations, and how
+    many of them it can spare.
 
-    Of two linked sets of sizes a and b, at least ``SPARE + 1`` of the first
-    ``differences(a, b) + 1 + SPARE`` parts are equal. Either one of them holds shingles, or
-    both sets have more than ``SPARE`` empty parts and then stand for those too.
+    Of two linked sets of sizes a and b, at least ``spare + 1`` of the first
+    ``differences(a, b) + 1 + spare`` parts are equal. Empty parts count where both sets have
+    more than ``spare`` of them, and then stand for themselves; else as many of the equal parts
+    are lost as a set has empty ones. So two linked sets share more hashes than either can spare.
     """
     size = len(shingles)
     differ = t.most(size)
     if not differ:
-        return np.empty(0, np.uint64)
+        return []
     bounds = size_bands(size)
     own = len(bounds) - 2
     bands = [own]
@@ -96,13 +101,19 @@ def tile_signatures(shingles: np.ndarray, t: Threshold) -> np.ndarray:
         counts = np.bincount(part, minlength=parts)[:own_parts]
         named = mixed(np.uint64(band << 32) + np.arange(own_parts, dtype=np.uint64) + np.uint64(1))
         signed = mixed(sums[:own_parts] ^ named)
-        found.append(signed if (counts == 0).sum() > spare else signed[counts > 0])
-    return np.concatenate(found)
+        n_empty = int((counts == 0).sum())
+        found.append((signed, 0) if n_empty > spare else (signed[counts > 0], spare - n_empty))
+    return found
+
+
+def tile_signatures(shingles: np.ndarray, t: Threshold) -> np.ndarray:
+    """The hashes of all bands."""
+    return np.concatenate([np.empty(0, np.uint64), *(found for found, _ in band_signatures(shingles, t))])
 
 
-def bitmap(shingles: np.ndarray) -> bytes:
-    """Bit set of the low hash bits; its width is a power of two that follows the size."""
-    width = 1 << min(20, max(6, int(8 * len(shingles) - 1).bit_length()))
+def bitmap(shingles: np.ndarray, bits: int = 8) -> bytes:
+    """Bit set of the low hash bits; its width is a power of two, so many bits a shingle or more."""
+    width = 1 << min(20, max(6, int(bits * len(shingles) - 1).bit_length()))
     bits = np.zeros(width, np.uint8)
     bits[(shingles & np.uint64(width - 1)).astype(np.int64)] = 1
     return np.packbits(bits, bitorder="little").tobytes()
@@ -123,24 +134,28 @@ def _digest(shingles: np.ndarray) -> bytes:
 
 
 def _described(n: int, t: Threshold):
-    """Rows (id, key, n_shingles, class, alias, signatures) of rows (id, key, text)."""
+    """Rows (id, key, n_shingles, class, alias, short, bands) of rows (id, key, text)."""
+    band = pa.struct([("signatures", pa.list_(pa.int64())), ("spare", pa.int32())])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[bytes] = set()  # a copy in the same task need not stand in the tiles again
         for batch in batches:
-            sizes, classes, aliases, signed = [], [], [], []
+            sizes, classes, aliases, shorts, signed = [], [], [], [], []
             for _, shingles in shingle_sets(batch.column("text"), n):
                 sizes.append(len(shingles))
                 name = _digest(shingles) if len(shingles) else None
                 classes.append(name)
                 aliases.append(name and int.from_bytes(name[:8], "little", signed=True))
-                signed.append(None if name is None or name in seen
-                              else tile_signatures(shingles, t).view(np.int64))
+                shorts.append(None if name is None or name in seen else bitmap(shingles, SHORT_BITS))
+                signed.append(None if name is None or name in seen else [
+                    {"signatures": found.view(np.int64), "spare": spare}
+                    for found, spare in band_signatures(shingles, t)])
                 seen.add(name)
             yield pa.RecordBatch.from_arrays([
                 batch.column("id"), batch.column("key"), pa.array(sizes, pa.int64()),
                 pa.array(classes, pa.binary()), pa.array(aliases, pa.int64()),
-                pa.array(signed, pa.list_(pa.int64()))],
-                ["id", "key", "n_shingles", "class", "alias", "signatures"])
+                pa.array(shorts, pa.binary()), pa.array(signed, pa.list_(band))],
+                ["id", "key", "n_shingles", "class", "alias", "short", "bands"])
     return run
 
 
@@ -153,13 +168,17 @@ def folded(bits: bytes, width: int) -> np.ndarray:
 
 
 def _class_sets(n: int):
-    """Rows (class, shingles as sorted 64-bit integers in bytes) of rows (text)."""
+    """Rows (class, shingles as sorted 64-bit integers in bytes) of rows (text), a class once a task."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[bytes] = set()
         for batch in batches:
             classes, sets = [], []
             for _, shingles in shingle_sets(batch.column("text"), n):
-                classes.append(_digest(shingles))
-                sets.append(shingles.tobytes())
+                name = _digest(shingles)
+                if name not in seen:
+                    seen.add(name)
+                    classes.append(name)
+                    sets.append(shingles.tobytes())
             yield pa.RecordBatch.from_arrays(
                 [pa.array(classes, pa.binary()), pa.array(sets, pa.binary())], ["class", "shingles"])
     return run
@@ -227,10 +246,72 @@ def connecting_links(sets: list[np.ndarray], places: np.ndarray, first_half: int
     return links
 
 
+def likely_clusters(sizes: np.ndarray, maps: list[bytes], t: Threshold) -> tuple[np.ndarray, np.ndarray]:
+    """Clusters of sets whose short bitmaps let them link, as labels, and how many each may link to.
+
+    Linked sets differ so little in size that their bitmaps are as wide or one twice as wide.
+    """
+    widths, degree = np.array([len(m) for m in maps]), np.zeros(len(maps), np.int64)
+    labels = np.arange(len(maps))
+    rows = {w: np.flatnonzero(widths == w) for w in np.unique(widths)}
+    bits = {w: np.stack([np.frombuffer(maps[k], np.uint8) for k in at]).view(np.uint64) for w, at in rows.items()}
+    for w, at in rows.items():
+        wider = rows.get(2 * w, at[:0])
+        half = bits[w].shape[1]
+        others = np.concatenate([at, wider])
+        held = np.concatenate([bits[w], bits[2 * w][:, :half] | bits[2 * w][:, half:]]) if len(wider) else bits[w]
+        for k, i in enumerate(at):
+            js = np.arange(k + 1, len(others))
+            size = sizes[others[js]]
+            js = js[t.den * np.minimum(size, sizes[i]) >= t.num * np.maximum(size, sizes[i])]
+            if not len(js):
+                continue
+            size = sizes[others[js]]
+            only_i = np.bitwise_count(held[k] & ~held[js]).sum(axis=1, dtype=np.int64)
+            only_j = np.bitwise_count(held[js] & ~held[k]).sum(axis=1, dtype=np.int64)
+            able = others[js[t.linked(np.minimum(sizes[i] - only_i, size - only_j), sizes[i], size)]]
+            if len(able):
+                degree[i] += len(able)
+                degree[able] += 1
+                apart = np.unique(labels[able])
+                labels[np.isin(labels, apart[apart != labels[i]])] = labels[i]
+    return labels, degree
+
+
+def _clusters(t: Threshold):
+    """Rows (gathering, class) of rows sorted by unit (gathering, low, high): clusters, by their leader.
+
+    The leader is the class that may link to most others, so copies gather by their original.
+    """
+    def unit(rows: list[tuple]) -> Iterator[tuple[bytes, bytes]]:
+        rows = sorted({r[3]: r for r in rows}.values(), key=lambda r: r[3])
+        if len(rows) < 2:
+            return
+        labels, degree = likely_clusters(np.array([r[4] for r in rows], np.int64), [r[5] for r in rows], t)
+        order = np.lexsort((-degree, labels))
+        starts = np.flatnonzero(np.diff(labels[order], prepend=-1))
+        for members in np.split(order, starts[1:]):
+            if len(members) > 1:
+                yield from ((rows[members[0]][3], rows[k][3]) for k in members)
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        columns = ("gathering", "low", "high", "class", "n_shingles", "short")
+        for batch in batches:
+            yield from zip(*(batch.column(c).to_pylist() for c in columns))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, rows in itertools.groupby(each(batches), key=lambda r: r[:3]):
+            found = list(unit(list(rows)))
+            if found:
+                yield _edges(found).rename_columns(["gathering", "class"])
+    return run
+
+
 def _unit_links(t: Threshold):
     """Rows (a, b) of rows sorted by unit (gathering, low, high): components that link."""
     def unit(rows: list[tuple]) -> list[tuple[bytes, bytes]]:
         low, high = rows[0][1], rows[0][2]
+        rows = list({r[3:6]: r for r in rows}.values())  # repeated rows may bring a class again
         rows.sort(key=lambda r: (r[3] != low, not r[4], r[5]))
         first_half = sum(r[3] == low for r in rows) if low != high else 0
         if first_half == len(rows) or len({r[6] for r in rows}) < 2:
@@ -298,25 +379,32 @@ class Join:
                                 F.col(text_col).cast("string").alias("text"))
         self.described = written(self.rows.mapInArrow(
             _described(n, t), "id long, key long, n_shingles long, class binary, alias long, "
-                              "signatures array<long>"), "described")
+                              "short binary, bands array<struct<signatures: array<long>, spare: int>>"), "described")
         self.classes = self.described.where(F.col("class").isNotNull()).groupBy("class").agg(
             F.first("alias").alias("alias"), F.first("n_shingles").alias("n_shingles"),
             F.min("id").alias("least_id"), F.min(F.struct("id", "key")).alias("row"), F.count("*").alias("n_rows"))
 
     def tiles(self) -> DataFrame:
-        """(signature, alias, n) of all tiles that hold several classes; n counts their rows.
+        """(signature, alias, n) of tiles that hold several classes; n counts their rows.
 
+        Each class leaves the largest of its tiles, in one order for all, as many as it can
+        spare: two linked classes share more tiles than that, so the last of those in this
+        order keeps both. What texts share by a common passage stands in large tiles.
         An alias is half of a class's name. Should two classes have the same, they stand in
         each other's tiles, which costs comparisons and nothing else.
         """
-        each = self.described.select("alias", F.explode("signatures").alias("signature"))
+        bands = self.described.select("alias", F.posexplode("bands").alias("band", "held"))
+        each = bands.select("alias", "band", "held.spare", F.explode("held.signatures").alias("signature"))
         shared = written(each.groupBy("signature").agg(
             F.min("alias").alias("least"), F.max("alias").alias("most"), F.count("*").alias("n"))
             .where("least != most").select("signature", "n"), "shared")
-        return written(each.join(small_side(shared, shared.count(), 24), "signature"), "tiles")
+        met = each.join(small_side(shared, shared.count(), 24), "signature").distinct()
+        order = Window.partitionBy("alias", "band").orderBy(F.desc("n"), "signature")
+        return written(met.withColumn("place", F.row_number().over(order)).where("place > spare")
+                       .select("signature", "alias", "n"), "tiles")
 
     def gatherings(self) -> DataFrame:
-        """(gathering, class, n_shingles, leads): the classes of all tiles with the same leader.
+        """(gathering, class, n_shingles, short): the classes of all tiles with the same leader.
 
         The rank of a class is how many rows its tiles hold: the text that others are copies
         of agrees with them in most parts, so it ranks highest among them and leads their tiles.
@@ -326,37 +414,59 @@ class Join:
         ranks = written(tiles.groupBy("alias").agg(F.sum("n").alias("rank")), "ranks")
         ranked = tiles.join(small_side(ranks, ranks.count(), 24), "alias")
         leaders = written(ranked.groupBy("signature").agg(
-            F.max(F.struct("rank", "alias")).alias("top")).select(
+            F.max(F.struct("rank", "alias")).alias("top"), F.count("*").alias("n")).where("n > 1").select(
             "signature", F.col("top.alias").alias("gathering")), "leaders")
         met = written(tiles.join(small_side(leaders, leaders.count(), 24), "signature")
                       .select("gathering", "alias").distinct(), "met")
-        held = met.select("alias").distinct()
-        classes = written(self.classes.join(held, "alias", "left_semi"), "held")
+        held = self.described.where(F.col("short").isNotNull()).select("alias", "class", "n_shingles", "short").join(
+            met.select("alias").distinct(), "alias", "left_semi").dropDuplicates(["class"])
+        return met.join(held, "alias").drop("alias")
+
+    def clusters(self) -> DataFrame:
+        """(gathering, class, n_shingles, leads): classes that may link, by short bitmaps.
+
+        Two classes that may link stand in one cluster, whose leader names the gathering.
+        Gatherings of more than ``FILTER_CLASSES`` are compared block by block.
+        """
+        members = written(self.gatherings(), "members")
+        sizes = members.groupBy("gathering").agg(F.count("*").alias("n")).where("n > 1").select(
+            "gathering", F.ceil(F.col("n") / FILTER_CLASSES).cast("int").alias("blocks"))
+        sizes = written(sizes, "sizes")
+        dealt = members.join(small_side(sizes, sizes.count(), 24), "gathering").withColumn(
+            "block", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int"))
+        other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+        units = dealt.select("gathering", "class", "n_shingles", "short", "block", other).select(
+            "gathering", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"),
+            "class", "n_shingles", "short")
+        units = units.repartition("gathering", "low", "high").sortWithinPartitions("gathering", "low", "high")
+        found = written(units.mapInArrow(_clusters(self.t), "gathering binary, class binary").distinct(), "found")
+        classes = written(self.classes.join(found.select("class").distinct(), "class", "left_semi")
+                          .select("class", "n_shingles", "row"), "held")
         n_classes = classes.count()
         self.sets = self.class_sets(classes.select("row"), n_classes)
-        return written(met.join(small_side(classes.select("alias", "class", "n_shingles"), n_classes, 56), "alias")
+        return written(found.join(small_side(classes.select("class", "n_shingles"), n_classes, 48), "class")
                        .select("gathering", "class", "n_shingles",
-                               (F.col("alias") == F.col("gathering")).alias("leads")), "gatherings")
+                               (F.col("class") == F.col("gathering")).alias("leads")), "clusters")
 
     def class_sets(self, chosen: DataFrame, n_chosen: int) -> DataFrame:
         """(class, shingles) of the classes that the chosen rows (id, key) stand for."""
         at = chosen.select(F.col("row.id").alias("at"), F.col("row.key").alias("at_key"))
         texts = self.rows.join(small_side(at, n_chosen, 32),
                                F.col("id").eqNullSafe(F.col("at")) & (F.col("key") == F.col("at_key")), "left_semi")
-        sets = texts.select("text").mapInArrow(_class_sets(self.n), "class binary, shingles binary")
-        return written(sets.dropDuplicates(["class"]), "sets")
+        return written(texts.select("text").mapInArrow(_class_sets(self.n), "class binary, shingles binary"), "sets")
 
     def linked(self, units: DataFrame) -> DataFrame:
         """Edges (a, b) between components, of rows (gathering, low, high, block, leads, class, component)."""
-        held = units.join(self.sets, "class")
+        units = written(units, "units")  # names only; the sets move once, to their units
+        held = self.sets.join(small_side(units, units.count(), 120), "class")
         dealt = held.repartition("gathering", "low", "high").sortWithinPartitions("gathering", "low", "high")
         return dealt.mapInArrow(_unit_links(self.t), "a binary, b binary")
 
     def class_components(self) -> DataFrame:
         """(class, component) for classes that link to others."""
-        members = self.gatherings()
+        members = self.clusters()
         blocks = written(members.groupBy("gathering").agg(
-            F.count("*").alias("n"), F.sum("n_shingles").alias("s")).select("gathering", F.greatest(
+            F.count("*").alias("n"), F.sum("n_shingles").alias("s")).where("n > 1").select("gathering", F.greatest(
                 F.ceil(F.col("n") / BLOCK_CLASSES), F.ceil(F.col("s") / BLOCK_SHINGLES)).cast("int").alias("blocks")),
             "blocks")
         n_gatherings, n_large = blocks.agg(F.count("*"), F.count_if(F.col("blocks") > 1)).first()

@@ -64,6 +64,51 @@ def test_components_equal_brute_force(spark, seed, n, num):
         brute_components(docs, n, num, 100)
 
 
+@pytest.mark.parametrize("classes, shingles_held", [(3, 10**9), (10**9, 900), (1, 10**9)])
+def test_blocks_of_large_gatherings(spark, monkeypatch, classes, shingles_held):
+    monkeypatch.setattr(jaccard, "BLOCK_CLASSES", classes)
+    monkeypatch.setattr(jaccard, "BLOCK_SHINGLES", shingles_held)
+    docs = edited_corpus(5, groups=8, copies=12)
+    table = spark.createDataFrame(docs, "doc_id long, text string").repartition(5)
+    got = jaccard.similar_groups(table, jaccard.Threshold(80, 100), n=4)
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got.collect()} == brute_components(docs, 4, 80, 100)
+
+
+def long_near_copies(seed, n=70, words=1_500):
+    """Copies of one long text around the threshold against it, far below it against each other."""
+    rng = random.Random(seed)
+    base, docs = [f"w{rng.randrange(9_000)}" for _ in range(words)], []
+    for _ in range(n):
+        text = list(base)
+        for _ in range(rng.choice([10, 30, 38, 42, 60, 90])):
+            text[rng.randrange(words)] = f"x{rng.randrange(10**6)}"
+        docs.append(" ".join(text))
+    return list(enumerate(docs))
+
+
+def test_long_near_copies_below_the_threshold(spark):
+    docs = long_near_copies(11)
+    table = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    got = jaccard.similar_groups(table, jaccard.Threshold(85, 100), n=4)
+    want = brute_components(docs, 4, 85, 100)
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got.collect()} == want
+    assert 3 < len({c for _, c in want.values()}) < len(docs)
+
+
+def test_a_unit_emits_connecting_links_only():
+    sets = [s for _, s in shingle_sets(pa.array([t for _, t in long_near_copies(12, n=50)]), 4)]
+    t = jaccard.Threshold(80, 100)
+    alone = np.array([str(i) for i in range(len(sets))])
+    links = jaccard.connecting_links(sets, alone, 0, t)
+    components = brute_components(long_near_copies(12, n=50), 4, 80, 100)
+    assert len(links) == len(sets) - len({c for _, c in components.values()})
+    assert all(components[i][1] == components[j][1] for i, j in links)
+    half = jaccard.connecting_links(sets, alone, 20, t)
+    assert all(i < 20 <= j for i, j in half) and len(half) < len(sets)
+    joined = np.array([str(components[i][1]) for i in range(len(sets))])
+    assert jaccard.connecting_links(sets, joined, 0, t) == []
+
+
 @pytest.mark.parametrize("num", [80, 85, 95])
 def test_linked_sets_always_share_a_tile(num):
     rng, t = np.random.default_rng(num), jaccard.Threshold(num, 100)
@@ -78,6 +123,9 @@ def test_linked_sets_always_share_a_tile(num):
         if t.linked(shared, len(a), len(b)) and shared < max(len(a), len(b)):
             linked += 1
             assert np.intersect1d(jaccard.tile_signatures(a, t), jaccard.tile_signatures(b, t)).size
+            bands = [(set(x.tolist()) & set(y.tolist()), max(p, q)) for x, p in jaccard.band_signatures(a, t)
+                     for y, q in jaccard.band_signatures(b, t)]
+            assert any(len(both) > spare for both, spare in bands)
     assert linked > 100
 
 
