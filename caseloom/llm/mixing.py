@@ -65,6 +65,10 @@ def source_rates(docs: DataFrame, size: str, source: str = "source",
             .select("__source", "source_size", "target", "rate"))
 
 
+#: Columns that ``mixed_counts`` adds.
+ADDED = ("size", "source_size", "target", "copies")
+
+
 def coin(name: Column, seed: str) -> Column:
     """A number in [0, 1) fixed by the seed and a name, the id where it is unique (null too)."""
     digest = F.md5(F.concat(F.lit(seed + ":"), F.coalesce(name.cast("string"), F.lit("null"))))
@@ -115,8 +119,7 @@ def mixed_counts(docs: DataFrame, size: Column, id_col: str = "doc_id", source:
     texts have size 0 and are repeated like the rest of their source. The sources are joined by
     broadcast only where their counted number allows it.
     """
-    added = ("size", "source_size", "target", "copies")
-    kept = [c for c in docs.columns if c not in added]
+    kept = [c for c in docs.columns if c not in ADDED]
     sized = docs.select(*kept, size.alias("size"))
     rates = source_rates(sized, "size", source, weights, share, most)
     n_sources = docs.select(F.approx_count_distinct(source)).first()[0] * 2 + 1
@@ -129,8 +132,9 @@ def mixed_counts(docs: DataFrame, size: Column, id_col: str = "doc_id", source:
 
 
 def mixed(docs: DataFrame, size: Column, **settings) -> DataFrame:
-    """The mix itself: every document as often as ``mixed_counts`` takes it, same columns."""
-    counted = mixed_counts(docs, size, **settings)
+    """The mix itself: every document as often as ``mixed_counts`` takes it, same columns and values."""
+    own = {c: f"__own_{c}" for c in ADDED if c in docs.columns}
+    counted = mixed_counts(docs.withColumnsRenamed(own), size, **settings)
     taken = counted.where(F.col("copies") > 0)
     repeated = taken.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
-    return repeated.select(*docs.columns)
+    return repeated.select(*[F.col(own.get(c, c)).alias(c) for c in docs.columns])

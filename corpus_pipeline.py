@@ -16,8 +16,10 @@ N_SHARDS = 16
 def _decent(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier chain, fitted on their labelled rows, does not reject."""
     chain = toxicity.chain_for(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    scored = chain.scored(docs)
-    return scored.where(~toxicity.is_toxic(scored["text"])).select(*docs.columns)
+    own = {f"p_{c}": f"__own_p_{c}" for c in chain.categories if f"p_{c}" in docs.columns}
+    scored = chain.scored(docs.withColumnsRenamed(own))
+    return scored.where(~toxicity.is_toxic(scored["text"])).select(
+        *[scored[own.get(c, c)].alias(c) for c in docs.columns])
 
 
 def _distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
