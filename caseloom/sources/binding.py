@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from caseloom.functions import rounding
+
 # Introduction year per disease of the binding.
 INTRODUCTION_YEARS = {
     "STANDARD": 1998, "SMALL": 1999, "MEDIUM": 1997, "LARGE": 1995, "ECONOMY": 1796, "PROMO": 1998,
@@ -36,27 +38,34 @@ def epi_week(ts):
 
 
 def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Weekly observations, one row per (disease, state, place, week)."""
+    """Weekly observations, one row per (disease, state, place, week).
+
+    What moves with every item is narrow: week and cents are made before the joins, parts are
+    joined by hash so that items are not sorted by part, and the grain and the state as a place
+    are told from the group's disease and state after it is added up.
+    """
     nations = _table(spark, sf_dir, "nation").join(
         _table(spark, sf_dir, "region"), F.col("r_regionkey") == F.col("n_regionkey"))
     places = _table(spark, sf_dir, "supplier").join(
         nations, F.col("n_nationkey") == F.col("s_nationkey")).select("s_suppkey", "s_name", "n_name")
     kinds = _table(spark, sf_dir, "part").select("p_partkey", "p_type")
     items = _table(spark, sf_dir, "lineitem").select(
-        "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_shipdate")
-    city = F.col("p_type") == CITY_DISEASE
-    rows = (items.join(kinds, F.col("p_partkey") == F.col("l_partkey"))
-            .join(places, F.col("s_suppkey") == F.col("l_suppkey"))
-            .select(
-                F.col("p_type").alias("disease"), F.col("n_name").alias("state"),
-                F.when(city, F.col("s_name")).otherwise(F.col("n_name")).alias("loc"),
-                F.when(city, "CITY").otherwise("STATE").alias("loc_type"),
-                epi_week(F.col("l_shipdate")).alias("epi_week"),
-                F.col("l_quantity").cast("int").alias("quantity"),
-                F.round(F.col("l_extendedprice") * 100).cast("long").alias("cents")))
-    return rows.groupBy("disease", "state", "loc", "loc_type", "epi_week").agg(
+        "l_partkey", "l_suppkey", epi_week(F.col("l_shipdate")).alias("epi_week"),
+        F.col("l_quantity").cast("int").alias("quantity"),
+        rounding.whole_half_up(F.col("l_extendedprice") * 100).alias("cents"))
+    city = F.col("disease") == CITY_DISEASE
+    rows = (items.join(kinds.hint("shuffle_hash"), F.col("p_partkey") == F.col("l_partkey"))
+            .join(places.hint("shuffle_hash"), F.col("s_suppkey") == F.col("l_suppkey"))
+            .select(F.col("p_type").alias("disease"), F.col("n_name").alias("state"), "epi_week",
+                    F.when(F.col("p_type") == CITY_DISEASE, F.col("s_name")).alias("city_name"),
+                    "quantity", "cents"))
+    totals = rows.groupBy("disease", "state", "city_name", "epi_week").agg(
         F.sum("quantity").alias("cases"),
         (F.sum("cents").cast("double") / (F.lit(1e5) * F.count("*"))).alias("incidence_per_100000"))
+    return totals.select(
+        "disease", "state", F.when(city, F.col("city_name")).otherwise(F.col("state")).alias("loc"),
+        F.when(city, "CITY").otherwise("STATE").alias("loc_type"), "epi_week", "cases",
+        "incidence_per_100000")
 
 
 def regions(spark: SparkSession, sf_dir: str) -> DataFrame:
