@@ -40,9 +40,9 @@ def epi_week(ts):
 def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Weekly observations, one row per (disease, state, place, week).
 
-    What moves with every item is narrow: week and cents are made before the joins, parts are
-    joined by hash so that items are not sorted by part, and the grain and the state as a place
-    are told from the group's disease and state after it is added up.
+    What moves with every item is narrow: week and cents are made before the joins, and the
+    grain and the state as a place are told from the group's disease and state after it is
+    added up.
     """
     nations = _table(spark, sf_dir, "nation").join(
         _table(spark, sf_dir, "region"), F.col("r_regionkey") == F.col("n_regionkey"))
@@ -54,8 +54,8 @@ def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_quantity").cast("int").alias("quantity"),
         rounding.whole_half_up(F.col("l_extendedprice") * 100).alias("cents"))
     city = F.col("disease") == CITY_DISEASE
-    rows = (items.join(kinds.hint("shuffle_hash"), F.col("p_partkey") == F.col("l_partkey"))
-            .join(places.hint("shuffle_hash"), F.col("s_suppkey") == F.col("l_suppkey"))
+    rows = (items.join(kinds, F.col("p_partkey") == F.col("l_partkey"))
+            .join(places, F.col("s_suppkey") == F.col("l_suppkey"))
             .select(F.col("p_type").alias("disease"), F.col("n_name").alias("state"), "epi_week",
                     F.when(F.col("p_type") == CITY_DISEASE, F.col("s_name")).alias("city_name"),
                     "quantity", "cents"))
