@@ -1,6 +1,7 @@
 """Secret scans, decontamination, licences and repeated lines."""
 
 import hashlib
+import random
 import re
 
 from pyspark.sql import functions as F
@@ -302,3 +303,61 @@ def test_repeated_lines_of_odd_tables(odd, none):
     assert found.count() == odd.count() and set(found.columns) == set(odd.columns)
     assert found.where(F.size("spans") > 0).count() == 2  # ids 6 and null repeat id 5
     assert repeats.deduplicated(none).count() == 0
+
+
+def words_at(text):
+    return [(m[0].lower(), m.start(), m.end()) for m in re.finditer(r"\S+", text or "")]
+
+
+def brute_passages(docs, n):
+    """(id, start, end, n_words, later) by comparing all runs of n words of all documents in order."""
+    runs, found = {}, set()
+    for i, text in docs:
+        words = [w for w, _, _ in words_at(text)]
+        for p in range(len(words) - n + 1):
+            runs.setdefault(tuple(words[p:p + n]), []).append(i)
+    for i, text in docs:
+        words = words_at(text)
+        places = {False: [], True: []}
+        for p in range(len(words) - n + 1):
+            held = runs[tuple(w for w, _, _ in words[p:p + n])]
+            if len(set(held)) > 1:
+                places[held[0] != i].append(p)
+        for later, starts in places.items():
+            while starts:
+                a = b = starts.pop(0)
+                while starts and starts[0] <= b + n:
+                    b = starts.pop(0)
+                found.add((i, words[a][1], words[b + n - 1][2], b - a + n, later))
+    return found
+
+
+def passages_of(docs, **how):
+    return {(r["id"], r["start"], r["end"], r["n_words"], r["later"])
+            for r in repeats.repeated_passages(docs, **how).collect()}
+
+
+def test_passages_inside_lines_are_found(spark):
+    passage = [f"Wörd{i}" for i in range(51)]
+    texts = ["é " + " ".join(passage) + " tail", "other start\n" + "\n".join(passage).upper() + " and more",
+             " ".join(passage[:50]) + " cut", " ".join(passage[1:]), None, ""]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    starts = {0: 2, 1: 12}
+    want = {(i, a, a + len(" ".join(passage)), 51, i == 1) for i, a in starts.items()}
+    assert passages_of(docs) == want == brute_passages(list(enumerate(texts)), 51)
+    assert repeats.deduplicated(docs).where(F.size("spans") > 0).count() == 0  # no line occurs twice
+
+
+def test_passages_equal_brute_force(spark):
+    chance = random.Random(8)
+    for n, kinds in ((2, 3), (5, 2), (6, 40)):
+        docs = [(i, " ".join(f"w{chance.randrange(kinds)}" for _ in range(chance.randrange(30)))) for i in range(40)]
+        docs += [(50 + i, docs[i][1] + "   end " + docs[2 * i][1].upper()) for i in range(5)]
+        rows = spark.createDataFrame(docs + docs[::7], "doc_id long, text string").repartition(3)
+        assert passages_of(rows, least_words=n) == brute_passages(docs, n)
+
+
+def test_passages_of_odd_tables(odd, none):
+    found = passages_of(odd, least_words=12)
+    assert {f[0]: f[-1] for f in found} == {-9: False, 5: True, 6: True, None: True} and len(found) == 4
+    assert passages_of(none) == set()
