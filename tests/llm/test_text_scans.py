@@ -361,3 +361,14 @@ def test_passages_of_odd_tables(odd, none):
     found = passages_of(odd, least_words=12)
     assert {f[0]: f[-1] for f in found} == {-9: False, 5: True, 6: True, None: True} and len(found) == 4
     assert passages_of(none) == set()
+
+
+def test_copies_compare_few_runs(spark, monkeypatch):
+    rows = {}
+    keep = repeats.written
+    monkeypatch.setattr(repeats, "written", lambda df, name: rows.setdefault(name, keep(df, name)))
+    text = " ".join(f"w{i}" for i in range(3_000))
+    docs = [(i, text if i % 4 else text.replace(f"w{i * 30} ", "changed ")) for i in range(1, 41)]
+    table = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    assert passages_of(table) == brute_passages(docs, 51)
+    assert rows["runs"].count() < 3_000  # the forty texts have 118,000 runs
